@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tendril.llm import html_text
+from tendril.llm import html_text, simhash_dedup
 
 QUERIES = {
     "op3_html_main_text": html_text.op3_html_main_text,
+    "op6_simhash_near_duplicates": simhash_dedup.op6_simhash_near_duplicates,
 }
 
 ORACLE_SQL: dict[str, str] = {}
