@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tendril.llm import decontamination, html_text, language_id, quality_rules, simhash_dedup
+from tendril.llm import decontamination, html_text, language_id, quality_model, quality_rules, simhash_dedup
 
 QUERIES = {
     "op3_html_main_text": html_text.op3_html_main_text,
+    "op4_quality_model": quality_model.op4_quality_model,
     "op5_line_quality_rules": quality_rules.op5_line_quality_rules,
     "op6_simhash_near_duplicates": simhash_dedup.op6_simhash_near_duplicates,
     "op7_language_codes": language_id.op7_language_codes,
