@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tendril.llm import decontamination, html_text, language_id, quality_model, quality_rules, simhash_dedup
+from tendril.llm import decontamination, html_text, language_id, packing, quality_model, quality_rules, simhash_dedup
 
 QUERIES = {
+    "op1_packing": packing.op1_packing,
     "op3_html_main_text": html_text.op3_html_main_text,
     "op4_quality_model": quality_model.op4_quality_model,
     "op5_line_quality_rules": quality_rules.op5_line_quality_rules,
