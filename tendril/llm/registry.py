@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from tendril.llm import decontamination, html_text, language_id, packing, quality_model, quality_rules, simhash_dedup
+from tendril.llm import decontamination, html_text, language_id, packing, quality_model, quality_rules, sharding, simhash_dedup, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_warc_round_trip": warc.op2_warc_round_trip,
     "op3_html_main_text": html_text.op3_html_main_text,
     "op4_quality_model": quality_model.op4_quality_model,
     "op5_line_quality_rules": quality_rules.op5_line_quality_rules,
     "op6_simhash_near_duplicates": simhash_dedup.op6_simhash_near_duplicates,
     "op7_language_codes": language_id.op7_language_codes,
     "op9_benchmark_containment": decontamination.op9_benchmark_containment,
+    "op10_kd_sharding": sharding.op10_kd_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = {
