@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tendril.llm import decontamination, html_text, language_id, packing, quality_model, quality_rules, sharding, simhash_dedup, warc
+from tendril.llm import decontamination, html_text, language_id, packing, quality_model, quality_rules, sharding, simhash_dedup, suffix_dedup, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_line_quality_rules": quality_rules.op5_line_quality_rules,
     "op6_simhash_near_duplicates": simhash_dedup.op6_simhash_near_duplicates,
     "op7_language_codes": language_id.op7_language_codes,
+    "op8_suffix_array_dedup": suffix_dedup.op8_suffix_array_dedup,
     "op9_benchmark_containment": decontamination.op9_benchmark_containment,
     "op10_kd_sharding": sharding.op10_kd_sharding,
 }
@@ -19,5 +20,6 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op5_line_quality_rules": quality_rules.OP5_SQL,
     "op7_language_codes": language_id.op7_language_codes,
+    "op8_suffix_array_dedup": suffix_dedup.op8_suffix_array_dedup,
     "op9_benchmark_containment": decontamination.OP9_SQL,
 }
