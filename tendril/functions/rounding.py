@@ -23,5 +23,5 @@ def rate(count: Column, total: Column) -> Column:
 
 
 def profile_rate(count: Column, total: Column) -> Column:
-    """count / total as a double to four places, half-even; 0.0 for an empty total."""
+    """count / total as a double to four places, half-even in decimal digits; 0.0 for an empty total."""
     return F.when(total > 0, F.bround(count / F.nullif(total, F.lit(0)), 4)).otherwise(F.lit(0.0))

@@ -78,7 +78,7 @@ def file_integrity(manifest: DataFrame, files: DataFrame) -> DataFrame:
     there = files.select(F.col("path").alias("__path"), F.col("digest").alias("actual_content_hash"))
     joined = manifest.join(there, F.col("storage_path") == F.col("__path"), "left")
     issue = F.when(F.col("__path").isNull(), "missing_file").when(~F.col("actual_content_hash").eqNullSafe(F.col("content_hash")), "content_hash_mismatch")
-    return joined.drop("__path").withColumn("issue_type", issue).withColumn("reason", corruption_reason(F.col("issue_type")))
+    return joined.withColumn("issue_type", issue).withColumn("reason", corruption_reason(F.col("issue_type"))).drop("__path")
 
 
 def integrity_issues(checked: DataFrame, corrupted_only: bool = False, limit: int | None = None) -> DataFrame:
