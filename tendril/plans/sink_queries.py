@@ -101,7 +101,7 @@ def streamed_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     for where in ("event_id % 2 = 0", "event_id % 2 = 1"):
         _arrivals(spark, sf_dir, f"{base}/in", where)
         intake.normalized_intake(intake.snapshot_stream(spark, f"{base}/in"), f"{base}/rows", f"{base}/progress").awaitTermination()
-    return spark.read.parquet(f"{base}/rows").select(c("structured_record_id").cast("long").alias("id"), c("result_ordinal").cast("long").alias("result_ordinal"), "business_nipt")
+    return intake.current_rows(spark, f"{base}/rows").select(c("structured_record_id").cast("long").alias("id"), c("result_ordinal").cast("long").alias("result_ordinal"), "business_nipt")
 
 
 def streamed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,10 +7,11 @@ so a batch that runs twice leaves the same tables, and the checkpoint advances p
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tendril.operators.normalize import normalize_registry
-from tendril.operators.sinks import replace_by_snapshot
+from tendril.operators.sinks import replace_all
 from tendril.operators.trust import latest_snapshots
 
 SNAPSHOT = "id bigint, source_name string, external_key string, fetched_at timestamp, payload string"
@@ -22,14 +23,21 @@ def snapshot_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def normalized_intake(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Normalizes each new snapshot and replaces its rows in the target."""
+    """Normalizes each new snapshot; a batch's rows go to a folder of their own, which a repeated batch replaces."""
 
-    def put(batch: DataFrame, _: int) -> None:
-        replace_by_snapshot(normalize_registry(batch).withColumnRenamed("id", "structured_record_id"), target)
+    def put(batch: DataFrame, number: int) -> None:
+        replace_all(normalize_registry(batch).withColumnRenamed("id", "structured_record_id"), f"{target}/batch={number}")
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def current_rows(spark: SparkSession, target: str) -> DataFrame:
+    """The intake's rows, of a snapshot that came more than once those of its last batch."""
+    rows = spark.read.parquet(target)
+    last = rows.groupBy("structured_record_id").agg(F.max("batch").alias("batch"))
+    return rows.join(last, ["structured_record_id", "batch"], "left_semi").drop("batch")
+
+
 def latest_upkeep(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Keeps one row per (source_name, external_key): the last snapshot, first and last sight. The table alternates
     between two folders of the target, so that the one that is read is never the one that is written."""
