@@ -164,3 +164,29 @@ def _metrics(spark, sf_dir):
 
 
 add("d26_readiness_findings", lambda s, d: profile.findings(_metrics(s, d)))
+
+
+def _normalized_profile(spark, sf_dir):
+    from tendril.plans.runners import normalized_profile
+
+    return normalized_profile({"awards": (views.awards(spark, sf_dir), "winner_nipt", ["winner_nipt", "publication_date"]), "registry": (views.registry(spark, sf_dir), "business_nipt", ["legal_form", "registration_date"])})
+
+
+def _unpivot(section: str, dataset: str, field: str, source: str, metrics: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{section}' AS section, '{dataset}' AS dataset, {field} AS field, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM {source}" for m in metrics.split())
+
+
+_FIELD = "total_rows present_count missing_count present_rate missing_rate"
+_PROFILE = lambda t, fields: " UNION ALL ".join(f"SELECT '{f}' AS field, count(*) AS total_rows, count(*) FILTER (WHERE NOT ({m})) AS present_count, count(*) FILTER (WHERE {m}) AS missing_count FROM {t}" for f, m in fields)
+_RATED = lambda x: f"SELECT *, {_prate('present_count', 'total_rows')} AS present_rate, {_prate('missing_count', 'total_rows')} AS missing_rate FROM ({x})"
+_BLANK = lambda f: f"{f} IS NULL OR trim({f}) = ''"
+add("d23_i04_normalized_profile", _normalized_profile, f"""WITH {_COVER},
+fa AS ({_RATED(_PROFILE("awards", [("winner_nipt", _BLANK("winner_nipt")), ("publication_date", "publication_date IS NULL")]))}),
+fr AS ({_RATED(_PROFILE("registry", [("legal_form", _BLANK("legal_form")), ("registration_date", "registration_date IS NULL")]))}),
+ka AS ({_RATED(_PROFILE("awards", [("winner_nipt", _BLANK("winner_nipt"))]))}), kr AS ({_RATED(_PROFILE("registry", [("business_nipt", _BLANK("business_nipt"))]))}),
+da AS (SELECT count(DISTINCT k) AS distinct_keys FROM x), dr AS (SELECT count(DISTINCT k) AS distinct_keys FROM y),
+jc AS (SELECT j AS joinable_keys, a1 AS left_rows_joinable, b1 AS right_rows_joinable, {_prate('a1', 'a2')} AS left_rate_all, {_prate('a1', 'a3')} AS left_rate_keyed, {_prate('b1', 'b2')} AS right_rate_all, {_prate('b1', 'b3')} AS right_rate_keyed FROM n)
+{_unpivot("missingness", "awards", "field", "fa", _FIELD)} UNION ALL {_unpivot("missingness", "registry", "field", "fr", _FIELD)}
+UNION ALL {_unpivot("key_coverage", "awards", "field", "ka", _FIELD)} UNION ALL {_unpivot("key_coverage", "registry", "field", "kr", _FIELD)}
+UNION ALL {_unpivot("keys", "awards", "'winner_nipt'", "da", "distinct_keys")} UNION ALL {_unpivot("keys", "registry", "'business_nipt'", "dr", "distinct_keys")}
+UNION ALL {_unpivot("join_coverage", "both", "'winner_nipt = business_nipt'", "jc", "joinable_keys left_rows_joinable right_rows_joinable left_rate_all left_rate_keyed right_rate_all right_rate_keyed")}""")
