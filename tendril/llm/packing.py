@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from tendril.llm.shared import table
+from tendril.llm.shared import small_batches, table
 
 CAPACITY = 1024
 CLOSING = 0
@@ -185,6 +185,7 @@ class Packer:
 def pack(docs: DataFrame, tokenizer_path: str, with_ids: bool = True) -> DataFrame:
     """docs (doc_id, text) -> a row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and,
     if asked for, the ids themselves."""
+    small_batches(docs.sparkSession)
     kept = docs.select("doc_id", "text")
     id_type = pa.int64() if kept.schema["doc_id"].dataType.simpleString() == "bigint" else None
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *["ids"] * with_ids]

@@ -10,9 +10,20 @@ from pyspark.sql import functions as F
 
 #: Rows of a table that may be broadcast after they have been counted; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 200_000
+#: Rows and bytes of an Arrow batch at most; texts are large rows, and every worker holds a few batches.
+BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of this session's Python workers, unless they are smaller already."""
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
+        spark.conf.set(size, BATCH_BYTES)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -32,6 +43,7 @@ def new_folder(spark: SparkSession, what: str) -> str:
 def written(df: DataFrame, what: str) -> DataFrame:
     """df as a Parquet table in the shared folder: lineage ends there, and a lost executor costs no recomputation."""
     spark = df.sparkSession
+    small_batches(spark)
     path = new_folder(spark, what)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

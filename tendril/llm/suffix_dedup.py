@@ -37,7 +37,7 @@ MATCH = 100
 GRAM = 32
 REACH = MATCH - GRAM  # of a string's bytes that may precede its anchor
 BUCKET = 100_000
-BLOCK = 2 << 20  # bytes that are hashed at a time
+BLOCK = 1 << 20  # bytes that are hashed at a time
 PIECE = 8 << 20  # of a document; a longer one is taken in overlapping pieces
 ROWS = 30_000  # occurrences that are sorted at a time, whole buckets
 
@@ -167,49 +167,51 @@ def _bucket_matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     string that is first in its chunk, its digest instead (d1, d2)."""
     names = ["key", "start", "stop", "d1", "d2"]
 
-    def out(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        t = pa.Table.from_batches(rows).combine_chunks()
+    def batch_of(*columns: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names)
+
+    def out(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(rows)
         h, chunk, chunks, key, pos, before = (t.column(k).to_numpy() for k in range(6))
         bucket = np.cumsum(np.append(0, (h[1:] != h[:-1]) | (chunk[1:] != chunk[:-1])))
         data = np.zeros((len(h), REACH + MATCH), np.uint8)
         lengths = np.empty(len(h), np.int64)
-        for k, x in enumerate(t.column(6).to_pylist()):
+        for k, x in enumerate(t.column(6)):
+            x = x.as_py()
             lengths[k] = len(x)
-            at = REACH - before[k]
-            data[k, at : at + len(x)] = np.frombuffer(x, np.uint8)
-        again, first = covered_windows(bucket, key, pos, np.ascontiguousarray(data[:, REACH - 1 :: -1] if REACH else data[:, :0]), before, np.ascontiguousarray(data[:, REACH:]), lengths - before)
+            data[k, REACH - before[k] : REACH - before[k] + len(x)] = np.frombuffer(x, np.uint8)
+        again, first = covered_windows(bucket, key, pos, np.ascontiguousarray(data[:, REACH - 1 :: -1]), before, np.ascontiguousarray(data[:, REACH:]), lengths - before)
         hit = np.flatnonzero(again.any(axis=1))
-        nearest = again[hit].argmax(axis=1)
-        farthest = REACH - again[hit][:, ::-1].argmax(axis=1)
+        nearest, farthest = again[hit].argmax(axis=1), REACH - again[hit][:, ::-1].argmax(axis=1)
+        none = np.zeros(len(hit), np.int64)
         # strings of one anchor overlap, so those that go make one run
-        columns = [key[hit], pos[hit] - farthest, pos[hit] - nearest + MATCH]
-        d1, d2 = np.zeros(len(hit), np.int64), np.zeros(len(hit), np.int64)
+        yield batch_of(key[hit], pos[hit] - farthest, pos[hit] - nearest + MATCH, none, none)
         cut = np.flatnonzero(chunks > 1)
-        rest = [(int(key[k]), int(pos[k] - b), hashlib.blake2b(data[k, REACH - b : REACH - b + MATCH].tobytes(), digest_size=16).digest()) for k in cut for b in np.flatnonzero(first[k])]
-        if rest:
-            digests = np.frombuffer(b"".join(x[2] for x in rest), np.int64).reshape(-1, 2)
-            start = np.array([x[1] for x in rest])
-            columns = [np.concatenate(x) for x in zip(columns, (np.array([x[0] for x in rest]), start, np.full(len(rest), -1)), strict=True)]
-            d1, d2 = np.concatenate([d1, digests[:, 0]]), np.concatenate([d2, digests[:, 1]])
-        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in (*columns, d1, d2)], names)
+        for at in range(0, len(cut), 2_000):
+            row, back = np.nonzero(first[cut[at : at + 2_000]])
+            row = cut[at : at + 2_000][row]
+            digests = b"".join(hashlib.blake2b(data[k, REACH - n : REACH - n + MATCH].tobytes(), digest_size=16).digest() for k, n in zip(row, back, strict=True))
+            d = np.frombuffer(digests, np.int64).reshape(-1, 2)
+            yield batch_of(key[row], pos[row] - back, np.full(len(row), -1), d[:, 0], d[:, 1])
 
     held: list[pa.RecordBatch] = []
-    count = 0
+    count, last = 0, None
     for batch in batches:
         if not batch.num_rows:
             continue
-        held.append(batch)
-        count += batch.num_rows
-        if count >= ROWS:
-            t = pa.Table.from_batches(held).combine_chunks()
-            h, chunk = t.column(0).to_numpy(), t.column(1).to_numpy()
-            last = np.flatnonzero((h != h[-1]) | (chunk != chunk[-1]))
-            if len(last):
-                done = int(last[-1]) + 1
-                yield out(t.slice(0, done).to_batches())
-                held, count = t.slice(done).to_batches(), len(h) - done
+        h, chunk = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        other = np.flatnonzero((h != h[-1]) | (chunk != chunk[-1]))
+        start = int(other[-1]) + 1 if len(other) else 0  # of the batch's last bucket
+        whole = start or last != (h[0], chunk[0])
+        if count + start >= ROWS and whole:
+            yield from out([*held, batch.slice(0, start)])
+            held, count = [batch.slice(start)], batch.num_rows - start
+        else:
+            held.append(batch)
+            count += batch.num_rows
+        last = (h[-1], chunk[-1])
     if count:
-        yield out(held)
+        yield from out(held)
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +241,8 @@ def keyed(docs: DataFrame, carry: tuple[str, ...] = ()) -> tuple[DataFrame, Data
 def duplicate_spans(texts: DataFrame, match_bucket: int = BUCKET) -> DataFrame:
     """texts (key, text) -> key, spans (arrays of start, stop, not merged) of the bytes to remove."""
     anchors = texts.mapInArrow(_anchors, "h bigint, key bigint, pos bigint")
-    repeated = anchors.groupBy("h").count().where("count > 1")
+    # a table of its own, so that the join below has a plain shuffle on either side and a hot anchor can be split
+    repeated = written(anchors.groupBy("h").count().where("count > 1"), "repeated_anchors")
     chunks = F.ceil(F.col("count") / match_bucket).cast("int")
     met = anchors.join(repeated, "h").select("key", F.struct("pos", "h", F.pmod(F.hash("key"), chunks).alias("chunk"), chunks.alias("chunks")).alias("at"))
     by_text = met.groupBy("key").agg(F.collect_list("at").alias("at"))  # bounded by the text
