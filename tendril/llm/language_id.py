@@ -120,7 +120,7 @@ def fit(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Codes | None:
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.string()), pa.array([x[1] for x in rows], pa.binary())], ["lang", "x"])
 
     # bounded by per_lang for each language, so it may be broadcast
-    own = docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("of"))).where("text is not null").select("text", "lang")
+    own = docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("lang") == F.col("of"))).where("text is not null").select("text", "lang")
     rows = own.mapInArrow(run, "lang string, x binary").toArrow()
     x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float32).reshape(-1, BUCKETS)
     return train(x, rows["lang"].to_pylist())
