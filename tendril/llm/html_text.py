@@ -56,6 +56,11 @@ SIDE_NAMES = re.compile(
     re.I,
 )
 
+#: Names that say what a container lacks or has beside it, not what it is.
+NOT_ITSELF = re.compile(r"(?:^|(?<=\s))(?:no|not|non|has|with|without)[-_]\S+", re.I)
+#: Of the names, those that keep an article element from being the article.
+SIDE_ARTICLE = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert|sponsored|promo|comment|comments|reply|related|recommended|teaser|teasers)(?:$|[\s_-])", re.I)
+
 TOKEN = re.compile(
     r"""<!--(?:.*?-->|.*\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+>|[^>]*(?:>|\Z))|<[!?][^>]*(?:>|\Z)""", re.S
 )
@@ -92,7 +97,12 @@ def is_side(tag: str, text: str, in_article: bool) -> bool:
         return True
     if a.get("role", "").lower() in SIDE_ROLES:
         return True
-    return tag not in ("body", "html", "main") and any(SIDE_NAMES.search(a.get(k, "")) for k in ("class", "id"))
+    if tag in ("body", "html", "main"):
+        return False
+    names = [NOT_ITSELF.sub("", a.get(k, "")) for k in ("class", "id")]
+    if in_article:  # an article's own heading
+        names = [re.sub("header|masthead", "", x, flags=re.I) for x in names]
+    return any((SIDE_ARTICLE if tag == "article" else SIDE_NAMES).search(x) for x in names)
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -154,7 +164,7 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if tag in VOID or m[3].endswith("/>") and tag in ("svg", "path", "object"):
             continue
-        if tag in ("article", "main") and side and not any(SIDE_NAMES.search(x) for x in (attributes(m[3]).get("class", ""), attributes(m[3]).get("id", ""))):
+        if tag in ("article", "main") and side and not is_side(tag, m[3], False):
             if not opened["article"] and not opened["main"]:  # what it seems to stand in was never closed
                 stack, side, links, dropped = [], False, 0, 0
                 opened.clear()
