@@ -25,6 +25,13 @@ def test_without_an_article_rules_decide():
     assert out.startswith("It is one") and out.endswith("\n\nAnd so.") and "Two" not in out
 
 
+def test_names_of_containers():
+    inner = '<div class="post-header"><h1>The head</h1></div><p>The text of the page as it should be read.</p><div class="article-footer share">Share it with all of the others.</div>'
+    want = "The head\n\nThe text of the page as it should be read."
+    assert main_text(f'<div class="page with-sidebar no-comments"><article class="post">{inner}</article><article class="related teaser"><p>Another one of the stories that are on the site.</p></article></div>') == want
+    assert main_text('<div class="has-sidebar"><p>It is the text of the page, and it is as long as it has to be to count.</p></div><div id="sidebar"><p>It is what stands at the side of the page, and it is of no use to us.</p></div>').startswith("It is the text") 
+
+
 def test_many_blocks_are_linear():
     assert main_text("<article>" + "<p>a</p>" * 20000 + "<div>" * 20000).count("\n\n") == 19999
 
