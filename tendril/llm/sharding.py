@@ -113,7 +113,7 @@ def kd_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
             moved = F.when((F.col("node") == n) & (F.col(f"at_{plan[n][0]}") >= points[n]), next_node).otherwise(moved)
             leaves[n], leaves[next_node] = (first, k // 2), (first + k // 2, k - k // 2)
             next_node += 1
-        rows = rows.withColumn("node", F.coalesce(moved, F.col("node")))
+        rows = written(rows.withColumn("node", F.coalesce(moved, F.col("node"))), "rows")  # else the plan grows by level
     of = F.create_map(*[F.lit(x) for n, (first, _) in leaves.items() for x in (n, first)])
     return slotted(rows.select("doc_id", "size", "text_crc32", of[F.col("node")].alias("shard")))
 
