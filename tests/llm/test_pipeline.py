@@ -2,7 +2,7 @@
 
 import duckdb
 from test_packing import check_pieces
-from test_simhash_dedup import brute_components, brute_fingerprint
+from test_similar_texts import brute_similar
 from test_suffix_dedup import brute
 from tokenizers import Tokenizer
 
@@ -21,7 +21,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert known.columns == docs.columns and {r.doc_id: r for r in known.collect()} == {i: r for i, r in rows.items() if any(map(str.isalpha, r.text))}
 
     single = C.written(steps["near_dedup"](spark, known, DATA), "t")
-    component = brute_components({i: brute_fingerprint(r.text) for i, r in rows.items()})
+    component = brute_similar({i: r.text for i, r in rows.items()})
     assert {r.doc_id: r for r in single.collect()} == {i: rows[i] for i, c in component.items() if i == c}
 
     cut = C.written(steps["substring_dedup"](spark, single, DATA), "t")
