@@ -19,7 +19,5 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op5_line_quality_rules": quality_rules.OP5_SQL,
-    "op7_language_codes": language_id.op7_language_codes,
-    "op8_suffix_array_dedup": suffix_dedup.op8_suffix_array_dedup,
     "op9_benchmark_containment": decontamination.OP9_SQL,
 }
