@@ -181,7 +181,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     member = stars.select(F.col("node").alias("fp"), "root").union(stars.select(F.col("root").alias("fp"), "root").distinct())
     component = member.join(first, "fp").groupBy("root").agg(F.min("first").alias("component"))
     linked = member.join(component, "root").select("fp", "component")
-    classes = first.join(linked, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id"))
+    # a table of its own, so that the last join has a plain shuffle on either side and a hot fingerprint can be split
+    classes = written(first.join(linked, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id")), "classes")
     return fps.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
