@@ -3,9 +3,13 @@
 The SimHash operator with a wide radius: texts that similar differ in up to about twenty bits, where blocks of bits no
 longer deal the pairs out, so documents are dealt out by `BANDS` pairs of MinHash values of their shingles (a pair of
 similarity 0.8 shares none with a chance of 4 in 100,000). In each bucket the table of distances to the reference
-fingerprints bounds Hamming distances from below, pairs beyond `RADIUS` are discarded by it or on sight, and the rest
+fingerprints bounds Hamming distances from below, pairs beyond `RADIUS` are put off by it or on sight, and the rest
 is cut down to a minimum spanning forest, at most a link per fingerprint and never all pairs. Every link is then
-verified by exact Jaccard similarity of the two texts' shingle sets, and verified links are joined to components.
+verified by exact Jaccard similarity of the two texts' shingle sets, and verified links are joined to parts.
+
+That settles most buckets cheaply, but it decides nothing: a bucket whose documents aren't all of one part after it is
+taken again with its shingle sets, and every pair of two parts is tested exactly (`links_across`), so that each
+similar pair of a bucket ends in one component, whatever its fingerprints and whatever links were refuted.
 
 Copies of whole texts are grouped by digest first. Defined cases: null texts count as empty; texts without a word are
 similar to each other; a null doc_id joins no component; rows repeated whole share their id and stay together; other
@@ -19,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tendril.llm.shared import maybe_broadcast, written
@@ -29,6 +33,7 @@ SHINGLE = 5
 SIMILAR = 80  # hundredths
 RADIUS = 22
 BANDS = 11
+SHINGLES = 1 << 20  # of a chunk of a bucket, where whole sets are compared
 _ODD = np.random.default_rng(80).integers(0, 2**63, 2 * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -45,9 +50,9 @@ def shingle_hashes(text: bytes | None) -> np.ndarray:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (id, text) -> id, fp, bands."""
+    """Rows (id, text) -> id, fp, bands, n (distinct shingles)."""
     for batch in batches:
-        fps, bands = [], []
+        fps, bands, sizes = [], [], []
         for x in batch.column(1):
             h = shingle_hashes(x.as_py())
             bits = 2 * bit_counts(h) > len(h)
@@ -55,7 +60,8 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             low = np.array([((h * m) ^ ((h * m) >> np.uint64(29))).min() for m in _ODD])
             key = (low[::2] * np.uint64(0x9E3779B97F4A7C15)) ^ (low[1::2] * np.uint64(0xC2B2AE3D27D4EB4F)) ^ np.arange(BANDS, dtype=np.uint64)
             bands.append(key.view(np.int64).tolist())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], ["id", "fp", "bands"])
+            sizes.append(len(np.unique(h)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sizes, pa.int64())], ["id", "fp", "bands", "n"])
 
 
 def spanning_forest(fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
@@ -127,6 +133,95 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
+def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, text) -> id, shingles (distinct, sorted)."""
+    for batch in batches:
+        sets = [np.unique(shingle_hashes(x.as_py())).view(np.int64) for x in batch.column(1)]
+        ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+        flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["id", "shingles"])
+
+
+def links_across(part: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Links (positions) of similar sets that join all parts which have a similar pair between them, no more links
+    than parts. The largest part comes last, when nothing is left to be compared with it."""
+    _, part, members = np.unique(part, return_inverse=True, return_counts=True)
+    order = np.lexsort((part, members[part]))
+    part, sets = part[order], [sets[k] for k in order]
+    sizes = np.array([len(x) for x in sets])
+    start_of = np.append(0, np.cumsum(sizes))
+    _, shingle, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    holders = np.repeat(np.arange(len(sets)), sizes)[np.argsort(shingle, kind="stable")]
+    first = np.cumsum(counts) - counts
+    after = np.searchsorted(members[part] * len(members) + part, members[part] * len(members) + part, side="right")
+    root = np.arange(len(members))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    a, b = [], []
+    for k in range(len(sets)):
+        rest = slice(after[k], len(sets))
+        if not (100 * np.minimum(sizes[rest], sizes[k]) >= SIMILAR * np.maximum(sizes[rest], sizes[k])).any():
+            continue
+        own = shingle[start_of[k] : start_of[k + 1]]
+        own = own[counts[own] > 1]
+        many = counts[own]
+        at = np.repeat(first[own] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        both = np.bincount(holders[at], minlength=len(sets))[rest]
+        for j in (after[k] + np.flatnonzero(100 * both >= SIMILAR * (sizes[k] + sizes[rest] - both))).tolist():
+            x, y = find(part[k]), find(part[j])
+            if x != y:
+                root[y] = x
+                a.append(order[k])
+                b.append(order[j])
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def _links_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (band, pair, part, id, shingles) sorted by the first two -> links (a, b) of ids."""
+
+    def links(rows: list[tuple]) -> pa.RecordBatch:
+        ids = np.array([x[1] for x in rows], np.int64)
+        a, b = links_across(np.array([x[0] for x in rows], np.int64), [x[2] for x in rows])
+        return pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])
+
+    held, last = [], None
+    for batch in batches:
+        band, pair, part, ids = (batch.column(k).to_numpy() for k in range(4))
+        for k in range(batch.num_rows):
+            if last != (now := (band[k], pair[k])):
+                if len(held) > 1:
+                    yield links(held)
+                held, last = [], now
+            held.append((part[k], ids[k], batch.column(4)[k].values.to_numpy().copy()))
+    if len(held) > 1:
+        yield links(held)
+
+
+def _chunk_pairs(chunks: Column) -> Column:
+    """A row for each pair of chunks in which the id's chunk meets another one or itself."""
+    mine = F.pmod(F.hash("id"), chunks)
+    return F.explode(F.transform(F.sequence(F.lit(0), chunks - 1), lambda c: (F.least(c, mine) * 65536 + F.greatest(c, mine)).cast("long")))
+
+
+def remaining_links(firsts: DataFrame, sketched: DataFrame, stars: DataFrame) -> DataFrame:
+    """firsts (id, text), sketched (id, bands, n), stars (node, root) -> links (a, b) of similar documents, for all
+    similar pairs that share a bucket and aren't of one star or connected by those links."""
+    part = sketched.join(stars.select(F.col("node").alias("id"), "root"), "id", "left").select("id", "n", "bands", F.coalesce("root", "id").alias("part"))
+    dealt = written(part, "parts").select("id", "n", "part", F.explode("bands").alias("band"))
+    found = dealt.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("count"), F.sum("n").alias("size"))
+    unsettled = written(found.where("low <> high").select("band", F.ceil(F.greatest(F.col("count") / BUCKET, F.col("size") / SHINGLES)).cast("int").alias("chunks")), "unsettled")
+    met = written(dealt.join(unsettled, "band").select("band", _chunk_pairs(F.col("chunks")).alias("pair"), "part", "id").distinct(), "met")
+    ids = written(met.select("id").distinct(), "ids_met")
+    texts = firsts.join(maybe_broadcast(ids), "id", "left_semi").dropDuplicates(["id", "text"])
+    sets = written(texts.select("id", "text").mapInArrow(_shingle_sets, "id bigint, shingles array<bigint>"), "shingle_sets")
+    rows = met.join(sets, "id").select("band", "pair", "part", "id", "shingles").repartition("band", "pair").sortWithinPartitions("band", "pair")
+    return rows.mapInArrow(_links_across, "a bigint, b bigint").where("a <> b").distinct()
+
+
 def similar_documents(docs: DataFrame) -> DataFrame:
     """docs (doc_id long, text) -> node, root: every document but the first of each group of similar ones, and it."""
     own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
@@ -134,19 +229,19 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     copies = written(rows.join(written(rows.groupBy("digest").agg(F.min("id").alias("first")), "first_copies"), "digest").where("id > first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct(), "copies")
     later = copies.select(F.col("a").alias("id")).distinct()
     firsts = own.join(maybe_broadcast(later), "id", "left_anti")
-    sketched = written(firsts.mapInArrow(_sketches, "id bigint, fp bigint, bands array<bigint>"), "sketches")
+    sketched = written(firsts.mapInArrow(_sketches, "id bigint, fp bigint, bands array<bigint>, n bigint"), "sketches")
     dealt = sketched.select("id", "fp", F.explode("bands").alias("band"))
     sizes = written(dealt.groupBy("band").count().where("count > 1"), "buckets")
-    chunks = F.ceil(F.col("count") / BUCKET).cast("int")
-    mine = F.pmod(F.hash("id"), chunks)
-    pair = F.explode(F.transform(F.sequence(F.lit(0), chunks - 1), lambda c: (F.least(c, mine) * 65536 + F.greatest(c, mine)).cast("long")))
+    pair = _chunk_pairs(F.ceil(F.col("count") / BUCKET).cast("int"))
     met = dealt.join(sizes, "band").select("band", pair.alias("pair"), "fp", "id").repartition("band", "pair").sortWithinPartitions("band", "pair")
     links = written(met.mapInArrow(_bucket_links, "a bigint, b bigint").where("a <> b").distinct(), "links")
     ends = written(links.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
     texts = written(firsts.join(maybe_broadcast(ends), "id", "left_semi").dropDuplicates(["id"]), "texts_of_ends")
     with_a = links.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
     with_both = with_a.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
-    return connected(with_both.mapInArrow(_verified, "a bigint, b bigint").union(copies))
+    stars = written(connected(with_both.mapInArrow(_verified, "a bigint, b bigint")), "stars")
+    more = remaining_links(firsts, sketched, stars)
+    return connected(stars.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more).union(copies))
 
 
 def without_similar(docs: DataFrame) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+
 from tendril.llm import similar_texts as M
 
 
@@ -45,3 +47,16 @@ def test_odd_documents(spark, odd_docs, no_docs):
     kept = M.without_similar(odd_docs)
     assert kept.columns == odd_docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "10", "4", "5", "5", "7", "8", "None"]
     assert M.similar_documents(no_docs).count() == 0
+
+
+def test_a_form_filled_in_differently(spark, monkeypatch):
+    """A family whose similarities lie on both sides of 0.8: links that fail don't hide those that hold."""
+    rng = random.Random(5)
+    fields = set(rng.sample(range(200), 12))
+    texts = {n: " ".join(f"v{k}_{rng.randint(0, 4)}" if k in fields else f"w{k}" for k in range(200)) for n in range(300)}
+    want = {i: g for i, g in brute_similar(texts).items() if i != g}
+    assert 30 < len(want)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for shingles in (M.SHINGLES, 20_000):
+        monkeypatch.setattr(M, "SHINGLES", shingles)
+        assert {r.node: r.root for r in M.similar_documents(docs).collect()} == want
