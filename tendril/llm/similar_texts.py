@@ -1,7 +1,7 @@
 """Documents of similar texts, as the pipeline's near-dedup stage needs them: five-word shingles, Jaccard 0.8 or more.
 
-The SimHash operator with a wide radius: texts that similar differ in up to about twenty bits, where blocks of bits no
-longer deal the pairs out, so documents are dealt out by `BANDS` pairs of MinHash values of their shingles (a pair of
+The SimHash operator with a wide radius, over distinct shingles: texts that similar mostly differ in up to about twenty
+bits, where blocks of bits no longer deal the pairs out, so documents are dealt out by `BANDS` pairs of MinHash values of their shingles (a pair of
 similarity 0.8 shares none with a chance of 4 in 100,000). In each bucket the table of distances to the reference
 fingerprints bounds Hamming distances from below, pairs beyond `RADIUS` are put off by it or on sight, and the rest
 is cut down to a minimum spanning forest, at most a link per fingerprint and never all pairs. Every link is then
@@ -54,13 +54,13 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         fps, bands, sizes = [], [], []
         for x in batch.column(1):
-            h = shingle_hashes(x.as_py())
+            h = np.unique(shingle_hashes(x.as_py()))  # similarity is of distinct shingles, so the bits are too
             bits = 2 * bit_counts(h) > len(h)
             fps.append(int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little", signed=True))
             low = np.array([((h * m) ^ ((h * m) >> np.uint64(29))).min() for m in _ODD])
             key = (low[::2] * np.uint64(0x9E3779B97F4A7C15)) ^ (low[1::2] * np.uint64(0xC2B2AE3D27D4EB4F)) ^ np.arange(BANDS, dtype=np.uint64)
             bands.append(key.view(np.int64).tolist())
-            sizes.append(len(np.unique(h)))
+            sizes.append(len(h))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sizes, pa.int64())], ["id", "fp", "bands", "n"])
 
 

@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from tendril.llm import similar_texts as M
 
 
@@ -60,3 +63,12 @@ def test_a_form_filled_in_differently(spark, monkeypatch):
     for shingles in (M.SHINGLES, 20_000):
         monkeypatch.setattr(M, "SHINGLES", shingles)
         assert {r.node: r.root for r in M.similar_documents(docs).collect()} == want
+
+
+def test_repeated_lines(spark):
+    """Similarity is of distinct shingles, however often a text repeats some; the radius discards no similar pair."""
+    article = " ".join(f"a{k}" for k in range(400))
+    texts = {1: article, 2: article + "".join(f" x{k % 10}" for k in range(1000)), 3: article + "".join(f" y{k % 10}" for k in range(1000))}
+    fps = [r["fp"] for b in M._sketches(iter([pa.RecordBatch.from_arrays([pa.array([*texts]), pa.array([t.encode() for t in texts.values()])], ["id", "text"])])) for r in b.to_pylist()]
+    assert max((x ^ y).bit_count() for x in np.array(fps).view(np.uint64).tolist() for y in np.array(fps).view(np.uint64).tolist()) <= 12
+    assert {r.node: r.root for r in M.similar_documents(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()} == {2: 1, 3: 1}
