@@ -78,22 +78,30 @@ def anchors_of(data: bytes, ends: list[int]) -> tuple[np.ndarray, np.ndarray]:
     return at, h[at]
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, text) -> h, key, pos."""
+def _anchors(batches: Iterator[pa.RecordBatch], piece: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """Rows (key, text) -> h, key, pos, each anchor once."""
+    last = None  # anchor; where a text is cut, it is often the next piece's first one as well
 
     def out(block: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+        nonlocal last
         ends = np.cumsum([len(x[2]) for x in block])
         at, h = anchors_of(b"".join(x[2] for x in block), ends.tolist())
         of = np.searchsorted(ends, at, side="right")
         base = np.array([x[1] for x in block]) - np.append(0, ends[:-1])
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.array([x[0] for x in block], np.int64)[of]), pa.array(at + base[of])], ["h", "key", "pos"])
+        key, pos = np.array([x[0] for x in block], np.int64)[of], at + base[of]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (pos[1:] != pos[:-1])
+        if len(key):
+            new[0] = last != (key[0], pos[0])
+            last = (key[-1], pos[-1])
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)[new]), pa.array(key[new]), pa.array(pos[new])], ["h", "key", "pos"])
 
     block, size = [], 0
     for batch in batches:
         for key, text in zip(batch.column(0), batch.column(1), strict=True):
             key, text = key.as_py(), text.as_py()
-            for start in range(0, max(1, len(text) - MATCH + 1), PIECE):
-                block.append((key, start, text[start : start + PIECE + MATCH - 1] if len(text) > PIECE else text))
+            for start in range(0, max(1, len(text) - MATCH + 1), piece):
+                block.append((key, start, text[start : start + piece + MATCH - 1] if len(text) > piece else text))
                 size += len(block[-1][2])
                 if size >= BLOCK:
                     yield out(block)
@@ -162,7 +170,7 @@ def covered_windows(bucket: np.ndarray, key: np.ndarray, pos: np.ndarray, left:
     return again, first
 
 
-def _bucket_matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bucket_matches(batches: Iterator[pa.RecordBatch], most: int = ROWS) -> Iterator[pa.RecordBatch]:
     """Rows of _surroundings sorted by (h, chunk) -> key, start, stop to remove; and of buckets in chunks, for each
     string that is first in its chunk, its digest instead (d1, d2)."""
     names = ["key", "start", "stop", "d1", "d2"]
@@ -203,7 +211,7 @@ def _bucket_matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         other = np.flatnonzero((h != h[-1]) | (chunk != chunk[-1]))
         start = int(other[-1]) + 1 if len(other) else 0  # of the batch's last bucket
         whole = start or last != (h[0], chunk[0])
-        if count + start >= ROWS and whole:
+        if count + start >= most and whole:
             yield from out([*held, batch.slice(0, start)])
             held, count = [batch.slice(start)], batch.num_rows - start
         else:
@@ -240,7 +248,8 @@ def keyed(docs: DataFrame, carry: tuple[str, ...] = ()) -> tuple[DataFrame, Data
 
 def duplicate_spans(texts: DataFrame, match_bucket: int = BUCKET) -> DataFrame:
     """texts (key, text) -> key, spans (arrays of start, stop, not merged) of the bytes to remove."""
-    anchors = texts.mapInArrow(_anchors, "h bigint, key bigint, pos bigint")
+    piece, most = PIECE, ROWS  # workers import this module, so what is set here is passed on
+    anchors = texts.mapInArrow(lambda batches: _anchors(batches, piece), "h bigint, key bigint, pos bigint")
     # a table of its own, so that the join below has a plain shuffle on either side and a hot anchor can be split
     repeated = written(anchors.groupBy("h").count().where("count > 1"), "repeated_anchors")
     chunks = F.ceil(F.col("count") / match_bucket).cast("int")
@@ -249,7 +258,7 @@ def duplicate_spans(texts: DataFrame, match_bucket: int = BUCKET) -> DataFrame:
     packed = texts.select("key", "text").mapInArrow(_packed, "key bigint, text binary")
     around = packed.join(by_text, "key").select("key", "text", "at").mapInArrow(_surroundings, "h bigint, chunk int, chunks int, key bigint, pos bigint, before int, bytes binary")
     around = around.repartition("h", "chunk").sortWithinPartitions("h", "chunk")
-    found = written(around.mapInArrow(_bucket_matches, "key bigint, start bigint, stop bigint, d1 bigint, d2 bigint"), "matches")
+    found = written(around.mapInArrow(lambda batches: _bucket_matches(batches, most), "key bigint, start bigint, stop bigint, d1 bigint, d2 bigint"), "matches")
     own = found.where("stop >= 0").select("key", "start", "stop")
     across = found.where("stop < 0").select("d1", "d2", F.struct("key", "start").alias("place"))
     first = across.groupBy("d1", "d2").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last").select("d1", "d2", "first")

@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import pyarrow as pa
+
 from tendril.llm import suffix_dedup as M
 
 
@@ -60,3 +62,15 @@ def test_odd_documents(spark, odd_docs, no_docs, monkeypatch):
     assert results(spark, no_docs, monkeypatch) == []
     kept = M.without_repeats(odd_docs)
     assert kept.columns == odd_docs.columns and 9 not in {r.doc_id for r in kept.collect()}
+
+
+def test_clean_text_longer_than_a_piece(spark, monkeypatch):
+    text = random.Random(9).randbytes(M.PIECE + 5_000).hex()  # two boundaries
+    assert dict(results(spark, spark.createDataFrame([(1, text)], "doc_id long, text string"), monkeypatch)) == {1: digested((len(text), 0, 0, text.encode()))}
+
+
+def test_anchors_come_once():
+    text = random.Random(4).randbytes(4_000).hex().encode()
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([text, text[5:]])], ["key", "text"])
+    rows = [tuple(r.values()) for b in M._anchors(iter([batch]), 300) for r in b.to_pylist()]
+    assert len(rows) == len(set(rows)) and sorted(rows) == sorted(tuple(r.values()) for b in M._anchors(iter([batch])) for r in b.to_pylist())
