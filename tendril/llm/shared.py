@@ -5,11 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows of a table that may be broadcast after they have been counted; larger ones are joined by a shuffle.
-BROADCAST_ROWS = 200_000
+#: Rows and bytes of a table that may be broadcast after they have been added up; larger ones are joined by a shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
 #: Rows and bytes of an Arrow batch at most; texts are large rows, and every worker holds a few batches.
 BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 
@@ -28,9 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; only where that is unset, a new local one."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a session in one process
+    gets a new local one; on a cluster that is an error, as executors wouldn't see each other's files."""
     there = spark.conf.get("spark.checkpoint.dir", None)
     if not there:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         there = f"file://{tempfile.mkdtemp(prefix='tendril-')}"
         spark.conf.set("spark.checkpoint.dir", there)
     return there.rstrip("/")
@@ -49,9 +53,46 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has at most `limit` rows (counted no further than that), else as it is."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def _bytes_of(df: DataFrame) -> Column:
+    """About how many bytes a row of df takes."""
+
+    def size(field: T.StructField) -> Column:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.octet_length(field.name)
+        return F.lit(8) if isinstance(field.dataType, T.AtomicType) else F.octet_length(F.to_json(F.struct(field.name)))
+
+    return sum((F.coalesce(size(f), F.lit(0)).cast("long") for f in df.schema.fields), F.lit(16).cast("long"))
+
+
+def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if it has at most `limit` rows of at most `most` bytes together, else as it is. Meant for
+    written tables: its rows and bytes are added up first, which leaves one row per task."""
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(_bytes_of(df))).first()
+    return F.broadcast(df) if rows <= limit and (size or 0) <= most else df
+
+
+def keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame, str, bool]:
+    """docs (doc_id, text and others) -> docs with a key, rows (doc_id, digest, n_bytes, key), the key's column name, and
+    whether keys are one to one with rows.
+
+    Rows with the same doc_id and text share a key and no others do, so what is decided by key hits no other row, nulls
+    included. Keys are longs in order of doc_id (a null one first), then of the text's digest; where the ids are whole
+    numbers, none null and none twice, they are the ids themselves and nothing is joined. A null text is the empty one.
+    """
+    name = "key"
+    while name in docs.columns:
+        name += "_"
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rows = written(docs.select("doc_id", F.sha2(text, 256).alias("digest"), F.octet_length(text).cast("long").alias("n_bytes")), "digests")
+    whole = isinstance(docs.schema["doc_id"].dataType, T.IntegralType)
+    if whole and rows.where("doc_id is null").isEmpty() and rows.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return docs.withColumn(name, F.col("doc_id").cast("long")), rows.withColumn("key", F.col("doc_id").cast("long")), name, True
+    first = F.col("doc_id").asc_nulls_first()
+    order = rows.select("doc_id", "digest").distinct().repartitionByRange(first, "digest").sortWithinPartitions(first, "digest")
+    order = written(order.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__of"), F.monotonically_increasing_id().alias("__key")), "keys")
+    own = docs.join(order, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.sha2(text, 256) == F.col("__of"))).select(*[F.col(f"`{c}`") for c in docs.columns], F.col("__key").alias(name))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__of"))
+    return own, rows.join(order, same).select("doc_id", "digest", "n_bytes", F.col("__key").alias("key")), name, False
 
 
 def crc_of_id(doc_id: str = "doc_id"):

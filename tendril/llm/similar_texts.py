@@ -9,11 +9,13 @@ verified by exact Jaccard similarity of the two texts' shingle sets, and verifie
 
 That settles most buckets cheaply, but it decides nothing: a bucket whose documents aren't all of one part after it is
 taken again with its shingle sets, and every pair of two parts is tested exactly (`links_across`), so that each
-similar pair of a bucket ends in one component, whatever its fingerprints and whatever links were refuted.
+similar pair of a bucket ends in one component, whatever its fingerprints and whatever links were refuted. A bucket's
+largest part never meets itself there; large buckets are cut into chunks that meet two by two in tasks of their own.
 
 Copies of whole texts are grouped by digest first. Defined cases: null texts count as empty; texts without a word are
-similar to each other; a null doc_id joins no component; rows repeated whole share their id and stay together; other
-columns are ignored. Whole texts are read.
+similar to each other; rows are told apart by doc_id and text (`shared.keyed`), so null ids and ids of several texts
+are judged row by row, a null id coming first; rows repeated whole are one document and stay together; other columns
+are ignored. Whole texts are read.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tendril.llm.shared import maybe_broadcast, written
+from tendril.llm.shared import keyed, maybe_broadcast, written
 from tendril.llm.simhash_dedup import _PIVOTS, BUCKET, SEED, bit_counts, connected
 
 SHINGLE = 5
@@ -78,9 +80,9 @@ def spanning_forest(fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray,
         rest = np.flatnonzero(~out)
         if not len(rest):
             break
-        rest_near = rest[np.abs(refs[rest] - refs[now]).max(axis=1) < far[rest]]  # the others can't come nearer
+        rest_near = rest[np.abs(refs[rest] - refs[now]).max(axis=1) <= far[rest]]  # the others can't come nearer
         d = np.bitwise_count(fps[rest_near] ^ fps[now]).astype(np.int16)
-        nearer = d < far[rest_near]
+        nearer = d <= far[rest_near]  # of links as short the newest counts: chains, not hubs with a link to each
         far[rest_near[nearer]], via[rest_near[nearer]] = d[nearer], now
         now = int(rest[far[rest].argmin()])
         if far[now] <= radius:
@@ -90,7 +92,7 @@ def spanning_forest(fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray,
 
 
 def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (band, pair, fp, id) sorted by the first two -> links (a, b) of ids."""
+    """Rows (band, pair, fp, id) in order -> links (a, b) of ids."""
 
     def links(rows: np.ndarray) -> pa.RecordBatch:
         cuts = np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(axis=1)) + 1
@@ -201,10 +203,27 @@ def _links_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield links(held)
 
 
+_LARGEST = 1 << 31  # chunks of a bucket's largest part are numbered from here
+
+
+def _pair(a: Column, b: Column) -> Column:
+    return F.shiftleft(F.least(a, b), 32).bitwiseOR(F.greatest(a, b))
+
+
 def _chunk_pairs(chunks: Column) -> Column:
     """A row for each pair of chunks in which the id's chunk meets another one or itself."""
-    mine = F.pmod(F.hash("id"), chunks)
-    return F.explode(F.transform(F.sequence(F.lit(0), chunks - 1), lambda c: (F.least(c, mine) * 65536 + F.greatest(c, mine)).cast("long")))
+    mine = F.pmod(F.xxhash64("id"), chunks)
+    return F.explode(F.transform(F.sequence(F.lit(0).cast("long"), chunks - 1), lambda c: _pair(c, mine)))
+
+
+def _pairs_across(others: Column, largest: Column, is_largest: Column) -> Column:
+    """The same where the bucket's largest part, in `largest` chunks of its own, meets the others but not itself."""
+    zero = F.lit(0).cast("long")
+    mine = F.pmod(F.xxhash64("id"), F.when(is_largest, largest).otherwise(others))
+    all_others = F.sequence(zero, others - 1)
+    met = F.transform(all_others, lambda c: _pair(c, F.when(is_largest, mine + _LARGEST).otherwise(mine)))
+    with_largest = F.transform(F.sequence(zero, largest - 1), lambda c: _pair(mine, c + _LARGEST))
+    return F.explode(F.when(is_largest, met).otherwise(F.concat(met, with_largest)))
 
 
 def remaining_links(firsts: DataFrame, sketched: DataFrame, stars: DataFrame) -> DataFrame:
@@ -212,39 +231,44 @@ def remaining_links(firsts: DataFrame, sketched: DataFrame, stars: DataFrame) ->
     similar pairs that share a bucket and aren't of one star or connected by those links."""
     part = sketched.join(stars.select(F.col("node").alias("id"), "root"), "id", "left").select("id", "n", "bands", F.coalesce("root", "id").alias("part"))
     dealt = written(part, "parts").select("id", "n", "part", F.explode("bands").alias("band"))
-    found = dealt.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("count"), F.sum("n").alias("size"))
-    unsettled = written(found.where("low <> high").select("band", F.ceil(F.greatest(F.col("count") / BUCKET, F.col("size") / SHINGLES)).cast("int").alias("chunks")), "unsettled")
-    met = written(dealt.join(unsettled, "band").select("band", _chunk_pairs(F.col("chunks")).alias("pair"), "part", "id").distinct(), "met")
+    of_part = dealt.groupBy("band", "part").agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("size"))
+    found = of_part.groupBy("band").agg(F.max(F.struct("count", "size", "part")).alias("top"), F.sum("count").alias("count"), F.sum("size").alias("size")).where("count > top.count")
+    chunks = lambda count, size: F.ceil(F.greatest(count / BUCKET, size / SHINGLES)).cast("long")
+    unsettled = found.select("band", F.col("top.part").alias("top"), chunks(F.col("count") - F.col("top.count"), F.col("size") - F.col("top.size")).alias("others"), chunks(F.col("top.count"), F.col("top.size")).alias("largest"))
+    pairs = _pairs_across(F.col("others"), F.col("largest"), F.col("part") == F.col("top"))
+    met = written(dealt.join(written(unsettled, "unsettled"), "band").select("band", pairs.alias("pair"), "part", "id"), "met")
     ids = written(met.select("id").distinct(), "ids_met")
-    texts = firsts.join(maybe_broadcast(ids), "id", "left_semi").dropDuplicates(["id", "text"])
+    texts = firsts.join(maybe_broadcast(ids), "id", "left_semi")
     sets = written(texts.select("id", "text").mapInArrow(_shingle_sets, "id bigint, shingles array<bigint>"), "shingle_sets")
     rows = met.join(sets, "id").select("band", "pair", "part", "id", "shingles").repartition("band", "pair").sortWithinPartitions("band", "pair")
     return rows.mapInArrow(_links_across, "a bigint, b bigint").where("a <> b").distinct()
 
 
-def similar_documents(docs: DataFrame) -> DataFrame:
-    """docs (doc_id long, text) -> node, root: every document but the first of each group of similar ones, and it."""
-    own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    rows = written(own.select("id", F.sha2("text", 256).alias("digest")), "digests")
-    copies = written(rows.join(written(rows.groupBy("digest").agg(F.min("id").alias("first")), "first_copies"), "digest").where("id > first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct(), "copies")
-    later = copies.select(F.col("a").alias("id")).distinct()
-    firsts = own.join(maybe_broadcast(later), "id", "left_anti")
+def similar_documents(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """texts (id, text) of one row per id, rows (key, digest) -> node, root: all ids but the first of each group of
+    similar texts, and that."""
+    first = written(rows.groupBy("digest").agg(F.min("key").alias("first")), "first_copies")
+    copies = written(rows.join(first, "digest").where("key > first").select(F.col("key").alias("a"), F.col("first").alias("b")).distinct(), "copies")
+    firsts = written(texts.join(maybe_broadcast(copies.select(F.col("a").alias("id"))), "id", "left_anti"), "firsts")
     sketched = written(firsts.mapInArrow(_sketches, "id bigint, fp bigint, bands array<bigint>, n bigint"), "sketches")
     dealt = sketched.select("id", "fp", F.explode("bands").alias("band"))
     sizes = written(dealt.groupBy("band").count().where("count > 1"), "buckets")
-    pair = _chunk_pairs(F.ceil(F.col("count") / BUCKET).cast("int"))
-    met = dealt.join(sizes, "band").select("band", pair.alias("pair"), "fp", "id").repartition("band", "pair").sortWithinPartitions("band", "pair")
+    pair = _chunk_pairs(F.ceil(F.col("count") / BUCKET).cast("long"))
+    met = dealt.join(sizes, "band").select("band", pair.alias("pair"), "fp", "id").repartition("band", "pair").sortWithinPartitions("band", "pair", "fp", "id")
     links = written(met.mapInArrow(_bucket_links, "a bigint, b bigint").where("a <> b").distinct(), "links")
     ends = written(links.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
-    texts = written(firsts.join(maybe_broadcast(ends), "id", "left_semi").dropDuplicates(["id"]), "texts_of_ends")
-    with_a = links.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-    with_both = with_a.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
+    of_ends = written(firsts.join(maybe_broadcast(ends), "id", "left_semi"), "texts_of_ends")
+    with_a = links.join(of_ends.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+    with_both = with_a.join(of_ends.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
     stars = written(connected(with_both.mapInArrow(_verified, "a bigint, b bigint")), "stars")
     more = remaining_links(firsts, sketched, stars)
     return connected(stars.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more).union(copies))
 
 
 def without_similar(docs: DataFrame) -> DataFrame:
-    """docs without those that are similar to one with a smaller id, or linked to such through others; all columns stay."""
-    found = written(similar_documents(docs).select(F.col("node").alias("doc_id")).distinct(), "similar")
-    return docs.join(maybe_broadcast(found), "doc_id", "left_anti").select(docs.columns)
+    """docs without those that are similar to one before them, or linked to such through others; all columns stay."""
+    own, rows, key, unique = keyed(docs)
+    texts = own.select(F.col(key).alias("id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    found = similar_documents(texts if unique else texts.dropDuplicates(["id"]), rows.select("key", "digest"))
+    gone = written(found.select(F.col("node").alias(key)).distinct(), "similar")
+    return own.join(maybe_broadcast(gone), key, "left_anti").select(docs.columns)

@@ -28,6 +28,13 @@ def brute_similar(texts):
     return {i: find(i) for i in ids}
 
 
+def roots(docs):
+    """id -> the first of its group, for all but the firsts."""
+    own, rows, key, unique = M.keyed(docs)
+    assert unique
+    return {r.node: r.root for r in M.similar_documents(own.select(M.F.col(key).alias("id"), M.F.col("text").cast("binary").alias("text")), rows.select("key", "digest")).collect()}
+
+
 def test_given_documents_in_chunks(spark, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     group = brute_similar({r.doc_id: r.text for r in docs.collect()})
@@ -35,21 +42,32 @@ def test_given_documents_in_chunks(spark, monkeypatch):
     assert len(want) > 50
     for size in (M.BUCKET, 3):
         monkeypatch.setattr(M, "BUCKET", size)
-        assert {r.node: r.root for r in M.similar_documents(docs).collect()} == want
+        assert roots(docs) == want
 
 
 def test_a_large_group_of_near_copies(spark):
     words = [f"w{k}" for k in range(300)]
     texts = {n: " ".join(w if (k * 7 + n) % 150 else f"x{n}" for k, w in enumerate(words)) for n in range(200)}
     group = brute_similar(texts)
-    out = {r.node: r.root for r in M.similar_documents(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    out = roots(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
     assert out == {i: g for i, g in group.items() if i != g} and len(out) > 150
 
 
 def test_odd_documents(spark, odd_docs, no_docs):
     kept = M.without_similar(odd_docs)
     assert kept.columns == odd_docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "10", "4", "5", "5", "7", "8", "None"]
-    assert M.similar_documents(no_docs).count() == 0
+    assert M.without_similar(no_docs).count() == 0
+
+
+def test_rows_without_ids_and_ids_of_several_texts(spark):
+    """Rows are judged by id and text: a copy goes, whatever other row has its id."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(1, a), (2, b), (3, a), (3, c), (None, b), (None, b + " more"), (None, c + " x"), (3, c), (5, None), (6, "")]
+    left = M.without_similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len([r for r in left if r.text and r.text.startswith("b0")]) == 1 and len([r for r in left if r.text and r.text.startswith("c0")]) == 1
+    assert [r.doc_id for r in left if r.text and r.text.startswith("a0")] == [1] and [r.doc_id for r in left if not r.text] == [5]
+    text_ids = M.without_similar(spark.createDataFrame([("x", a), ("y", a), ("z", b)], "doc_id string, text string")).collect()
+    assert sorted(r.doc_id for r in text_ids) == ["x", "z"]
 
 
 def test_a_form_filled_in_differently(spark, monkeypatch):
@@ -62,7 +80,7 @@ def test_a_form_filled_in_differently(spark, monkeypatch):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     for shingles in (M.SHINGLES, 20_000):
         monkeypatch.setattr(M, "SHINGLES", shingles)
-        assert {r.node: r.root for r in M.similar_documents(docs).collect()} == want
+        assert roots(docs) == want
 
 
 def test_repeated_lines(spark):
@@ -71,4 +89,4 @@ def test_repeated_lines(spark):
     texts = {1: article, 2: article + "".join(f" x{k % 10}" for k in range(1000)), 3: article + "".join(f" y{k % 10}" for k in range(1000))}
     fps = [r["fp"] for b in M._sketches(iter([pa.RecordBatch.from_arrays([pa.array([*texts]), pa.array([t.encode() for t in texts.values()])], ["id", "text"])])) for r in b.to_pylist()]
     assert max((x ^ y).bit_count() for x in np.array(fps).view(np.uint64).tolist() for y in np.array(fps).view(np.uint64).tolist()) <= 12
-    assert {r.node: r.root for r in M.similar_documents(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()} == {2: 1, 3: 1}
+    assert roots(spark.createDataFrame(list(texts.items()), "doc_id long, text string")) == {2: 1, 3: 1}
