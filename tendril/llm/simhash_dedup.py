@@ -1,11 +1,13 @@
 """Near duplicates by 64-bit SimHash, linked through pivot distance tables.
 
-Fingerprints come from word 3-shingles. Two fingerprints within `RADIUS` bits agree on at least two of four 16-bit
-blocks, so dealing every distinct fingerprint out by its six pairs of blocks brings each such pair together. In each
-bucket a table of Hamming distances to the reference fingerprints is computed once; by the triangle inequality a pair
-whose table rows differ by more than the radius in any coordinate can't link and is discarded unseen, and the
-survivors are verified bit by bit. (References alone can't deal the pairs out: distances from random references
-to random fingerprints hardly differ, so nearly every cell would meet nearly every other.)
+Fingerprints come from word 3-shingles. A table of Hamming distances to the reference fingerprints decides which
+pairs are looked at: by the triangle inequality a pair whose table rows differ by more than the radius in any
+coordinate can't link and is discarded unseen, and the survivors are verified bit by bit.
+
+References alone can't deal the pairs out to tasks, as distances from random references to random fingerprints hardly
+differ and nearly every cell would meet nearly every other. Two fingerprints within two bits agree on one of three
+blocks of bits at least, so fingerprints are dealt out by block, the coarsest deal that loses no pair; a block of 21
+bits leaves one pair in 700,000 together, and of those the table discards all but one in a million or so.
 
 Rows with equal fingerprints are grouped before any comparison, a bucket gives a spanning forest and never its pairs,
 and a bucket with more than `BUCKET` fingerprints is cut into chunks that meet two by two in tasks of their own.
@@ -25,12 +27,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tendril.llm.shared import maybe_broadcast, table, written
+from tendril.llm.shared import table, written
 
 SHINGLE = 3
 SEED = 42
 RADIUS = 2
-REFERENCES = 16
+REFERENCES = 24
+BLOCKS = ((0, 22), (22, 21), (43, 21))  # first bit and width; one more than the radius
 BUCKET = 8192
 
 _LANE = np.uint64(0x0101010101010101)
@@ -135,42 +138,38 @@ def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def fingerprint_links(distinct: DataFrame) -> DataFrame:
     """distinct (fp) -> links (a, b) that connect exactly the fingerprints within the radius, or through others."""
-    block = [F.shiftrightunsigned("fp", 16 * k).bitwiseAND(F.lit(0xFFFF)) for k in range(4)]
-    pairs = [(i, j) for i in range(4) for j in range(i + 1, 4)]
-    keys = [F.lit(n << 32).bitwiseOR(F.shiftleft(block[i], 16)).bitwiseOR(block[j]) for n, (i, j) in enumerate(pairs)]
-    dealt = distinct.select("fp", F.explode(F.array(*keys)).alias("bucket"))
-    sizes = dealt.groupBy("bucket").count().where("count > 1")
-    met = dealt.join(sizes, "bucket")
+    blocks = [F.shiftrightunsigned("fp", start).bitwiseAND(F.lit(2**width - 1)) for start, width in BLOCKS]
+    dealt = distinct.select("fp", F.explode(F.array(*[F.lit(n << 32).bitwiseOR(b) for n, b in enumerate(blocks)])).alias("bucket"))
+    sizes = written(dealt.groupBy("bucket").count().where("count > 1"), "block_sizes")
     chunks = F.ceil(F.col("count") / BUCKET).cast("int")
     own = F.pmod(F.hash("fp"), chunks)
     # a chunk meets itself and every other one; with a single chunk that is the whole bucket
     pair = F.explode(F.transform(F.sequence(F.lit(0), chunks - 1), lambda c: (F.least(c, own) * 65536 + F.greatest(c, own)).cast("long")))
-    return met.select("bucket", pair.alias("pair"), "fp").repartition("bucket", "pair").sortWithinPartitions("bucket", "pair").mapInArrow(_bucket_links, "a bigint, b bigint")
+    met = dealt.join(sizes, "bucket").select("bucket", pair.alias("pair"), "fp")
+    return met.repartition("bucket", "pair").sortWithinPartitions("bucket", "pair").mapInArrow(_bucket_links, "a bigint, b bigint")
 
 
-def connected(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected(links: DataFrame) -> DataFrame:
     """links (a, b) -> stars (node, root), root the smallest node of the component and no row for it itself.
 
-    Alternates large stars and small stars; every round is written to the shared folder, so lineage stays short.
+    Alternates large stars and small stars until nothing changes; every round is written to the shared folder, so
+    lineage stays short, and so are each node's least neighbours, so that the join with a hub's links can be split.
     """
 
     def mark(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
     edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    seen = mark(edges)
-    for _ in range(max_rounds):
+    seen, now = None, mark(edges)
+    while now != seen:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
+        large = written(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large_stars")
+        least = written(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
         edges = written(small.select("e.*").where("a <> b").distinct(), "edges")
-        now = mark(edges)
-        if now == seen:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = now
-    raise RuntimeError(f"components were not settled after {max_rounds} rounds")
+        seen, now = now, mark(edges)
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -186,11 +185,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return fps.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """docs without those that have a near duplicate with a smaller doc_id; all columns stay."""
-    found = written(near_duplicates(docs).where("doc_id <> component_id").select("doc_id").distinct(), "near_duplicates")
-    return docs.join(maybe_broadcast(found), "doc_id", "left_anti").select(docs.columns)
-
-
 def op6_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
