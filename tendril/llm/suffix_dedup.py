@@ -2,8 +2,7 @@
 
 A byte goes if it lies in a `MATCH`-byte string that also starts earlier (smaller doc_id, or the same document further
 left). That is LPF >= MATCH for the string's first position: in suffix order, the previous or the next smaller
-position shares at least MATCH bytes with it. Equivalently, among the positions that suffix order puts side by side
-with LCP >= MATCH, it isn't the smallest one; the smallest keeps its bytes.
+position shares at least MATCH bytes with it (`earlier_match`). The first copy keeps its bytes.
 
 The suffix array is never built whole. Every MATCH-byte string has one anchor, the `GRAM`-byte piece in it with the
 least hash, and equal strings have equal anchors at the same place, so suffixes are dealt out by anchor: a bucket holds
@@ -13,7 +12,10 @@ give the classes of equal strings at each distance before the anchor.
 
 What is shuffled: anchors (about one in 35 bytes), texts twice (compressed), and the surroundings of those anchors
 that occur more than once. Copies of whole texts are found by digest first and take no part. A bucket beyond `BUCKET`
-occurrences is cut into chunks; what is first in its chunk is then compared across chunks by a grouped minimum.
+occurrences is cut into chunks by place, so that neither a passage of many documents nor a text that repeats itself
+fills a task; what is first in its chunk is then compared across chunks by a grouped minimum. Where an anchor's
+surroundings are those of its occurrence before in the same piece of text, all strings around it go and it takes no
+further part: a text of one repeated line leaves a few anchors, not one for each repetition.
 
 Defined cases: null text counts as empty; documents in order of doc_id, a null one first, and rows that share an id in
 the order of their texts' hashes; rows repeated whole are one document (each row gets its result); other columns are
@@ -31,12 +33,12 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tendril.llm.shared import maybe_broadcast, table, written
+from tendril.llm.shared import keyed, maybe_broadcast, table, written
 
 MATCH = 100
 GRAM = 32
 REACH = MATCH - GRAM  # of a string's bytes that may precede its anchor
-BUCKET = 100_000
+BUCKET = 20_000
 BLOCK = 1 << 20  # bytes that are hashed at a time
 PIECE = 8 << 20  # of a document; a longer one is taken in overlapping pieces
 ROWS = 30_000  # occurrences that are sorted at a time, whole buckets
@@ -78,23 +80,46 @@ def anchors_of(data: bytes, ends: list[int]) -> tuple[np.ndarray, np.ndarray]:
     return at, h[at]
 
 
+def repeats_before(data: np.ndarray, of: np.ndarray, h: np.ndarray, at: np.ndarray, left: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """Of anchors at `at` (ascending) in data, those whose surroundings are whole and equal those of the one before with
+    the same hash in the same text. left and room: bytes of the text before and from the anchor on."""
+    order = np.lexsort((h, of))
+    a, b = order[:-1], order[1:]
+    whole = (left >= REACH) & (room >= MATCH)
+    near = np.flatnonzero((of[a] == of[b]) & (h[a] == h[b]) & whole[a] & whole[b])
+    again = np.zeros(len(at), bool)
+    window = np.arange(-REACH, MATCH)
+    for k in range(0, len(near), 4096):
+        x, y = a[near[k : k + 4096]], b[near[k : k + 4096]]
+        again[y] = (data[at[x][:, None] + window] == data[at[y][:, None] + window]).all(axis=1)
+    return again
+
+
 def _anchors(batches: Iterator[pa.RecordBatch], piece: int = PIECE) -> Iterator[pa.RecordBatch]:
-    """Rows (key, text) -> h, key, pos, each anchor once."""
+    """Rows (key, text) -> h, key, pos, each anchor once; and where surroundings repeat those before them, in place of
+    the anchors, runs of bytes to remove: a null h, key, pos and stop."""
     last = None  # anchor; where a text is cut, it is often the next piece's first one as well
 
     def out(block: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
         nonlocal last
         ends = np.cumsum([len(x[2]) for x in block])
-        at, h = anchors_of(b"".join(x[2] for x in block), ends.tolist())
+        starts = np.append(0, ends[:-1])
+        data = b"".join(x[2] for x in block)
+        at, h = anchors_of(data, ends.tolist())
         of = np.searchsorted(ends, at, side="right")
-        base = np.array([x[1] for x in block]) - np.append(0, ends[:-1])
-        key, pos = np.array([x[0] for x in block], np.int64)[of], at + base[of]
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (pos[1:] != pos[:-1])
+        again = repeats_before(np.frombuffer(data, np.uint8), of, h, at, at - starts[of], ends[of] - at)
+        key, pos = np.array([x[0] for x in block], np.int64)[of], at + (np.array([x[1] for x in block]) - starts)[of]
+        new = ~again
+        new[1:] &= (key[1:] != key[:-1]) | (pos[1:] != pos[:-1])
         if len(key):
             new[0] = last != (key[0], pos[0])
             last = (key[-1], pos[-1])
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)[new]), pa.array(key[new]), pa.array(pos[new])], ["h", "key", "pos"])
+        gone = np.flatnonzero(again)
+        first = np.append(True, (of[gone[1:]] != of[gone[:-1]]) | (at[gone[1:]] - REACH > at[gone[:-1]] + MATCH))[: len(gone)]
+        end = gone[np.append(first[1:], True)[: len(gone)]]
+        none = np.append(np.zeros(new.sum(), bool), np.ones(first.sum(), bool))
+        columns = [np.append(h.view(np.int64)[new], np.zeros(len(end), np.int64)), np.append(key[new], key[end]), np.append(pos[new], pos[gone[first]] - REACH), np.append(np.zeros(new.sum(), np.int64), pos[end] + MATCH)]
+        return pa.RecordBatch.from_arrays([pa.array(c, mask=m) for c, m in zip(columns, (none, None, None, ~none), strict=True)], ["h", "key", "pos", "stop"])
 
     block, size = [], 0
     for batch in batches:
@@ -112,20 +137,29 @@ def _anchors(batches: Iterator[pa.RecordBatch], piece: int = PIECE) -> Iterator[
 
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (key, packed text, at: structs of pos, h, chunk, chunks) -> h, chunk, chunks, key, pos, before, bytes."""
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    rows: list[tuple] = []
+
+    def out() -> pa.RecordBatch:
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+        rows.clear()
+        return pa.RecordBatch.from_arrays(columns, ["h", "chunk", "chunks", "key", "pos", "before", "bytes"])
+
     for batch in batches:
         unpack = zstandard.ZstdDecompressor()
-        rows: list[tuple] = []
         for k in range(batch.num_rows):
             text = unpack.decompress(batch.column(1)[k].as_py())
             key = batch.column(0)[k].as_py()
             at = batch.column(2)[k].values
-            for pos, h, chunk, chunks in zip(*(at.field(n).to_pylist() for n in ("pos", "h", "chunk", "chunks")), strict=True):
-                low = max(0, pos - REACH)
-                rows.append((h, chunk, chunks, key, pos, pos - low, text[low : pos + MATCH]))
-            if len(rows) >= 20_000 or k == batch.num_rows - 1 and rows:
-                types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["h", "chunk", "chunks", "key", "pos", "before", "bytes"])
-                rows = []
+            for start in range(0, len(at), 20_000):
+                part = at.slice(start, 20_000)
+                for pos, h, chunk, chunks in zip(*(part.field(n).to_pylist() for n in ("pos", "h", "chunk", "chunks")), strict=True):
+                    low = max(0, pos - REACH)
+                    rows.append((h, chunk, chunks, key, pos, pos - low, text[low : pos + MATCH]))
+                if len(rows) >= 20_000:
+                    yield out()
+    if rows:
+        yield out()
 
 
 def _order_and_lcp(bucket: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,12 +175,28 @@ def _order_and_lcp(bucket: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np
     return order, lcp
 
 
+def earlier_match(run: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Whether LPF >= MATCH, for positions in suffix order. run numbers the stretches whose neighbours share MATCH bytes
+    or more, in that order; place is a position's rank in the corpus. A position has an earlier match if in its run
+    there is a smaller position before it (so a previous smaller one) or after it (a next smaller one)."""
+    size = int(place.max(initial=0)) + 2
+    falling, rising = place - run * size, place + run * size  # runs apart, so that running minima start anew with each
+    before = np.append(size, np.minimum.accumulate(falling)[:-1])
+    after = np.append(np.minimum.accumulate(rising[::-1])[::-1][1:], np.iinfo(np.int64).max)
+    return (before < falling) | (after < rising)
+
+
 def covered_windows(bucket: np.ndarray, key: np.ndarray, pos: np.ndarray, left: np.ndarray, n_left: np.ndarray, right: np.ndarray, n_right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each occurrence and distance before its anchor: whether the string there also starts earlier, and whether
-    it is its class's first. left: bytes before the anchor, nearest first; right: from the anchor on."""
+    it is its class's first. left: bytes before the anchor, nearest first; right: from the anchor on.
+
+    Strings that start `before` bytes before their anchors are in suffix order once they are sorted by those bytes and
+    then by what follows from the anchor on. Neighbours share MATCH bytes if the anchors' surroundings agree that far to
+    the left and MATCH - before bytes to the right, which the two LCP arrays tell for whole stretches."""
     size = len(bucket)
-    again, first = np.zeros((size, REACH + 1), bool), np.zeros((size, REACH + 1), bool)
-    by_place = np.lexsort((pos, key))
+    again, whole_at = np.zeros((size, REACH + 1), bool), np.zeros((size, REACH + 1), bool)
+    place = np.empty(size, np.int64)
+    place[np.lexsort((pos, key))] = np.arange(size)
     order_r, lcp_r = _order_and_lcp(bucket, right)
     order_l, lcp_l = _order_and_lcp(bucket, left)
     most_r, most_l = np.empty(size, np.int64), np.empty(size, np.int64)
@@ -156,18 +206,17 @@ def covered_windows(bucket: np.ndarray, key: np.ndarray, pos: np.ndarray, left:
     for before in range(REACH + 1):
         after = MATCH - before
         whole = (n_left >= before) & (n_right >= after)
-        rows = by_place[(whole & (most_l >= before) & (most_r >= after))[by_place]]
-        first[:, before] = whole
+        whole_at[:, before] = whole
+        rows = order_r[(whole & (most_l >= before) & (most_r >= after))[order_r]]
         if len(rows) < 2:
             continue
         run_r[order_r] = np.cumsum(lcp_r < after)
         run_l[order_l] = np.cumsum(lcp_l < before)
-        _, smallest = np.unique(run_r[rows] * (size + 1) + run_l[rows], return_index=True)
-        later = np.ones(len(rows), bool)
-        later[smallest] = False  # rows stand in order of place, so a class's first row is its smallest position
-        again[rows[later], before] = True
-    first &= ~again
-    return again, first
+        rows = rows[np.argsort(run_l[rows], kind="stable")]  # suffix order of the strings that start here
+        l, r = run_l[rows], run_r[rows]
+        run = np.cumsum(np.append(0, (l[1:] != l[:-1]) | (r[1:] != r[:-1])))
+        again[rows, before] = earlier_match(run, place[rows])
+    return again, whole_at & ~again
 
 
 def _bucket_matches(batches: Iterator[pa.RecordBatch], most: int = ROWS) -> Iterator[pa.RecordBatch]:
@@ -229,40 +278,26 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.set_column(1, "text", pa.array([pack.compress(x.as_py()) for x in batch.column(1)], pa.binary()))
 
 
-def keyed(docs: DataFrame, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """docs -> (key, text, c0, c1 ... of the columns to carry) without repeated rows, and doc_id, digest, n_bytes and
-    key of each row. Keys are longs in document order: the ids themselves where those are unique."""
-    extra = [F.col(c).alias(f"c{k}") for k, c in enumerate(carry)]
-    own = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), *extra)
-    rows = written(own.select("doc_id", F.sha2("text", 256).alias("digest"), F.octet_length("text").cast("long").alias("n_bytes")), "digests")
-    whole = docs.schema["doc_id"].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint")
-    if whole and rows.where("doc_id is null").isEmpty() and rows.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return own.withColumnRenamed("doc_id", "key").withColumn("key", F.col("key").cast("long")), rows.withColumn("key", F.col("doc_id").cast("long"))
-    first = F.col("doc_id").asc_nulls_first()
-    order = rows.select("doc_id", "digest").distinct().repartitionByRange(first, "digest").sortWithinPartitions(first, "digest")
-    order = written(order.withColumn("key", F.monotonically_increasing_id()).select(F.col("doc_id").alias("id"), F.col("digest").alias("of"), "key"), "keys")
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of"))
-    texts = own.withColumn("digest", F.sha2("text", 256)).join(order, same).select("key", "text", *[c.alias(f"c{k}") for k, c in enumerate(map(F.col, [f"c{k}" for k in range(len(carry))]))])
-    return texts.dropDuplicates(["key"]), rows.join(order, same).select("doc_id", "digest", "n_bytes", "key")
-
-
 def duplicate_spans(texts: DataFrame, match_bucket: int = BUCKET) -> DataFrame:
     """texts (key, text) -> key, spans (arrays of start, stop, not merged) of the bytes to remove."""
     piece, most = PIECE, ROWS  # workers import this module, so what is set here is passed on
-    anchors = texts.mapInArrow(lambda batches: _anchors(batches, piece), "h bigint, key bigint, pos bigint")
+    anchors = texts.mapInArrow(lambda batches: _anchors(batches, piece), "h bigint, key bigint, pos bigint, stop bigint")
     # a table of its own, so that the join below has a plain shuffle on either side and a hot anchor can be split
-    repeated = written(anchors.groupBy("h").count().where("count > 1"), "repeated_anchors")
+    run = lambda name: F.when(F.col("h").isNull(), F.col(name)).alias(name)
+    counted = written(anchors.groupBy("h", run("key"), run("pos"), "stop").count().where("count > 1 or h is null"), "repeated_anchors")
+    inner = counted.where("h is null").select("key", F.col("pos").alias("start"), "stop")
+    repeated = counted.where("h is not null").select("h", "count")
     chunks = F.ceil(F.col("count") / match_bucket).cast("int")
-    met = anchors.join(repeated, "h").select("key", F.struct("pos", "h", F.pmod(F.hash("key"), chunks).alias("chunk"), chunks.alias("chunks")).alias("at"))
+    met = anchors.join(repeated, "h").select("key", F.struct("pos", "h", F.pmod(F.hash("key", "pos"), chunks).alias("chunk"), chunks.alias("chunks")).alias("at"))
     by_text = met.groupBy("key").agg(F.collect_list("at").alias("at"))  # bounded by the text
     packed = texts.select("key", "text").mapInArrow(_packed, "key bigint, text binary")
     around = packed.join(by_text, "key").select("key", "text", "at").mapInArrow(_surroundings, "h bigint, chunk int, chunks int, key bigint, pos bigint, before int, bytes binary")
     around = around.repartition("h", "chunk").sortWithinPartitions("h", "chunk")
     found = written(around.mapInArrow(lambda batches: _bucket_matches(batches, most), "key bigint, start bigint, stop bigint, d1 bigint, d2 bigint"), "matches")
-    own = found.where("stop >= 0").select("key", "start", "stop")
+    own = found.where("stop >= 0").select("key", "start", "stop").union(inner)
     across = found.where("stop < 0").select("d1", "d2", F.struct("key", "start").alias("place"))
     first = across.groupBy("d1", "d2").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last").select("d1", "d2", "first")
-    later = across.join(first, ["d1", "d2"]).where("place > first").select("place.key", "place.start", (F.col("place.start") + MATCH).alias("stop"))
+    later = across.join(written(first, "first_strings"), ["d1", "d2"]).where("place > first").select("place.key", "place.start", (F.col("place.start") + MATCH).alias("stop"))
     return own.union(later).groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))  # bounded by the text
 
 
@@ -280,7 +315,9 @@ def merged(starts: list[int], stops: list[int]) -> list[tuple[int, int]]:
 def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), match_bucket: int = BUCKET) -> tuple[DataFrame, DataFrame, DataFrame]:
     """docs (doc_id, text) -> what is left of each document (key, kept, n_removed, n_spans, and c0, c1 ... carried along),
     the keys of later copies of whole texts, of which nothing is left, and the rows (doc_id, digest, n_bytes, key)."""
-    texts, rows = keyed(docs, carry)
+    keyed_docs, rows, name, unique = keyed(docs)
+    texts = keyed_docs.select(F.col(name).alias("key"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), *[F.col(c).alias(f"c{k}") for k, c in enumerate(carry)])
+    texts = texts if unique else texts.dropDuplicates(["key"])
     one = written(rows.groupBy("digest").agg(F.min("key").alias("first")), "first_copies")
     copies = written(rows.where(f"n_bytes >= {MATCH}").join(one, "digest").where("key > first").select("key").distinct(), "copies")
     firsts = texts.join(maybe_broadcast(copies), "key", "left_anti")

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pyarrow as pa
 
 from tendril.llm import suffix_dedup as M
@@ -73,4 +74,32 @@ def test_anchors_come_once():
     text = random.Random(4).randbytes(4_000).hex().encode()
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([text, text[5:]])], ["key", "text"])
     rows = [tuple(r.values()) for b in M._anchors(iter([batch]), 300) for r in b.to_pylist()]
+    assert {r[3] for r in rows} == {None}
     assert len(rows) == len(set(rows)) and sorted(rows) == sorted(tuple(r.values()) for b in M._anchors(iter([batch])) for r in b.to_pylist())
+
+
+def test_previous_and_next_smaller_positions():
+    rng = random.Random(8)
+    for _ in range(200):
+        n = rng.randint(1, 30)
+        run, place = sorted(rng.choices(range(6), k=n)), rng.sample(range(100), n)
+        want = [any(q < p and s == r for q, s in zip(place, run, strict=True)) for p, r in zip(place, run, strict=True)]
+        assert M.earlier_match(np.array(run), np.array(place)).tolist() == want
+
+
+def test_texts_that_repeat_themselves(spark, monkeypatch):
+    """Constant and periodic texts leave a few anchors, and what goes is what brute force says."""
+    line = "One line of the text that is there again and again, with a period of more than a hundred bytes, to be sure. "
+    docs = [(1, "x" * 5000), (2, "ab" * 3000), (3, line * 60), (4, "y" * 150 + line * 20 + "x" * 400), (5, (line + "z" * 130) * 30), (6, "".join(f"{line}{k % 2}" for k in range(40)))]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    assert dict(results(spark, df, monkeypatch)) == {i: digested(x) for i, x in brute(docs).items()}
+    monkeypatch.setattr(M, "PIECE", 1000)
+    assert dict(results(spark, df, monkeypatch)) == {i: digested(x) for i, x in brute(docs).items()}
+
+
+def test_ten_megabytes_of_one_byte(spark, monkeypatch):
+    n = 10 << 20
+    anchors = [r for b in M._anchors(iter([pa.RecordBatch.from_arrays([pa.array([1]), pa.array([b"x" * n])], ["key", "text"])])) for r in b.to_pylist()]
+    assert len(anchors) < 1000
+    out = dict(results(spark, spark.createDataFrame([(1, "x" * n)], "doc_id long, text string"), monkeypatch))
+    assert out == {1: (n, n - 1, 1, hashlib.sha256(b"x").hexdigest())}
