@@ -4,11 +4,13 @@ Each language has a codeword; one logistic classifier over hashed byte trigrams
 text's language is the one whose codeword has the least loss under the bits' margins, each bit weighted by how well
 its classifier did on the training rows; a text whose two best codewords are close is flagged as ambiguous.
 
-Fitting uses at most `SAMPLE_PER_LANG` training rows per language (those with the smallest hash of their id), whole
-texts; their feature vectors are made on the executors and only those reach the driver. Predicting is a narrow job.
+Fitting uses at most `SAMPLE_PER_LANG` training rows per language (those with the smallest hash of id and text, rows
+repeated whole once), whole texts; their feature vectors are made on the executors and only those reach the driver.
+Predicting is a narrow job.
 
-Defined cases: null or empty text, or one without a letter, is `und` with score 0; rows with null lang teach nothing;
-if nothing can be learned every text is `und`; repeated rows give one result each; other columns are ignored.
+Defined cases: null or empty text, or one without a letter, is `und` with score 0; any other text gets the language of
+its nearest codeword, however far that is, and `ambiguous` tells where another is as near; rows with null lang teach
+nothing; if nothing can be learned every text is `und`; repeated rows give one result each; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,9 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tendril.llm.shared import crc_of_id, table, written
+from tendril.llm.shared import crc_of_id, least_hashes, table, written
 
 UNKNOWN = "und"
 HELD_OUT_FOLDS = 5
@@ -110,17 +111,16 @@ def train(x: np.ndarray, langs: list[str]) -> Codes | None:
 
 def fit(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Codes | None:
     """docs (doc_id, text, lang), training rows only -> the model."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = docs.where("lang is not null and text is not null").select("doc_id", "lang").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_lang)
-    chosen = written(ids.select(F.col("doc_id").alias("id"), F.col("lang").alias("of")).distinct(), "language_sample")
+    known = docs.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    chosen = written(least_hashes(written(known.select("lang", "h"), "language_hashes"), per_lang, "lang"), "language_sample")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [(lang.as_py(), features(t).tobytes()) for t, lang in ((t.as_py(), lang) for t, lang in zip(batch.column(0), batch.column(1), strict=True)) if has_letter(t)]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.string()), pa.array([x[1] for x in rows], pa.binary())], ["lang", "x"])
 
-    # bounded by per_lang for each language, so it may be broadcast
-    own = docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("lang") == F.col("of"))).where("text is not null").select("text", "lang")
+    # per_lang rows of each language, so they may be broadcast; rows repeated whole teach once
+    own = known.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).select("text", "lang")
     rows = own.mapInArrow(run, "lang string, x binary").toArrow()
     x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float32).reshape(-1, BUCKETS)
     return train(x, rows["lang"].to_pylist())
@@ -159,7 +159,7 @@ def op7_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_known_language(docs: DataFrame) -> DataFrame:
-    """docs without those whose language can't be told: no letters, or no codeword near; all columns stay."""
+    """docs without those whose language can't be told, as they have no letter; all columns stay."""
     fields = docs.schema.fields
     found = identify(docs, fit(docs.where(~held_out())), *[F.col(f.name).alias(f"c{k}") for k, f in enumerate(fields)])
     return found.where(F.col("lang_pred") != UNKNOWN).select(*[F.col(f"c{k}").alias(f.name) for k, f in enumerate(fields)])

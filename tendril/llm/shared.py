@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 #: Rows and bytes of a table that may be broadcast after they have been added up; larger ones are joined by a shuffle.
 BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
@@ -95,6 +96,23 @@ def keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame, str, bool]:
     return own, rows.join(order, same).select("doc_id", "digest", "n_bytes", F.col("__key").alias("key")), name, False
 
 
+def least_hashes(rows: DataFrame, n: int, per: str | None = None) -> DataFrame:
+    """rows with a hash h -> the n rows with the smallest h, of each value of `per` if that is given; for rows that are
+    written. How many values h has is estimated first and rows beyond a bound that keeps eight times as many as wanted
+    are left out, so what reaches one task doesn't grow with the table or its partitions; the result doesn't depend
+    on it, but that fewer than n may be left of a table whose estimate is off by as much."""
+    values = F.approx_count_distinct("h").alias("__values")
+    if per:
+        counted = rows.join(F.broadcast(rows.groupBy(per).agg(values)), per)  # a row per value
+    else:
+        counted = rows.withColumn("__values", F.lit(rows.agg(values).first()[0]))
+    near = counted.where((F.col("h") + F.lit(2.0**63)) * F.col("__values") <= F.lit(2.0**64 * 8 * n)).drop("__values")
+    if per:
+        near = near.distinct()
+        return near.withColumn("__nth", F.row_number().over(Window.partitionBy(per).orderBy("h"))).where(F.col("__nth") <= n).drop("__nth")
+    return near.orderBy("h").limit(n)
+
+
 def crc_of_id(doc_id: str = "doc_id"):
     """crc32 of the id as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))

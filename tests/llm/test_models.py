@@ -3,6 +3,7 @@ import pytest
 
 from tendril.llm import language_id as L
 from tendril.llm import quality_model as M
+from tendril.llm.shared import least_hashes
 
 DATA = "/root/testdata/sf0.01"
 
@@ -69,3 +70,26 @@ def test_tokens_of_pieces(monkeypatch):
     whole = [t for p in M.tokens_of(text) for t in p]
     monkeypatch.setattr(M, "PIECE", 50)
     assert [t for p in M.tokens_of(text) for t in p] == whole
+
+
+def test_samples_are_bounded_in_rows(spark):
+    """Rows without an id, and ids of many rows, don't widen the samples."""
+    rows = spark.range(3000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "concat('text of row ', id, ' is here') AS text", "'en' AS lang").union(spark.range(3000).selectExpr("7L AS doc_id", "'the very same' AS text", "'de' AS lang"))
+    seen = []
+    plain = L.train
+    try:
+        L.train = lambda x, langs: seen.extend(langs) or plain(x, langs)
+        L.fit(rows, 50)
+    finally:
+        L.train = plain
+    assert seen.count("en") == 50 and seen.count("de") == 1
+    labels = spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, quality int")
+    assert M.fit(rows, labels).vectors.shape[1] == M.DIM
+
+
+def test_least_hashes(spark):
+    rows = spark.range(20_000).selectExpr("id % 3 AS k", "xxhash64(id) AS h", "id")
+    every = sorted((r.h, r.k) for r in rows.collect())
+    assert [r.h for r in least_hashes(rows, 100).collect()] == [h for h, _ in every[:100]]
+    out = least_hashes(rows.select("k", "h"), 100, "k").collect()
+    assert all(sorted(r.h for r in out if r.k == k) == [h for h, x in every if x == k][:100] for k in range(3))
