@@ -2,17 +2,18 @@
 
 A word's vector is the sum, over its occurrences in the training sample, of its neighbours' sparse random index
 vectors (four of +1 and -1 among `DIM`, drawn from the neighbour's hash). Words outside the vocabulary share a vector
-by shape (letters' case, length, kind of characters). A document is the mean of its words' vectors with a few pooled
-figures beside it; the network has one hidden layer, and its logits are divided by a temperature fitted on rows kept
-apart from its training, so scores are probabilities.
+by shape (letters' case, length, kind of characters). A document is pooled from the vectors of its words in order: their
+mean, their spread, and the mean product of neighbours, each dimension by itself, and the lengths of these three;
+nothing else is an input. The network has one hidden layer, and its logits are divided by a temperature fitted on rows kept apart from its training, so
+scores are probabilities.
 
-Fitting uses at most `SAMPLE` labelled training rows (those with the smallest hash of their id), whole texts, and a
-vocabulary of at most `VOCABULARY` words; texts stay on the executors, which send per-task sums and document vectors
-of fixed size. Scoring is a narrow job over every row.
+Fitting uses at most `SAMPLE` labelled ids (those with the smallest hash), one whole text of each, and a vocabulary of
+at most `VOCABULARY` words; texts stay on the executors, which send at most eight tables of sums and `SAMPLE` document
+vectors. Scoring is a narrow job over every row.
 
 Defined cases: null text counts as empty and is scored like any other; labels that are null or contradict each other
-for an id teach nothing; without any label every score is 0.5; repeated rows give one result each; other columns are
-ignored. Whole texts are read.
+for an id teach nothing; of several texts of an id the one with the smallest hash teaches; without any label every
+score is 0.5; repeated rows give one result each; other columns are ignored. Whole texts are read.
 """
 
 from __future__ import annotations
@@ -28,20 +29,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tendril.llm.shared import crc_of_id, table, written
+from tendril.llm.shared import crc_of_id, least_hashes, table, written
 
 HELD_OUT_FOLDS, HELD_OUT = 4, 2
 SAMPLE = 6000
 VOCABULARY = 8192
-DIM = 48
+DIM = 64
 WINDOW = 2
 HIDDEN = 24
 EPOCHS = 40
 THRESHOLD = 0.7
 PIECE = 1 << 20  # characters of a text whose words are held at a time
+CHUNK = 4096  # words whose vectors are held at a time
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
-FIGURES = 9
+POOLED = 3  # vectors that a document is pooled to
 
 
 def tokens_of(text: str) -> Iterator[list[str]]:
@@ -101,26 +103,23 @@ def context_sums(texts: Iterator[str], words: Words) -> np.ndarray:
 
 
 def document_vector(text: str, words: Words, vectors: np.ndarray) -> np.ndarray:
-    """The mean of the word vectors, and pooled figures."""
-    counts: Counter[str] = Counter()
-    repeats = same = 0
+    """By dimension: the mean of the words' vectors, their standard deviation, and the mean product of neighbours; then
+    the length of each of the three, which tells how alike the words are whatever their direction."""
+    total, squares, products = np.zeros((3, vectors.shape[1]))
+    n, before = 0, vectors[:0]
     for piece in tokens_of(text):
-        counts.update(piece)
-        repeats += sum(map(str.__eq__, piece, piece[1:]))
-        same += sum(map(str.__eq__, piece, piece[2:]))
-    if not counts:
-        return np.zeros(vectors.shape[1] + FIGURES, np.float32)
-    names = list(counts)
-    n = np.fromiter(counts.values(), np.float32, len(counts))
-    total = float(n.sum())
-    mean = n @ vectors[words.rows(names)] / total
-    letters = sum(c for w, c in counts.items() if w.isalpha())
-    upper = sum(c for w, c in counts.items() if len(w) > 1 and w.isupper())
-    signs = sum(c for w, c in counts.items() if not (w[0].isalnum() or w[0] == "_"))
-    runs = sum(c for w, c in counts.items() if len(w) > 1 and not (w[0].isalnum() or w[0] == "_"))
-    lengths = sum(c * min(len(w), 40) for w, c in counts.items())
-    figures = [np.log1p(total) / 5, len(counts) / total, letters / total, upper / total, signs / total, runs / total, lengths / total / 5, repeats / total, same / total]
-    return np.concatenate([mean, np.array(figures, np.float32)]).astype(np.float32)
+        rows = np.array(words.rows(piece), np.int64)
+        for at in range(0, len(rows), CHUNK):
+            v = vectors[rows[at : at + CHUNK]]
+            follow = np.concatenate([before, v])
+            total += v.sum(axis=0)
+            squares += np.einsum("ij,ij->j", v, v)
+            products += np.einsum("ij,ij->j", follow[1:], follow[:-1])
+            n, before = n + len(v), v[-1:]
+    if not n:
+        return np.zeros(POOLED * (vectors.shape[1] + 1), np.float32)
+    pooled = total / n, np.sqrt(np.maximum(squares / n - (total / n) ** 2, 0)), products / max(1, n - 1)
+    return np.concatenate([*pooled, [np.linalg.norm(p) for p in pooled]]).astype(np.float32)
 
 
 @dataclass
@@ -159,7 +158,7 @@ def train(x: np.ndarray, y: np.ndarray) -> Network:
             p = 1 / (1 + np.exp(-np.clip(h @ params[2] + params[3][0], -40, 40)))
             d = (p - ty[i]) / len(i)
             back = np.outer(d, params[2]) * (1 - h * h)
-            slopes = [tx[i].T @ back + 1e-4 * params[0], back.sum(axis=0), h.T @ d + 1e-4 * params[2], np.array([d.sum()])]
+            slopes = [tx[i].T @ back + 1e-3 * params[0], back.sum(axis=0), h.T @ d + 1e-3 * params[2], np.array([d.sum()])]
             for k, g in enumerate(slopes):
                 m[k] = 0.9 * m[k] + 0.1 * g
                 v[k] = 0.999 * v[k] + 0.001 * g * g
@@ -185,9 +184,11 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """docs (doc_id, text), labels (doc_id, quality 0 or 1), training rows only -> the model."""
     sure = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("y"), F.max("quality").alias("z")).where("y = z")
-    chosen = written(sure.select(F.col("doc_id").alias("id"), F.col("y").cast("int").alias("y")).orderBy(F.xxhash64("id"), "id").limit(sample), "label_sample")
-    own = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["id"])  # `sample` rows at most
-    texts = written(own.select("id", F.coalesce("text", F.lit("")).alias("text"), "y"), "labelled_texts")
+    ranked = written(sure.select(F.col("doc_id").alias("id"), F.col("y").cast("int").alias("y"), F.xxhash64("doc_id").alias("h")), "labels")
+    chosen = least_hashes(ranked, sample).select("id", "y")
+    own = docs.join(F.broadcast(written(chosen, "label_sample")), F.col("doc_id") == F.col("id"))  # `sample` rows at most
+    text = F.coalesce("text", F.lit(""))
+    texts = written(own.groupBy("id", "y").agg(F.min_by(text, F.xxhash64(text)).alias("text")), "labelled_texts")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter[str] = Counter()
