@@ -1,17 +1,18 @@
 """Deterministic sharded WARC writer, and reading its archives back.
 
-Records are range-sorted by page_id into shards; a shard's task streams its records into gzip members, rolls to a new
-file when the compressed size reaches `ROLL_BYTES`, and regenerates every header and digest. A file is written under a
+Records are range-sorted by page_id and payload digest into shards; a shard's task streams its records into gzip
+members, rolls to a new file when the compressed size reaches `ROLL_BYTES`, and regenerates every header and digest. A file is written under a
 temporary name and then moved to its final one, and counts only once the manifest, a Parquet table that Spark commits,
 names it: a task that runs twice writes the same bytes, and what a lost one leaves behind is in no manifest.
 
 Which records are revisits is found from digests alone (a group of copies gives one row, its smallest page_id) and is
-sorted in beside the pages, so page contents are shuffled once. Files go to any store that pyarrow's file systems
-reach; the folder must be shared by all executors.
+sorted in before the page and payload it is about, so page contents are shuffled once. Files go to any store that
+pyarrow's file systems reach; the folder must be shared by all executors.
 
-Defined cases: null html counts as empty; payloads under `MIN_SHARED` bytes are always responses; rows repeated whole
-are all responses of the same id; a null page_id is kept, sorts first and is always a response; line breaks in a url
-become spaces, a null url is left out; other columns are ignored. Pages are written whole.
+Defined cases: null html counts as empty; payloads under `MIN_SHARED` bytes are always responses; a page_id of several
+payloads has a record of each, and each is judged by its own; rows repeated whole are all what the page is for that
+payload; a null page_id is kept, sorts first and is always a response; line breaks in a url become spaces, a null url
+is left out; ids of any type that casts to text and back; other columns are ignored. Pages are written whole.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow.fs import FileSystem
@@ -26,11 +28,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tendril.llm.shared import maybe_broadcast, new_folder, table, written
+from tendril.llm.shared import new_folder, table, written
 
 MIN_SHARED = 100
-SHARD_BYTES = 16 << 20  # of payloads in a shard
-ROLL_BYTES = 32 << 20  # of a compressed file
+SHARD_BYTES = 1 << 30  # of payloads in a shard at most, or thereabouts
+LEAST_SHARD = 16 << 20  # of payloads, where a table is cut into more shards so that all cores have one
+ROLL_BYTES = 2 << 20  # of a compressed file
+READ_BYTES = 64 << 20  # of archives that a task reads, one after another
 LEVEL = 6
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -47,16 +51,24 @@ def _digest(data: bytes) -> str:
     return "sha256:" + hashlib.sha256(data).hexdigest()
 
 
-def page_record(page_id, url: str | None, payload: bytes | None, refers_to, digest: str, n_bytes: int) -> bytes:
+def _urn(page_id: str | None) -> str:
+    return "<urn:page>" if page_id is None else f"<urn:page:{quote(page_id, safe='')}>"
+
+
+def _page_id(urn: str | None) -> str | None:
+    return unquote(urn[len("<urn:page:") : -1]) if urn and urn != "<urn:page>" else None
+
+
+def page_record(page_id: str | None, url: str | None, payload: bytes | None, refers_to: str | None, digest: str, n_bytes: int) -> bytes:
     """A response, or a revisit if refers_to is given; a revisit's block has the HTTP head only."""
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n_bytes}\r\n\r\n".encode()
     block = head if refers_to is not None else head + payload
-    fields = [("WARC-Record-ID", f"<urn:page:{page_id}>"), ("WARC-Date", DATE)]
+    fields = [("WARC-Record-ID", _urn(page_id)), ("WARC-Date", DATE)]
     if url is not None:
         fields.append(("WARC-Target-URI", " ".join(url.splitlines())))
     fields += [("WARC-Payload-Digest", f"sha256:{digest}"), ("WARC-Block-Digest", _digest(block)), ("Content-Type", "application/http;msgtype=response")]
     if refers_to is not None:
-        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<urn:page:{refers_to}>")]
+        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", _urn(refers_to))]
     return _record("response" if refers_to is None else "revisit", fields, block)
 
 
@@ -96,20 +108,29 @@ class _Shard:
 
 
 def revisits(pages: DataFrame) -> DataFrame:
-    """pages (page_id, html) -> page_id, refers_to of those whose payload has a response with a smaller page_id."""
+    """pages (page_id, html) -> page_id, digest, refers_to: the payloads of pages that have a response with a smaller
+    page_id, which is the same page's for none of them."""
     digests = pages.select("page_id", F.sha2(F.col("html").cast("binary"), 256).alias("digest")).where(F.octet_length("html") >= MIN_SHARED).where("page_id is not null")
     digests = written(digests, "digests")
     first = digests.groupBy("digest").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last")).where("first < last").select("digest", "first")
-    return digests.join(first, "digest").where("page_id > first").select("page_id", F.col("first").alias("refers_to")).distinct()
+    # a table of its own, so that the join has a plain shuffle on either side and a common page can be split
+    return digests.join(written(first, "first_pages"), "digest").where("page_id > first").select("page_id", "digest", F.col("first").alias("refers_to")).distinct()
+
+
+def shard_count(spark: SparkSession, total: int, shard_bytes: int = SHARD_BYTES) -> int:
+    """Shards of about shard_bytes; of a smaller table one per core, but none below LEAST_SHARD."""
+    return max(1, -(-total // shard_bytes), min(spark.sparkContext.defaultParallelism, total // min(LEAST_SHARD, shard_bytes)))
 
 
 def write_archives(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """pages (page_id, url, html) -> the manifest of the archives written to the folder (a URI)."""
     total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    type_ = pages.schema["page_id"].dataType.simpleString()
-    rows = pages.select("page_id", F.lit(1).alias("kind"), "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"), F.lit(None).cast(type_).alias("refers_to"))
-    marks = revisits(pages).select("page_id", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "refers_to")
-    shards = rows.unionByName(marks).repartitionByRange(max(1, -(-total // shard_bytes)), "page_id").sortWithinPartitions("page_id", "kind", "url", "payload")
+    id_type = pages.schema["page_id"].dataType
+    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+    rows = pages.select("page_id", F.sha2(payload, 256).alias("digest"), F.lit(1).alias("kind"), "url", payload.alias("payload"), F.lit(None).cast(id_type).alias("refers_to"))
+    marks = revisits(pages).select("page_id", "digest", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "refers_to")
+    shards = rows.unionByName(marks).repartitionByRange(shard_count(pages.sparkSession, total, shard_bytes), "page_id", "digest").sortWithinPartitions("page_id", "digest", "kind", "url")
+    shards = shards.select(F.col("page_id").cast("string"), "digest", "kind", "url", "payload", F.col("refers_to").cast("string"))
     fs_, path_ = FileSystem.from_uri(folder)
     fs_.create_dir(path_, recursive=True)
 
@@ -117,15 +138,15 @@ def write_archives(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES,
         fs, path = FileSystem.from_uri(folder)
         fs.create_dir(path, recursive=True)
         shard = _Shard(fs, path, TaskContext.get().partitionId(), roll_bytes)
-        mark = (None, None)
+        mark = (None, None, None)
         for batch in batches:
             for k in range(batch.num_rows):
-                page, kind, url, payload, refers_to = (c[k].as_py() for c in batch.columns)
+                page, digest, kind, url, payload, refers_to = (c[k].as_py() for c in batch.columns)
                 if not kind:
-                    mark = (page, refers_to)
+                    mark = (page, digest, refers_to)
                     continue
-                to = mark[1] if mark[0] == page and page is not None else None
-                shard.put(page_record(page, url, payload, to, hashlib.sha256(payload).hexdigest(), len(payload)))
+                to = mark[2] if mark[:2] == (page, digest) else None
+                shard.put(page_record(page, url, payload, to, digest, len(payload)))
         shard.close()
         columns = list(zip(*shard.rows, strict=True)) or [[]] * 6
         types = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
@@ -161,14 +182,9 @@ def parsed(record: bytes) -> tuple[dict[str, str], bytes]:
 
 def read_archives(manifest: DataFrame, folder: str, id_type: str = "bigint") -> DataFrame:
     """The manifest's archives -> page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload (null
-    for revisits): a row per response or revisit, in one task per file."""
-    arrow_id = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
+    for revisits): a row per response or revisit. A task reads about `READ_BYTES` of them, a file at a time."""
     names = ["page_id", *[x.split()[0] for x in FIELDS.split(", ")], "refers_to", "payload"]
 
-    def page(urn: str | None):
-        name = (urn or "None")[len("<urn:page:") : -1] if urn else "None"
-        return None if name == "None" else name if id_type == "string" else int(name)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, _ = FileSystem.from_uri(folder)
         rows: list[tuple] = []
@@ -176,7 +192,7 @@ def read_archives(manifest: DataFrame, folder: str, id_type: str = "bigint") ->
         def out() -> pa.RecordBatch:
             columns = list(zip(*rows, strict=True)) or [[]] * 7
             rows.clear()
-            types = [arrow_id, pa.string(), pa.int64(), pa.string(), pa.string(), arrow_id, pa.binary()]
+            types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
         for batch in batches:
@@ -195,15 +211,17 @@ def read_archives(manifest: DataFrame, folder: str, id_type: str = "bigint") ->
                     if fields["warc-type"] == "response" and (len(payload) != length or _digest(payload) != digest):
                         raise ValueError(f"a damaged payload: {fields['warc-record-id']}")
                     revisit = fields["warc-type"] == "revisit"
-                    rows.append((page(fields["warc-record-id"]), fields.get("warc-target-uri"), length, digest.removeprefix("sha256:"), fields["warc-type"], page(fields.get("warc-refers-to")), None if revisit else payload))
+                    rows.append((_page_id(fields["warc-record-id"]), fields.get("warc-target-uri"), length, digest.removeprefix("sha256:"), fields["warc-type"], _page_id(fields.get("warc-refers-to")), None if revisit else payload))
                     size += len(payload)
                     if len(rows) >= 2000 or size >= 8 << 20:
                         size = 0
                         yield out()
         yield out()
 
-    files = manifest.select("path", "sha256")
-    return files.repartition(max(1, files.count()), "path").mapInArrow(run, f"page_id {id_type}, {FIELDS}, refers_to {id_type}, payload binary")
+    files, size = manifest.agg(F.count(F.lit(1)), F.sum("bytes")).first()
+    tasks = max(1, -(-(size or 0) // READ_BYTES), min(files, manifest.sparkSession.sparkContext.defaultParallelism))
+    read = manifest.select("path", "sha256").repartition(tasks).mapInArrow(run, f"page_id string, {FIELDS}, refers_to string, payload binary")
+    return read.withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
 
 
 def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,4 +230,4 @@ def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     if "://" not in folder:
         folder = f"file://{folder}" if folder.startswith("/") else folder
     manifest = write_archives(pages, folder)
-    return read_archives(manifest, folder).drop("url", "payload")
+    return read_archives(manifest, folder, pages.schema["page_id"].dataType.simpleString()).drop("url", "payload")

@@ -33,8 +33,50 @@ def test_round_trip(spark, tmp_path):
         W.read_archives(manifest, folder).collect()
 
 
+def brute_records(rows):
+    """rows (page_id, html) -> page_id, payload_bytes, payload_digest, record_type, refers_to of each."""
+    first, out = {}, []
+    data = [(p, (h or "").encode()) for p, h in rows]
+    for p, x in data:
+        if p is not None and len(x) >= 100:
+            first[x] = min(p, first.get(x, p))
+    for p, x in data:
+        to = first.get(x, p) if p is not None else None
+        out.append((p, len(x), hashlib.sha256(x).hexdigest(), "response" if to == p else "revisit", None if to == p else to))
+    return sorted(map(str, out))
+
+
+def found(df):
+    return sorted(str((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)) for r in df.collect())
+
+
+def test_given_pages_against_brute_force(spark):
+    pages = [(r.page_id, r.html) for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    assert found(W.op2_warc_round_trip(spark, "/root/testdata/sf0.01")) == brute_records(pages)
+
+
+def test_ids_of_several_payloads(spark, tmp_path):
+    """A revisit is one of page and payload: no payload is lost where an id has several."""
+    a, b = "A" * 200, "B" * 200
+    rows = [(1, a), (7, a), (7, b), (8, b), (8, a), (8, a), (None, b), (9, None), (9, b)]
+    df = spark.createDataFrame(rows, "page_id long, html string").withColumn("url", W.F.lit(None).cast("string")).repartition(3)
+    folder = f"file://{tmp_path}/w"
+    out = W.read_archives(W.write_archives(df, folder), folder)
+    assert found(out) == brute_records(rows)
+    assert {r.payload for r in out.collect() if r.record_type == "response"} == {a.encode(), b.encode(), b""}
+    texts = df.selectExpr("concat('p/', page_id, ' é>') AS page_id", "html", "url")
+    folder = f"file://{tmp_path}/t"
+    out = W.read_archives(W.write_archives(texts, folder), folder, "string").collect()
+    assert {(r.page_id, r.refers_to) for r in out if r.record_type == "revisit"} == {("p/7 é>", "p/1 é>"), ("p/8 é>", "p/1 é>"), ("p/8 é>", "p/7 é>"), ("p/9 é>", "p/7 é>")}
+
+
+def test_shard_counts(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert [W.shard_count(spark, n) for n in (0, 100 << 20, 10 << 30, 100 << 40)] == [1, min(cores, 6), max(10, cores), 100 << 10]
+
+
 def test_damage_is_seen():
-    record = W.page_record(1, "u", b"payload", None, hashlib.sha256(b"payload").hexdigest(), 7)
+    record = W.page_record("1", "u", b"payload", None, hashlib.sha256(b"payload").hexdigest(), 7)
     assert W.parsed(record)[1].endswith(b"payload")
     with pytest.raises(ValueError):
         W.parsed(record.replace(b"payload", b"paYload"))
