@@ -33,7 +33,7 @@ from tendril.llm.shared import new_folder, table, written
 MIN_SHARED = 100
 SHARD_BYTES = 1 << 30  # of payloads in a shard at most, or thereabouts
 LEAST_SHARD = 16 << 20  # of payloads, where a table is cut into more shards so that all cores have one
-ROLL_BYTES = 2 << 20  # of a compressed file
+ROLL_BYTES = 16 << 20  # of a compressed file
 READ_BYTES = 64 << 20  # of archives that a task reads, one after another
 LEVEL = 6
 DATE = "2000-01-01T00:00:00Z"
