@@ -61,15 +61,18 @@ NOT_ITSELF = re.compile(r"(?:^|(?<=\s))(?:no|not|non|has|with|without)[-_]\S+",
 #: Of the names, those that keep an article element from being the article.
 SIDE_ARTICLE = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert|sponsored|promo|comment|comments|reply|related|recommended|teaser|teasers)(?:$|[\s_-])", re.I)
 
+#: A quote opens a value only right after `=`; elsewhere, as in title=don't, it is a character like others.
 TOKEN = re.compile(
-    r"""<!--(?:.*?-->|.*\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+>|[^>]*(?:>|\Z))|<[!?][^>]*(?:>|\Z)""", re.S
+    r"""<!--(?:.*?-->|.*\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*"|'[^']*'|(?!["'])[^\s>]*+))*+>|[^>]*(?:>|\Z))|<[!?][^>]*(?:>|\Z)""",
+    re.S,
 )
-ATTRIBUTE = re.compile(r"""([a-zA-Z_:][^\s=/>"']*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+ATTRIBUTE = re.compile(r"""([a-zA-Z_:][^\s=/>]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 
 SHORT = 70  # characters below which a block's own words don't decide
 LONG = 200
 LOW_STOPS, HIGH_STOPS = 0.1, 0.2
 LINKS = 0.5
+OUTSIDE, SIBLING = 2, 4
 GOOD, BAD, UNDECIDED = 1, -1, 0
 
 
@@ -233,15 +236,25 @@ def second_pass(blocks: list[Block], labels: list[int]) -> list[int]:
 
 
 def main_text(page: str | None) -> str:
-    """The main text of one page; blocks joined by an empty line."""
+    """The main text of one page; blocks joined by an empty line.
+
+    The article is the article element with the most good text, or what stands outside of all of them if that has over
+    twice as much (a page whose body stands beside a card that is marked up as an article). Sibling articles with at
+    least a quarter of its good text, decided by the blocks themselves, are parts of it."""
     blocks = blocks_of(page or "")
-    labels = second_pass(blocks, [first_pass(x) for x in blocks])
-    by_part: dict[int, int] = {}
-    for x, label in zip(blocks, labels, strict=True):
-        if x.part and not x.side:
-            by_part[x.part] = by_part.get(x.part, 0) + len(x.text)
-    part = max(by_part, key=by_part.get) if by_part else 0  # the article is the longest one
-    return "\n\n".join(x.text for x, label in zip(blocks, labels, strict=True) if label == GOOD and x.part == part)
+    firm = [first_pass(x) for x in blocks]
+    labels = second_pass(blocks, firm)
+    good: dict[int, int] = {}
+    decided: dict[int, int] = {}
+    for x, label, own in zip(blocks, labels, firm, strict=True):
+        good[x.part] = good.get(x.part, 0) + (label == GOOD) * len(x.text)
+        decided[x.part] = decided.get(x.part, 0) + (own == GOOD) * len(x.text)
+    articles = [p for p in good if p]
+    part = max(articles, key=good.get, default=0)
+    if good.get(0, 0) > OUTSIDE * good.get(part, 0):
+        part = 0
+    parts = {part, *(p for p in articles if SIBLING * decided[p] > good[part])}
+    return "\n\n".join(x.text for x, label in zip(blocks, labels, strict=True) if label == GOOD and x.part in parts)
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html") -> DataFrame:

@@ -42,3 +42,20 @@ def test_frame(spark):
     out = extract_main_text(df).collect()
     assert len(out) == 4 and {r.n_chars for r in out} == {0, 25} and all(len(r.text) == r.n_chars for r in out)
     assert extract_main_text(df.limit(0)).count() == 0
+
+
+def test_quotes_open_values_after_an_equals_sign_only():
+    rest = "</p><p>And it's here, the second text of the day that we have.</p><p>It is the third, and the last of the texts that we have.</p>"
+    want = "One text of the day, it is what we have to say of it.\n\nAnd it's here, the second text of the day that we have.\n\nIt is the third, and the last of the texts that we have."
+    for tag in ("<p title=don't>", "<p don't>", "<p title = 'a > b'>", '<p title="it\'s > b" x>', "<p a=b=c' d>"):
+        assert main_text(tag + "One text of the day, it is what we have to say of it." + rest) == want
+
+
+def test_which_article():
+    text = "It is one of the things that we have to say in the text of this page, and so it is. "
+    body = f"<div><p>{text * 4}</p><p>{text * 5}</p></div>"
+    card = "<article><p>A card that is about another of the pages that we have on this site.</p></article>"
+    assert main_text(body + card) == f"{text * 4}".strip() + "\n\n" + f"{text * 5}".strip()
+    posts = f"<article><p>First. {text * 4}</p></article><article><p>Second. {text * 3}</p></article>"
+    assert main_text(posts + card).count("\n\n") == 1 and "card" not in main_text(posts + card)
+    assert main_text(f"<p>{text}</p><article><p>{text * 2}</p></article>") == (text * 2).strip()
