@@ -3,16 +3,16 @@
 A node holds rows and a number of shards to become. It is split along the dimension in which its rows spread widest
 (of size, source, language and id, each scaled to the whole table's range) at the row where half its shards' share of
 the bytes is reached (for an odd number, the smaller half's), until every leaf is one shard. Splits are points of a
-total order (the coordinate, then a hash of the id and text), so one source, one language or one group of copies may
-be cut anywhere and shards come out equal in bytes.
+total order (the coordinate, then a hash of the id and text, then of a row number that is written once), so one source,
+one language, one group of copies or of rows repeated whole may be cut anywhere and shards come out equal in bytes.
 
 A split point is found by narrowing an interval: each pass adds up the bytes in `BINS` equal parts of it, for all
 nodes of a level at once, so what the driver sees is bounded by shards x dimensions x bins. Slots within shards come
 from a range sort and per-partition counts, not from one task per shard.
 
 Defined cases: null text has size 8 and the crc of the empty text; null source, language or id take the lowest
-coordinate; rows repeated whole are sharded each (they tie in the order, and stay together); an empty table gives
-no rows; other columns are ignored.
+coordinate; rows repeated whole are sharded each, and may come to lie in several shards; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,9 +36,10 @@ def metadata(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     size = (F.octet_length(text) + OVERHEAD).cast("long")
     slim = docs.select("doc_id", size.alias("size"), F.crc32(text).alias("text_crc32"), F.crc32(F.coalesce(F.col("source"), F.lit("")).cast("binary")).alias("s"), F.crc32(F.coalesce(F.col("lang"), F.lit("")).cast("binary")).alias("l"))
-    slim = written(slim, "metadata")
+    slim = written(slim.withColumn("nth", F.monotonically_increasing_id()), "metadata")
     low, high, most = slim.agg(F.min("doc_id"), F.max("doc_id"), F.max("size")).first()
-    tie = F.xxhash64("doc_id", "text_crc32", "size").bitwiseAND(F.lit(2**32 - 1))
+    # 20 bits tell ids and texts apart, 12 more the rows that are the same
+    tie = F.shiftleft(F.xxhash64("doc_id", "text_crc32", "size").bitwiseAND(F.lit(2**20 - 1)), 12).bitwiseOR(F.xxhash64("nth").bitwiseAND(F.lit(2**12 - 1)))
 
     def placed(share: Column) -> Column:
         main = F.least(F.greatest(F.floor(F.coalesce(share, F.lit(0.0)) * (_WIDTH - 1)), F.lit(0)), F.lit(_WIDTH - 1)).cast("long")

@@ -116,3 +116,6 @@ def test_odd_shards(spark, odd_docs, no_docs):
     assert S.kd_shards(no_docs).count() == 0
     same = spark.range(240).selectExpr("id % 2 AS doc_id", "'t' AS text", "'l' AS lang", "'s' AS source")
     check_shards(S.kd_shards(same, 4).collect(), 4)
+    hot = spark.range(2400).selectExpr("id % 2 AS doc_id", "'t' AS text", "'l' AS lang", "'s' AS source")
+    sizes = check_shards(S.kd_shards(hot).collect(), 24)  # two rows, each repeated 1,200 times
+    assert sum(sizes) == 2400 * 9 and max(sizes) / min(sizes) < 1.05
