@@ -6,12 +6,14 @@ a document may lack in that class and still hold `CONTAINED` of the item. So eve
 shingle: candidates are the documents that do, however long they are, and none is missed. Candidates are then
 verified by exact shingle containment.
 
-Documents aren't shuffled: their shingle hashes are streamed past the sketches, which are broadcast after they have
-been counted (beyond that bound, joined by a shuffle), and so are the few candidate ids in the verifying pass.
+Documents aren't shuffled: their shingle hashes are streamed past the sketches, which are broadcast after their rows
+and bytes have been added up (beyond those bounds, joined by a shuffle), and so are the few candidates' keys in the
+verifying pass.
 
 Words are runs of letters and digits of the lower-cased text. A text with one to four words has one shingle, all of
-it. Defined cases: null or empty text, or one without a word, neither contains nor is contained; repeated rows give
-one result each; null ids pass through as ids of their own rows; other columns are ignored. Whole texts are read.
+it, so an item that short is found in texts that are no longer than itself. Defined cases: null or empty text, or one
+without a word, neither contains nor is contained; repeated rows give one result each; rows are told apart by id and
+text (`shared.keyed`), null ids included; other columns are ignored. Whole texts are read.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tendril.llm.shared import maybe_broadcast, table, written
+from tendril.llm.shared import keyed, maybe_broadcast, table, written
 
 SHINGLE = 5
 CONTAINED = 80  # hundredths of an item's distinct shingles
@@ -57,26 +59,33 @@ def sketches(items: DataFrame) -> DataFrame:
     return ranked.where(F.col("rank") <= lacked + 1).select("item", "h")
 
 
-def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """docs (doc_id, text), items (item_id, text) -> doc_id, item_id, n_shingles, n_found, containment."""
+def _contained(texts: DataFrame, items: DataFrame) -> DataFrame:
+    """texts (key, doc_id, text), items (item_id, text) -> key, doc_id, item_id, n_shingles, n_found."""
     bench = written(items.select("item_id", words_of("text").alias("words")).where(F.size("words") > 0).withColumn("item", F.monotonically_increasing_id()), "items")
     sketch = written(sketches(bench.select("item", "words")), "sketches")
-    texts = docs.select("doc_id", "text").where("text is not null")
-    found = hashes_of(texts.select("doc_id", words_of("text").alias("words")), "doc_id").join(maybe_broadcast(sketch), "h").select("doc_id", "item").distinct()
+    found = hashes_of(texts.select("key", words_of("text").alias("words")), "key").join(maybe_broadcast(sketch), "h").select("key", "item").distinct()
     candidates = written(found, "candidates")
-    ids = candidates.select(F.col("doc_id").alias("id")).distinct()
-    suspects = texts.join(maybe_broadcast(ids), texts["doc_id"].eqNullSafe(F.col("id")), "left_semi").select("doc_id", shingle_strings(words_of("text")).alias("theirs"))
-    wanted = candidates.select(F.col("doc_id").alias("id"), "item").join(maybe_broadcast(bench.select("item", "item_id", shingle_strings(F.col("words")).alias("own"))), "item")
-    pairs = suspects.join(wanted, suspects["doc_id"].eqNullSafe(F.col("id"))).select(
-        "doc_id", "item_id", F.size("own").cast("long").alias("n_shingles"), F.size(F.array_intersect("own", "theirs")).cast("long").alias("n_found")
-    )
-    return pairs.where(f"100 * n_found >= {CONTAINED} * n_shingles").withColumn("containment", F.col("n_found") / F.col("n_shingles"))
+    keys = written(candidates.select("key").distinct(), "candidate_keys")
+    suspects = texts.join(maybe_broadcast(keys), "key", "left_semi").select("key", "doc_id", shingle_strings(words_of("text")).alias("theirs"))
+    named = written(bench.select("item", "item_id", shingle_strings(F.col("words")).alias("own")), "item_shingles")
+    pairs = suspects.join(candidates.join(maybe_broadcast(named), "item"), "key")
+    counted = pairs.select("key", "doc_id", "item_id", F.size("own").cast("long").alias("n_shingles"), F.size(F.array_intersect("own", "theirs")).cast("long").alias("n_found"))
+    return counted.where(f"100 * n_found >= {CONTAINED} * n_shingles")
+
+
+def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """docs (doc_id, text), items (item_id, text) -> doc_id, item_id, n_shingles, n_found, containment."""
+    own, _, key, _ = keyed(docs.select("doc_id", "text"))
+    found = _contained(own.where("text is not null").select(F.col(key).alias("key"), "doc_id", "text"), items)
+    return found.drop("key").withColumn("containment", F.col("n_found") / F.col("n_shingles"))
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """docs without those that contain a test item; all columns stay."""
-    found = written(contained_items(docs, items).select("doc_id").distinct(), "contaminated")
-    return docs.join(maybe_broadcast(found), "doc_id", "left_anti").select(docs.columns)
+    own, _, key, _ = keyed(docs)
+    found = _contained(own.where("text is not null").select(F.col(key).alias("key"), "doc_id", "text"), items)
+    gone = written(found.select(F.col("key").alias(key)).distinct(), "contaminated")
+    return own.join(maybe_broadcast(gone), key, "left_anti").select(docs.columns)
 
 
 def op9_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,3 +70,11 @@ def test_sketches_never_miss(spark):
     rows = [(n, [f"t{n}_{k}" for k in range(n + 4)]) for n in (1, 2, 5, 8, 9, 31, 64, 100)]
     sizes = {r.item: r["count"] for r in D.sketches(spark.createDataFrame(rows, "item long, words array<string>")).groupBy("item").count().collect()}
     assert all(sizes[n] > n - math.ceil(0.8 * n) for n, _ in rows)
+
+
+def test_rows_without_ids_and_ids_of_several_texts(spark):
+    item = " ".join(f"w{k}" for k in range(20))
+    rows = [(None, "x " + item), (None, "clean"), (3, item), (3, "clean too"), (4, "clean"), (4, "clean")]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, key int")
+    kept = D.without_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert kept.columns == docs.columns and sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("3", "clean too"), ("4", "clean"), ("4", "clean"), ("None", "clean")]
