@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_OWN: dict[str, str] = {}  # by application, where spark.checkpoint.dir isn't set
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a session in one process
     gets a new local one; on a cluster that is an error, as executors wouldn't see each other's files."""
@@ -36,8 +41,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not there:
         if not spark.conf.get("spark.master", "").startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        there = f"file://{tempfile.mkdtemp(prefix='tendril-')}"
-        spark.conf.set("spark.checkpoint.dir", there)
+        app = spark.sparkContext.applicationId
+        there = _OWN.setdefault(app, "") or f"file://{tempfile.mkdtemp(prefix='tendril-')}"
+        _OWN[app] = there
     return there.rstrip("/")
 
 
@@ -45,12 +51,31 @@ def new_folder(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/tendril-{uuid.uuid4().hex}/{what}"
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are deleted at the end, but those written with keep. What is kept must not be a plan over
+    the others, and is itself left to the scope around this one."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        conf = spark._jsc.hadoopConfiguration()
+        for path in _SCOPES.pop():
+            there = spark._jvm.org.apache.hadoop.fs.Path(path.rpartition("/")[0])
+            there.getFileSystem(conf).delete(there, True)
+
+
+def written(df: DataFrame, what: str, keep: bool = False) -> DataFrame:
     """df as a Parquet table in the shared folder: lineage ends there, and a lost executor costs no recomputation."""
     spark = df.sparkSession
     small_batches(spark)
     path = new_folder(spark, what)
     df.write.parquet(path)
+    if len(_SCOPES) > keep:
+        _SCOPES[-1 - keep].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

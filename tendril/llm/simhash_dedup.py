@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tendril.llm.shared import table, written
+from tendril.llm.shared import passing, table, written
 
 SHINGLE = 3
 SEED = 42
@@ -162,12 +162,13 @@ def connected(links: DataFrame) -> DataFrame:
     edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen, now = None, mark(edges)
     while now != seen:
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
-        large = written(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large_stars")
-        least = written(large.groupBy("a").agg(F.min("b").alias("m")), "least")
-        small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
-        edges = written(small.select("e.*").where("a <> b").distinct(), "edges")
+        with passing(links.sparkSession):
+            both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            least = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
+            large = written(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large_stars")
+            least = written(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+            small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
+            edges = written(small.select("e.*").where("a <> b").distinct(), "edges", keep=True)
         seen, now = now, mark(edges)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
@@ -175,13 +176,14 @@ def connected(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) -> doc_id, fingerprint (16 hex digits), component_id: one row per document."""
     fps = written(fingerprints(docs), "fingerprints")
-    first = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct_fingerprints")
-    stars = written(connected(fingerprint_links(first.select("fp"))), "stars")
-    member = stars.select(F.col("node").alias("fp"), "root").union(stars.select(F.col("root").alias("fp"), "root").distinct())
-    component = member.join(first, "fp").groupBy("root").agg(F.min("first").alias("component"))
-    linked = member.join(component, "root").select("fp", "component")
-    # a table of its own, so that the last join has a plain shuffle on either side and a hot fingerprint can be split
-    classes = written(first.join(linked, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id")), "classes")
+    with passing(docs.sparkSession):
+        first = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct_fingerprints")
+        stars = written(connected(fingerprint_links(first.select("fp"))), "stars")
+        member = stars.select(F.col("node").alias("fp"), "root").union(stars.select(F.col("root").alias("fp"), "root").distinct())
+        component = written(member.join(first, "fp").groupBy("root").agg(F.min("first").alias("component")), "components")
+        linked = member.join(component, "root").select("fp", "component")
+        # a table of its own, so that the last join has a plain shuffle on either side and a hot fingerprint can be split
+        classes = written(first.join(linked, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id")), "classes", keep=True)
     return fps.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tendril.llm.shared import keyed, maybe_broadcast, written
+from tendril.llm.shared import keyed, maybe_broadcast, passing, written
 from tendril.llm.simhash_dedup import _PIVOTS, BUCKET, SEED, bit_counts, connected
 
 SHINGLE = 5
@@ -269,6 +269,7 @@ def without_similar(docs: DataFrame) -> DataFrame:
     """docs without those that are similar to one before them, or linked to such through others; all columns stay."""
     own, rows, key, unique = keyed(docs)
     texts = own.select(F.col(key).alias("id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    found = similar_documents(texts if unique else texts.dropDuplicates(["id"]), rows.select("key", "digest"))
-    gone = written(found.select(F.col("node").alias(key)).distinct(), "similar")
+    with passing(docs.sparkSession):
+        found = similar_documents(texts if unique else texts.dropDuplicates(["id"]), rows.select("key", "digest"))
+        gone = written(found.select(F.col("node").alias(key)).distinct(), "similar", keep=True)
     return own.join(maybe_broadcast(gone), key, "left_anti").select(docs.columns)

@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tendril.llm.shared import keyed, maybe_broadcast, table, written
+from tendril.llm.shared import keyed, maybe_broadcast, passing, table, written
 
 MATCH = 100
 GRAM = 32
@@ -321,7 +321,8 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), match_bucket: i
     one = written(rows.groupBy("digest").agg(F.min("key").alias("first")), "first_copies")
     copies = written(rows.where(f"n_bytes >= {MATCH}").join(one, "digest").where("key > first").select("key").distinct(), "copies")
     firsts = texts.join(maybe_broadcast(copies), "key", "left_anti")
-    spans = written(duplicate_spans(firsts.select("key", "text"), match_bucket), "spans")
+    with passing(docs.sparkSession):
+        spans = written(duplicate_spans(firsts.select("key", "text"), match_bucket), "spans", keep=True)
     packed_schema = ", ".join(["key bigint", "text binary", *[f"{f.name} {f.dataType.simpleString()}" for f in texts.schema.fields[2:]]])
     names = [f"c{k}" for k in range(len(carry))]
 

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
+from tendril.llm import shared
 from tendril.llm import similar_texts as M
 
 
@@ -90,3 +91,10 @@ def test_repeated_lines(spark):
     fps = [r["fp"] for b in M._sketches(iter([pa.RecordBatch.from_arrays([pa.array([*texts]), pa.array([t.encode() for t in texts.values()])], ["id", "text"])])) for r in b.to_pylist()]
     assert max((x ^ y).bit_count() for x in np.array(fps).view(np.uint64).tolist() for y in np.array(fps).view(np.uint64).tolist()) <= 12
     assert roots(spark.createDataFrame(list(texts.items()), "doc_id long, text string")) == {2: 1, 3: 1}
+
+
+def test_passing_tables_are_deleted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shared, "shared_dir", lambda _: f"file://{tmp_path}")
+    docs = spark.createDataFrame([(k, f"{'a b c d e f ' * 9} {k // 2}") for k in range(8)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in M.without_similar(docs).collect()) == [0]
+    assert {p.name for p in tmp_path.glob("*/*")} == {"digests", "similar"}
