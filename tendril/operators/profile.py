@@ -46,10 +46,15 @@ def distinct_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def frequencies(df: DataFrame, value: Column, name: str) -> DataFrame:
-    """Values, null among them, with counts and rates."""
-    total = F.lit(df.count())
-    counts = df.groupBy(value.alias(name)).agg(F.count(F.lit(1)).alias("count"))
-    return counts.select(name, "count", profile_rate(F.col("count"), total).alias("rate"))
+    """Values, null among them, with counts and rates. The total is that of the counts, so the table is read once."""
+    return _rated(df.groupBy(value.alias(name)).agg(F.count(F.lit(1)).alias("count"))).select(name, "count", "rate")
+
+
+def _rated(counts: DataFrame, *per: str) -> DataFrame:
+    """Adds each count's rate of the total, a one-row (or one row per `per`) aggregate of the counts that is joined."""
+    own = counts.withColumn("__of", F.struct(*per) if per else F.lit(1))
+    totals = own.groupBy("__of").agg(F.sum("count").alias("__total"))
+    return own.join(F.broadcast(totals), "__of").withColumn("rate", profile_rate(F.col("count"), F.col("__total")))
 
 
 def join_coverage(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
@@ -79,16 +84,18 @@ def legal_form_profile(df: DataFrame, form: str, key: str) -> DataFrame:
 
 
 def legal_form_counts(df: DataFrame, form: str) -> DataFrame:
-    """Frequencies of raw and canonical forms, `level` telling which."""
-    both = [("raw", compact_text(F.col(form))), ("canonical", canonical_legal_form(F.col(form)))]
-    return reduce(DataFrame.union, [frequencies(df, value, "legal_form").select(F.lit(level).alias("level"), "legal_form", "count", "rate") for level, value in both])
+    """Frequencies of raw and canonical forms, `level` telling which: raw forms are counted in one pass, and canonical
+    ones are sums of those."""
+    raw = df.groupBy(compact_text(F.col(form)).alias("raw")).agg(F.count(F.lit(1)).alias("count"))
+    both = raw.select("count", F.explode(F.create_map(F.lit("raw"), F.col("raw"), F.lit("canonical"), canonical_legal_form(F.col("raw")))).alias("level", "legal_form"))
+    return _rated(both.groupBy("level", "legal_form").agg(F.sum("count").alias("count")), "level").select("level", "legal_form", "count", "rate")
 
 
 def feature_profile(df: DataFrame, registry: DataFrame, dataset: str) -> DataFrame:
-    """Missing values of a dataset's registered features beside their category and confidence."""
+    """Missing values of a dataset's registered features beside their category, confidence and description."""
     own = registry.where(F.col("dataset") == dataset)
     names = [r.name for r in own.select("name").collect()]  # the dictionary's, at most a hundred or so
-    return field_profile(df, names).join(F.broadcast(own), F.col("field") == F.col("name")).select("dataset", "name", "category", "confidence", "present_count", "missing_count", "present_rate", "missing_rate")
+    return field_profile(df, names).join(F.broadcast(own), F.col("field") == F.col("name")).select("dataset", "name", "category", "confidence", "description", "present_count", "missing_count", "present_rate", "missing_rate")
 
 
 def readiness(rows: Column, coverage: Column) -> Column:

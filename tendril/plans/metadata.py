@@ -46,6 +46,28 @@ registry_enrichment caution: city
 risk caution: has_red_flags
 registry_context caution: has_activity_text has_ownership_text
 """
+#: What a feature says, in our own words; features of the same name say the same of the joined dataset.
+DESCRIPTIONS = {
+    "source_row_count": "award rows of the company", "active_procurement_count": "rows that are known not to be cancelled", "cancelled_procurement_count": "rows that are cancelled", "suspended_procurement_count": "rows that are suspended",
+    "cancelled_procurement_rate": "share of rows that are cancelled", "suspended_procurement_rate": "share of rows that are suspended",
+    "total_budget_limit_amount": "sum of budgets", "total_winner_value_amount": "sum of awarded values", "active_total_budget_limit_amount": "sum of budgets of active rows", "active_total_winner_value_amount": "sum of awarded values of active rows",
+    "cancelled_total_budget_limit_amount": "sum of budgets of cancelled rows", "cancelled_total_winner_value_amount": "sum of awarded values of cancelled rows",
+    "safe_winner_to_budget_ratio_avg": "mean of award to budget, where the budget is positive", "safe_winner_to_budget_ratio_min": "least award to budget", "safe_winner_to_budget_ratio_max": "greatest award to budget",
+    "near_budget_limit_count": "awards between 95 and 100 hundredths of their budget", "near_budget_limit_rate": "share of such awards among those with a ratio", "winner_value_gt_budget_count": "awards above their budget", "winner_value_gt_budget_rate": "share of awards above their budget",
+    "purchase_tickets_count": "rows of the ticket procedure", "purchase_tickets_total_winner_value": "sum of awarded values of ticket rows",
+    "zero_budget_with_winner_value_count": "awards with a budget of zero", "zero_budget_with_winner_value_rate": "share of awards with a budget of zero",
+    "first_procurement_date": "first publication", "last_procurement_date": "last publication", "first_procurement_year": "year of the first publication", "last_procurement_year": "year of the last publication", "active_year_span": "years from the first to the last, both counted",
+    "distinct_contracting_authority_count": "different authorities", "distinct_procedure_type_count": "different procedures", "distinct_contract_type_count": "different kinds of contract",
+    "top_authority_name": "authority with the most rows", "top_authority_count": "rows of that authority", "top_authority_share": "its share of rows with an authority", "authority_hhi": "Herfindahl index of authorities",
+    "top_procedure_type": "procedure with the most rows", "top_procedure_type_count": "rows of that procedure", "top_procedure_type_share": "its share of rows with a procedure", "procedure_type_hhi": "Herfindahl index of procedures",
+    "yoy_value_jump_count": "years whose value jumped over that of the year before", "yoy_contract_count_jump_count": "years whose row count jumped over that of the year before", "max_yoy_value_growth_ratio": "greatest growth of value in a year", "max_yoy_contract_count_growth_ratio": "greatest growth of row count in a year",
+    "has_small_value_procedures": "whether any procedure is one of small value", "has_open_local_procedures": "whether any procedure is open and local",
+    "rows_with_winner_value_count": "rows that have an awarded value", "rows_with_budget_count": "rows that have a budget", "rows_with_valid_ratio_count": "rows that have a ratio of award to budget",
+    "business_name": "newest name in the registry", "legal_form": "newest legal form", "subject_status": "newest status", "registration_date": "registration date of the newest row", "registration_year": "year of that date", "city": "newest city",
+    "has_activity_text": "whether any row tells an activity", "has_ownership_text": "whether any row tells of ownership", "has_red_flags": "red flag of the newest row", "exact_join_match": "keys are equal in both sources",
+    "company_age_days_at_first_procurement": "days from registration to the first publication", "company_age_days_at_last_procurement": "days from registration to the last publication",
+}
+
 # Field, role and usage level of the two normalized datasets.
 AWARD_FIELDS = """
 core_identity safe: procurement_reference
@@ -73,6 +95,15 @@ JOIN_FIELDS = {
     "normalized_app_export_rows": {"safe": ("winner_nipt",), "caution": ("winner_name",), "avoid": ("procurement_subject", "contracting_authority")},
     "normalized_qkb_search_rows": {"safe": ("business_nipt",), "caution": ("business_name", "trade_name"), "avoid": ("city", "activity_text", "administrators_text")},
 }
+#: Notes on roles, and what to mind with each dataset, in our own words.
+ROLE_NOTES = {
+    "core_identity": "names the row", "context_metadata": "describes the row", "join_candidate": "may lead to the other source", "performance_signal": "measures what was awarded",
+    "temporal": "places the row in time", "risk_signal": "hints at risk, proves none", "weak_or_noisy": "kept for tracing back, not for analysis",
+}
+CAVEATS = {
+    "normalized_app_export_rows": ("rows of consortia have no key", "amounts are as published, of any currency unit in the export"),
+    "normalized_qkb_search_rows": ("a company may appear in many snapshots", "searches are capped, so rows may be missing"),
+}
 JOIN_POLICY = {
     "safe": ("winner_nipt = business_nipt",),
     "risky": ("winner_name ~ business_name, by hand", "trade_name, as context of a review by hand"),
@@ -95,17 +126,27 @@ def feature_rows() -> list[tuple[str, str, str, str]]:
 
 
 def feature_registry(spark: SparkSession) -> DataFrame:
-    """dataset, name, category, confidence of all features."""
-    return spark.createDataFrame(feature_rows(), "dataset string, name string, category string, confidence string")
+    """dataset, name, category, confidence and description of all features."""
+    return spark.createDataFrame([(*r, DESCRIPTIONS[r[1]]) for r in feature_rows()], "dataset string, name string, category string, confidence string, description string")
 
 
-def dataset_semantics(spark: SparkSession, dataset: str) -> DataFrame:
-    """field, role and usage level of a normalized dataset's columns; an unknown dataset is an error."""
+def semantics_rows(dataset: str) -> list[tuple]:
     texts = {"normalized_app_export_rows": AWARD_FIELDS, "normalized_qkb_search_rows": REGISTRY_FIELDS}
     if dataset not in texts:
         raise KeyError(f"no such dataset: {dataset}")
     join = {f: level for level, fields in JOIN_FIELDS[dataset].items() for f in fields}
-    return spark.createDataFrame([(d, n, role, level, join.get(n)) for d, n, role, level in _rows(dataset, texts[dataset])], "dataset string, field string, role string, usage_level string, join_level string")
+    candidate = lambda role, level: level == "safe" and role in ("performance_signal", "temporal", "risk_signal")
+    return [(d, n, role, level, join.get(n), ROLE_NOTES[role], candidate(role, level)) for d, n, role, level in _rows(dataset, texts[dataset])]
+
+
+def dataset_semantics(spark: SparkSession, dataset: str) -> DataFrame:
+    """field, role, usage level, join level, note and whether it is a candidate for features, of a normalized dataset's
+    columns; an unknown dataset is an error."""
+    return spark.createDataFrame(semantics_rows(dataset), "dataset string, field string, role string, usage_level string, join_level string, note string, feature_candidate boolean")
+
+
+def caveats(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(d, x) for d, xs in CAVEATS.items() for x in xs], "dataset string, caveat string")
 
 
 def join_policy(spark: SparkSession) -> DataFrame:

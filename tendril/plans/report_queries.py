@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tendril.operators import coverage, features, profile, trust
@@ -150,20 +152,86 @@ def _profiles(spark, sf_dir):
     return out
 
 
-add("c08_d24_feature_sparsity", _profiles)
-add("d25_feature_readiness", lambda s, d: profile.feature_readiness(_profiles(s, d)))
+_KINDS = {"app_company_features": "f1", "qkb_company_features": "f2"}
+_TEXTS = {"top_authority_name", "top_procedure_type", "business_name", "legal_form", "subject_status", "city"}
+_quoted = lambda x: "NULL" if x is None else "'" + str(x).replace("'", "''") + "'"
 
 
-def _metrics(spark, sf_dir):
-    a, r = views.awards(spark, sf_dir), views.registry(spark, sf_dir)
-    one = profile.join_coverage(a, "winner_nipt", r, "business_nipt").select("joinable_keys").first()  # one row of numbers
-    av = a.agg(F.count(F.lit(1)).alias("award_rows"), F.avg(c("publication_date").isNotNull().cast("double")).alias("date_present_rate"), F.avg((~F.coalesce(F.trim("winner_nipt") != "", F.lit(False))).cast("double")).alias("key_missing_rate"), F.count_distinct(F.upper(F.trim("winner_nipt"))).alias("award_entities")).first()
-    rv = r.agg(F.count(F.lit(1)).alias("registry_rows"), F.avg(c("registration_date").isNull().cast("double")).alias("registration_missing_rate"), F.count_distinct("business_nipt").alias("registry_entities")).first()
-    values = {**av.asDict(), **rv.asDict(), "joinable_keys": one.joinable_keys, "joined_entities": one.joinable_keys}
-    return a.limit(1).select(*[F.lit(v).alias(k) for k, v in values.items()])
+def _sparsity_sql() -> str:
+    gone = lambda n: f"{n} IS NULL OR trim({n}) = ''" if n in _TEXTS else f"{n} IS NULL"
+    parts = [
+        f"SELECT {', '.join(map(_quoted, (d, n, category, level, metadata.DESCRIPTIONS[n])))}, count(*), count(*) FILTER (WHERE {gone(n)}) FROM {_KINDS[d]}"
+        for d, n, category, level in metadata.feature_rows() if d in _KINDS
+    ]
+    return f"""{fq.FEATURES_SQL}, {fq.REGISTRY_FEATURES_SQL}, f1 AS MATERIALIZED (SELECT * FROM features), f2 AS MATERIALIZED (SELECT * FROM registry_features),
+t(dataset, name, category, confidence, description, n, missing_count) AS ({" UNION ALL ".join(parts)}),
+sparsity AS (SELECT dataset, name, category, confidence, description, n - missing_count AS present_count, missing_count, {_prate("(n - missing_count)", "n")} AS present_rate, {_prate("missing_count", "n")} AS missing_rate FROM t)"""
+
 
+add("c08_d24_i01_feature_sparsity", _profiles, f"WITH {_sparsity_sql()} SELECT * FROM sparsity")
+add("d25_feature_readiness", lambda s, d: profile.feature_readiness(_profiles(s, d)), f"""WITH {_sparsity_sql()},
+r AS (SELECT dataset, max(present_count + missing_count) AS row_count, coalesce(round_even(avg(present_rate) FILTER (WHERE confidence = 'safe'), 4), 0.0) AS safe_coverage FROM sparsity GROUP BY dataset)
+SELECT *, CASE WHEN row_count = 0 THEN 'blocked' WHEN safe_coverage >= 0.75 THEN 'usable_now' ELSE 'usable_with_caution' END AS status FROM r""")
 
-add("d26_readiness_findings", lambda s, d: profile.findings(_metrics(s, d)))
+
+def readiness_metrics(spark, sf_dir):
+    """One row of numbers, whatever is empty: each table's aggregate is a row of its own, and the rows are folded."""
+    a, r = views.awards(spark, sf_dir), views.registry(spark, sf_dir)
+    keyed = lambda df, key: features.with_entity(df, key).select("entity").distinct()
+    award_keys = keyed(trust.trusted(a, _raw(spark, sf_dir)), "winner_nipt").withColumn("side", F.lit(1))
+    registry_keys = keyed(trust.trusted(r, _raw(spark, sf_dir)), "business_nipt").withColumn("side", F.lit(2))
+    sides = award_keys.union(registry_keys).groupBy("entity").agg(F.sum("side").alias("sides"))
+    parts = [
+        a.agg(F.count(F.lit(1)).alias("award_rows"), F.avg(c("publication_date").isNotNull().cast("double")).alias("date_present_rate"), F.avg((~F.coalesce(F.trim("winner_nipt") != "", F.lit(False))).cast("double")).alias("key_missing_rate")),
+        r.agg(F.count(F.lit(1)).alias("registry_rows"), F.avg(c("registration_date").isNull().cast("double")).alias("registration_missing_rate")),
+        profile.join_coverage(a, "winner_nipt", r, "business_nipt").select("joinable_keys"),
+        sides.agg(F.count_if(F.expr("sides in (1, 3)")).alias("award_entities"), F.count_if(F.expr("sides in (2, 3)")).alias("registry_entities"), F.count_if(F.expr("sides = 3 and entity <> ''")).alias("joined_entities")),
+    ]
+    rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    return rows.agg(*[F.coalesce(F.max(n), F.lit(0)).alias(n) for n in rows.columns])
+
+
+_E = lambda t, key: f"SELECT DISTINCT upper(trim({key})) AS e FROM {t} LEFT JOIN raw ON raw_fetch_id = id WHERE (raw_fetch_id IS NULL OR is_corrupted IS FALSE) AND {key} <> ''"
+add("d26_readiness_findings", lambda s, d: profile.findings(readiness_metrics(s, d)), f"""WITH {_COVER}, raw AS ({views.RAW_SQL}), ea AS ({_E("awards", "winner_nipt")}), er AS ({_E("registry", "business_nipt")}),
+m AS (SELECT (SELECT count(*) FROM awards) AS award_rows, (SELECT avg(CASE WHEN publication_date IS NULL THEN 0.0 ELSE 1.0 END) FROM awards) AS date_present_rate, (SELECT avg(CASE WHEN trim(winner_nipt) <> '' THEN 0.0 ELSE 1.0 END) FROM awards) AS key_missing_rate,
+ (SELECT count(*) FROM registry) AS registry_rows, (SELECT avg(CASE WHEN registration_date IS NULL THEN 1.0 ELSE 0.0 END) FROM registry) AS registration_missing_rate, (SELECT j FROM n) AS joinable_keys,
+ (SELECT count(*) FROM ea) AS award_entities, (SELECT count(*) FROM er) AS registry_entities, (SELECT count(*) FROM ea WHERE e <> '' AND e IN (SELECT e FROM er)) AS joined_entities)
+{" UNION ALL ".join(f"SELECT {_quoted(section)} AS section, {_quoted(text)} AS finding FROM m WHERE {rule}" for section, rule, text in profile.RULES)}""")
+
+_SEMANTICS = {"normalized_app_export_rows": (views.AWARD, views.awards, "awards"), "normalized_qkb_search_rows": (views.REGISTRY, views.registry, "registry")}
+
+
+def _semantics(spark, sf_dir):
+    """How well the fields of the two normalized datasets are filled, beside what they mean."""
+    out = []
+    for dataset, (view, rows, _) in _SEMANTICS.items():
+        known = metadata.dataset_semantics(spark, dataset)
+        filled = profile.field_profile(rows(spark, sf_dir), [r[1] for r in metadata.semantics_rows(dataset) if r[1] in view]).select("field", "present_count", "present_rate")
+        out.append(known.join(F.broadcast(filled), "field"))
+    return reduce(lambda x, y: x.union(y), out)
+
+
+_STRINGS = {"winner_nipt", "winner_name", "contracting_authority", "procedure_type", "contract_type", "business_nipt", "business_name", "trade_name", "legal_form", "subject_status", "city", "activity_text", "ownership_text"}
+_PRESENT = lambda f, t: f"(SELECT count(*) FROM {t} WHERE " + (f"trim({f}) <> ''" if f in _STRINGS else f"{f} IS NOT NULL") + ")"
+_MEANT = " UNION ALL ".join(
+    f"SELECT {', '.join(map(_quoted, r[:6]))}, {str(r[6]).lower()}, {_PRESENT(r[1], t)}, (SELECT count(*) FROM {t})" for dataset, (view, _, t) in _SEMANTICS.items() for r in metadata.semantics_rows(dataset) if r[1] in view
+)
+add("i02_dataset_semantics", _semantics, f"""WITH awards AS ({views.AWARDS_SQL}), registry AS ({views.REGISTRY_SQL}), t(dataset, field, role, usage_level, join_level, note, feature_candidate, present_count, n) AS ({_MEANT})
+SELECT dataset, field, role, usage_level, join_level, note, feature_candidate, present_count, {_prate("present_count", "n")} AS present_rate FROM t""")
+
+_LEVELS = {"safe": "safe", "caution": "risky", "avoid": "avoid"}
+
+
+def _policy_use(spark, sf_dir):
+    """What the join policy says of the candidate pairs: how many fall under each level."""
+    level = F.create_map(*[F.lit(x) for pair in _LEVELS.items() for x in pair])[c("status")]
+    counted = fq.candidate_pairs(spark, sf_dir).groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n"), (F.first(level) == "safe").alias("joins"))
+    return metadata.join_policy(spark).join(counted, "level", "left").select("level", "pair", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("joins", F.lit(False)).alias("joins"))
+
+
+add("i03_join_policy", _policy_use, f"""WITH p AS ({fq.SQL["c03_join_assessment"]}), k AS (SELECT CASE status WHEN 'safe' THEN 'safe' WHEN 'caution' THEN 'risky' ELSE 'avoid' END AS level, count(*) AS n FROM p GROUP BY 1),
+v(level, pair) AS (VALUES {", ".join(f"({_quoted(level)}, {_quoted(pair)})" for level, pairs in metadata.JOIN_POLICY.items() for pair in pairs)})
+SELECT v.level, pair, coalesce(n, 0) AS n, n IS NOT NULL AND v.level = 'safe' AS joins FROM v LEFT JOIN k ON v.level = k.level""")
 
 
 def _normalized_profile(spark, sf_dir):

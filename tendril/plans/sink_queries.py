@@ -20,11 +20,13 @@ c = F.col
 
 
 def scratch(spark: SparkSession, what: str) -> str:
-    """A new folder below spark.checkpoint.dir, which driver and executors share; a local one only where that is unset."""
+    """A new folder below spark.checkpoint.dir, which driver and executors share; where that is unset, a session in one
+    process gets a local one and a cluster an error."""
     there = spark.conf.get("spark.checkpoint.dir", None)
     if not there:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         there = f"file://{tempfile.mkdtemp(prefix='tendril-')}"
-        spark.conf.set("spark.checkpoint.dir", there)
     return f"{there.rstrip('/')}/engine-{uuid.uuid4().hex}/{what}"
 
 
