@@ -156,16 +156,28 @@ def embedded_date(text: Column) -> Column:
     return F.try_to_timestamp(F.concat_ws("-", part[2], part[1], part[0]), F.lit("yyyy-M-d")).cast("date")
 
 
+def without_dots(path: Column) -> Column:
+    """An absolute path with its . and .. segments folded; one at the end leaves the folder."""
+    parts = F.split(path, "/")
+    none = F.array().cast("array<string>")
+    kept = F.aggregate(parts, none, lambda acc, x: F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(1)))).when(x == ".", acc).otherwise(F.concat(acc, F.array(x))))
+    return F.array_join(F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
+
+
 def absolute_url(base: Column, href: Column) -> Column:
-    """href resolved against base, without folding .. segments."""
+    """href resolved against base as RFC 3986 has it; an empty href is the base."""
+    scheme = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1)
     root = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
-    folder = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(?:/[^?#]*/|/)?)", 1)
+    own_path = F.regexp_extract(base, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    folder = F.coalesce(F.nullif(F.regexp_extract(own_path, r"^(.*/)", 1), F.lit("")), F.lit("/"))
+    path, tail = F.regexp_extract(href, r"^([^?#]*)", 1), F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
     return (
         F.when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
-        .when(href.startswith("//"), F.concat(F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1), href))
-        .when(href.startswith("/"), F.concat(root, href))
         .when(href == "", base)
-        .otherwise(F.concat(F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/"))), href))
+        .when(href.startswith("//"), F.concat(scheme, href))
+        .when(href.startswith("#"), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), href))
+        .when(href.startswith("?"), F.concat(root, own_path, href))
+        .otherwise(F.concat(root, without_dots(F.when(href.startswith("/"), path).otherwise(F.concat(folder, path))), tail))
     )
 
 

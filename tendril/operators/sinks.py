@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,13 @@ def replace_all(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").parquet(path)
 
 
-def as_json(report: DataFrame) -> DataFrame:
-    """Each row as one JSON text."""
-    return report.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("json"))
+def as_json(report: DataFrame, pretty: bool = False) -> DataFrame:
+    """Each row as one JSON text, nulls included; over several lines if it is to be read by people."""
+    return report.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false", "pretty": str(pretty).lower()}).alias("json"))
+
+
+def materialized(rows: DataFrame, at: datetime | None = None) -> DataFrame:
+    """rows with materialized_at: one time for the whole run, in UTC and without a zone; now, unless it is given."""
+    when = at or datetime.now(UTC)
+    when = when.astimezone(UTC).replace(tzinfo=None) if when.tzinfo else when
+    return rows.withColumn("materialized_at", F.lit(when.isoformat(sep=" ")).cast("timestamp_ntz"))

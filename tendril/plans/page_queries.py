@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import functions as F
 
-from tendril.functions.text import form_date
-from tendril.operators import normalize
+from tendril.functions.text import absolute_url, form_date
+from tendril.operators import normalize, sinks
 from tendril.plans import views
 from tendril.plans.feature_queries import plain
 from tendril.sources import files, pages
@@ -89,3 +91,22 @@ def _export(spark, sf_dir):
 add("b01_normalized_export", lambda s, d: _export(s, d).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "procurement_reference", "publication_date", "is_cancelled", "is_suspended", "budget_limit_amount", "winner_nipt"), """
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, 'REF-' || l_orderkey AS procurement_reference, CAST(l_shipdate AS DATE) AS publication_date, CASE l_returnflag WHEN 'R' THEN true WHEN 'A' THEN false END AS is_cancelled, CAST(NULL AS BOOLEAN) AS is_suspended,
  CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS budget_limit_amount, CASE WHEN l_linenumber <> 2 THEN 'K' || lpad(CAST(o_custkey AS STRING), 8, '0') || 'A' END AS winner_nipt FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+
+_BASE = "concat('https://h', CAST(page_id AS STRING), '.x/a/b/c?q=1')"
+_HREF = "CASE page_id % 8 WHEN 0 THEN '../d' WHEN 1 THEN './e?y=2' WHEN 2 THEN '?z=1' WHEN 3 THEN '#f' WHEN 4 THEN '/g/../h' WHEN 5 THEN '//o/p' WHEN 6 THEN url ELSE '../../../i/..' END"
+add("h23_url_resolution", lambda s, d: _pages(s, d).selectExpr("page_id", f"{_BASE} AS base", f"{_HREF} AS href").select("page_id", absolute_url(c("base"), c("href")).alias("full")),
+    "SELECT page_id, CASE WHEN page_id % 8 = 5 THEN 'https://o/p' WHEN page_id % 8 = 6 THEN url ELSE 'https://h' || page_id || '.x' || CASE page_id % 8 WHEN 0 THEN '/a/d' WHEN 1 THEN '/a/b/e?y=2' WHEN 2 THEN '/a/b/c?z=1' WHEN 3 THEN '/a/b/c?q=1#f' WHEN 4 THEN '/h' ELSE '/' END END AS full FROM pages")
+
+_AT = "CASE WHEN doc_id % 5 = 0 THEN concat('/abs/', source, '/', CAST(doc_id AS STRING)) ELSE concat(source, '/', CAST(doc_id AS STRING)) END"
+
+
+def _resolved(spark, sf_dir):
+    docs = views.read(spark, sf_dir, "documents")
+    place = lambda root, where: docs.where(where).selectExpr(f"concat('file:///{root}/', source, '/', CAST(doc_id AS STRING)) AS path")
+    there = place("abs", "doc_id % 10 = 0").union(place("project", "doc_id % 3 = 0")).union(place("raw", "doc_id % 2 = 0"))
+    return files.resolved(docs.selectExpr("doc_id", f"{_AT} AS storage_path"), there, ["/project", "/raw"]).select("doc_id", "resolved_path")
+
+
+add("a07_path_resolution", _resolved, "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN CASE WHEN doc_id % 10 = 0 THEN '/abs/' END WHEN doc_id % 3 = 0 THEN '/project/' WHEN doc_id % 2 = 0 THEN '/raw/' END || source || '/' || doc_id AS resolved_path FROM documents")
+add("h37_materialized_rows", lambda s, d: sinks.materialized(views.awards(s, d), datetime(2024, 3, 5, 13, 30, tzinfo=timezone(timedelta(hours=2)))).groupBy(c("materialized_at").cast("string").alias("at")).agg(F.count(F.lit(1)).alias("n")),
+    f"WITH awards AS ({views.AWARDS_SQL}) SELECT '2024-03-05 11:30:00' AS at, count(*) AS n FROM awards")

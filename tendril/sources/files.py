@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from tendril.functions.text import extension, storage_name, storage_partition
 
 
+AT_ONCE = 5000  # rows of an export that are held at a time
+
+
 def artifacts(spark: SparkSession, folder: str) -> DataFrame:
     """path, length, modified and digest of every file below a folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
@@ -38,11 +41,15 @@ def export_rows(spark: SparkSession, path: str) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for name, content in zip(frame["path"], frame["content"], strict=True):
-                rows = csv.reader(io.StringIO(bytes(content).decode("utf-8-sig", "replace"), newline=""))
-                header, out = next(rows, []), []
+                rows = csv.reader(io.TextIOWrapper(io.BytesIO(content), encoding="utf-8-sig", errors="replace", newline=""))
+                header, out, n = next(rows, []), [], 0
                 for row in rows:
                     if row:
-                        out.append((name, len(out) + 1, dict(zip(header, row + [""] * (len(header) - len(row)), strict=False))))
+                        n += 1
+                        out.append((name, n, dict(zip(header, row + [""] * (len(header) - len(row)), strict=False))))
+                    if len(out) >= AT_ONCE:
+                        yield pd.DataFrame(out, columns=["path", "row_ordinal", "cells"])
+                        out = []
                 if out:
                     yield pd.DataFrame(out, columns=["path", "row_ordinal", "cells"])
 
@@ -52,3 +59,14 @@ def export_rows(spark: SparkSession, path: str) -> DataFrame:
 def preview(rows: DataFrame, limit: int = 5, width: int = 500) -> DataFrame:
     """The first rows of each file, cells cut."""
     return rows.where(F.col("row_ordinal") <= limit).withColumn("cells", F.transform_values("cells", lambda k, v: F.substring(v, 1, width)))
+
+
+def resolved(manifest: DataFrame, files: DataFrame, roots: list[str], path: str = "storage_path") -> DataFrame:
+    """manifest with resolved_path: its path if that is absolute and among the files (path), else the first of the roots
+    under which there is such a file; null if there is none. Backslashes count as slashes."""
+    plain = F.replace(F.col(path), F.lit("\\"), F.lit("/"))
+    under = F.when(plain.startswith("/"), F.array(plain)).otherwise(F.array(*[F.concat(F.lit(r.rstrip("/") + "/"), plain) for r in roots]))
+    wanted = manifest.select(F.col(path).alias("__wanted"), F.posexplode(under).alias("__nth", "__there")).distinct()
+    found = wanted.join(files.select(F.regexp_replace("path", r"^[a-z0-9]+:(//)?(?=/)", "").alias("__there")).distinct(), "__there")
+    first = found.groupBy("__wanted").agg(F.min_by("__there", "__nth").alias("resolved_path"))
+    return manifest.join(first, manifest[path] == first["__wanted"], "left").drop("__wanted")

@@ -117,3 +117,22 @@ def test_streams(spark, tmp_path):
     assert sorted(r.business_nipt for r in intake.current_rows(spark, rows).collect()) == ["A", "B2", "C"]
     out = {r.external_key: r for r in spark.read.parquet(f"{latest}/state=1").collect()}
     assert out["k"].id == 3 and out["k"].first_seen_at == datetime(2024, 1, 1) and out["k"].last_seen_at == datetime(2024, 1, 3) and out["m"].id == 2
+
+
+def test_urls_resolve_as_in_the_standard(spark):
+    from urllib.parse import urljoin
+
+    bases = ["http://a/b/c/d;p?q", "http://a", "http://a/", "https://x.y/z/?k=1#f"]
+    refs = ["g", "./g", "g/", "/g", "//g", "?y", "g?y", "#s", "g#s", "g?y#s", ";x", "g;x", "", ".", "./", "..", "../", "../g", "../..", "../../", "../../g", "../../../g", "/./g", "/../g", "g.", ".g", "./../g", "./g/.", "g/./h", "g/../h", "mailto:q", "g?y/../x"]
+    df = spark.createDataFrame([(b, r) for b in bases for r in refs], "base string, ref string")
+    out = df.select("base", "ref", text.absolute_url(F.col("base"), F.col("ref")).alias("full")).collect()
+    assert {(r.base, r.ref): r.full for r in out} == {(b, r): urljoin(b, r) for b in bases for r in refs}
+
+
+def test_reports_for_people(spark):
+    from tendril.operators.sinks import as_json, materialized
+
+    df = spark.createDataFrame([(1, None)], "a int, b string")
+    assert as_json(df, pretty=True).first()[0].splitlines() == ["{", '  "a" : 1,', '  "b" : null', "}"]
+    now = materialized(df.union(df)).select("materialized_at").distinct().collect()
+    assert len(now) == 1 and now[0][0].tzinfo is None
