@@ -14,12 +14,12 @@ from tendril.llm.shared import table, written
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without a letter go."""
+    """Documents whose language can be told: those without a letter go, and no others."""
     return language_id.with_known_language(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar texts (five-word shingles, 0.8 or more) the document with the smallest id."""
+    """Of each group of similar texts (five-word shingles, 0.8 or more) the first document by id and text."""
     return similar_texts.without_similar(docs)
 
 
