@@ -7,7 +7,8 @@ coordinate can't link and is discarded unseen, and the survivors are verified bi
 References alone can't deal the pairs out to tasks, as distances from random references to random fingerprints hardly
 differ and nearly every cell would meet nearly every other. Two fingerprints within two bits agree on one of three
 blocks of bits at least, so fingerprints are dealt out by block, the coarsest deal that loses no pair; a block of 21
-bits leaves one pair in 700,000 together, and of those the table discards all but one in a million or so.
+bits leaves one random pair in 700,000 together, and of such pairs the table passes about one in five million
+(measured: 4 of 20 million random pairs with an equal block).
 
 Rows with equal fingerprints are grouped before any comparison, a bucket gives a spanning forest and never its pairs,
 and a bucket with more than `BUCKET` fingerprints is cut into chunks that meet two by two in tasks of their own.
