@@ -168,7 +168,7 @@ t(dataset, name, category, confidence, description, n, missing_count) AS ({" UNI
 sparsity AS (SELECT dataset, name, category, confidence, description, n - missing_count AS present_count, missing_count, {_prate("(n - missing_count)", "n")} AS present_rate, {_prate("missing_count", "n")} AS missing_rate FROM t)"""
 
 
-add("c08_d24_i01_feature_sparsity", _profiles, f"WITH {_sparsity_sql()} SELECT * FROM sparsity")
+add("c08_d24_feature_sparsity", _profiles, f"WITH {_sparsity_sql()} SELECT * FROM sparsity")
 add("d25_feature_readiness", lambda s, d: profile.feature_readiness(_profiles(s, d)), f"""WITH {_sparsity_sql()},
 r AS (SELECT dataset, max(present_count + missing_count) AS row_count, coalesce(round_even(avg(present_rate) FILTER (WHERE confidence = 'safe'), 4), 0.0) AS safe_coverage FROM sparsity GROUP BY dataset)
 SELECT *, CASE WHEN row_count = 0 THEN 'blocked' WHEN safe_coverage >= 0.75 THEN 'usable_now' ELSE 'usable_with_caution' END AS status FROM r""")
