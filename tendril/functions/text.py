@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 # Flag words, document types and reasons.
 TRUE_WORDS = ("po", "yes", "true")
 FALSE_WORDS = ("jo", "no", "false")
-DATE_PATTERNS = ("d.M.yyyy", "d/M/yyyy", "yyyy-M-d")
+DAY_FIRST = r"^(\d{1,2})([./])(\d{1,2})\2(\d{4})$"
 IDENTIFIER = r"(?iU)\b[A-Z][0-9]{8}[A-Z]\b"
-EDGE_SPACE = r"(?U)^\s+|\s+$"
+EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 CORRUPTION_REASONS = {
     "content_hash_mismatch": "content_hash mismatch",
     "missing_file": "missing file",
@@ -33,8 +33,8 @@ def compact_text(value: Column) -> Column:
 
 def parse_date(value: Column) -> Column:
     """dd.MM.yyyy, dd/MM/yyyy or yyyy-MM-dd, one- and two-digit days and months; anything else is null."""
-    text = compact_text(value)
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)).cast("date") for p in DATE_PATTERNS])
+    # one expression that holds the value once: it is evaluated once, and parsed by one pattern
+    return F.try_to_timestamp(F.regexp_replace(compact_text(value), DAY_FIRST, "$4-$3-$1"), F.lit("yyyy-M-d")).cast("date")
 
 
 def parse_decimal(value: Column) -> Column:
@@ -44,8 +44,8 @@ def parse_decimal(value: Column) -> Column:
 
 def parse_flag(value: Column) -> Column:
     """Three-valued: yes words, no words, else null. Booleans pass through their text."""
-    word = F.lower(compact_text(value))
-    return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
+    words = F.create_map(*[F.lit(x) for w, flag in [(TRUE_WORDS, True), (FALSE_WORDS, False)] for k in w for x in (k, flag)])
+    return F.try_element_at(words, F.lower(strip(value.cast("string"))))
 
 
 def identifiers(value: Column) -> Column:
@@ -56,8 +56,8 @@ def identifiers(value: Column) -> Column:
 
 def single_identifier(value: Column) -> Column:
     """The text's identifier if it has exactly one."""
-    found = identifiers(value)
-    return F.when(F.size(found) == 1, F.get(found, F.lit(0)))
+    lone = F.filter(F.array(identifiers(value)), lambda found: F.size(found) == 1)
+    return F.get(F.get(lone, F.lit(0)), F.lit(0))
 
 
 def normalized_key(value: Column) -> Column:

@@ -1,14 +1,14 @@
 """Per-entity features of awards and of registry rows, by column role.
 
-Four aggregations share the entity key: the main one, one per concentrated category, and one by year. Each is two-level
-(entity and category, or entity and year, before entity), so that a hot entity's rows are combined before the shuffle,
-and distinct counts come from those pre-aggregations rather than from an Expand per distinct column.
+Three aggregations share the entity key: counts and amounts, which stay in a hash aggregate with fixed-width buffers; the
+newest texts; and the facets of a row (authority, procedure, contract, year, snapshot), which are counted by entity, facet
+and value before they meet by entity. So a hot entity's rows are combined before the shuffle, and distinct counts, top
+categories and growth come from those counts rather than from an aggregation or an Expand for each.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,17 +94,22 @@ def yearly(rows: DataFrame, date: str, award: str, entity: str = "entity") -> Da
     return rows.where(F.col(date).isNotNull()).groupBy(entity, F.year(date).alias("year")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.col(award), F.lit(0).cast(MONEY))).alias("value"))
 
 
+def _change(now: Column, before: Column) -> Column:
+    """Struct of the ratios of two consecutive years (structs year, n, value), and whether they are jumps."""
+    value = F.when(before["value"] > 0, ratio(now["value"], before["value"]))
+    count = count_ratio(now["n"], before["n"])
+    return F.struct(
+        now["year"].alias("year"), value.alias("value_ratio"), count.alias("count_ratio"),
+        F.coalesce((value >= JUMP_RATIO) & (now["value"] - before["value"] >= JUMP_VALUE), F.lit(False)).alias("value_jump"),
+        F.coalesce((count >= JUMP_RATIO) & (now["n"] - before["n"] >= JUMP_COUNT), F.lit(False)).alias("count_jump"),
+    )
+
+
 def growth(by_year: DataFrame, entity: str = "entity") -> DataFrame:
     """Ratios of consecutive years: value (if the earlier one's is positive) and count, and whether they are jumps."""
-    order = Window.partitionBy(entity).orderBy("year")
-    before = by_year.select("*", *[F.lag(c).over(order).alias(f"{c}_before") for c in ("year", "n", "value")]).where("year = year_before + 1")
-    value = F.when(F.col("value_before") > 0, ratio(F.col("value"), F.col("value_before")))
-    count = count_ratio(F.col("n"), F.col("n_before"))
-    return before.select(
-        entity, "year", value.alias("value_ratio"), count.alias("count_ratio"),
-        F.coalesce((value >= JUMP_RATIO) & (F.col("value") - F.col("value_before") >= JUMP_VALUE), F.lit(False)).alias("value_jump"),
-        F.coalesce((count >= JUMP_RATIO) & (F.col("n") - F.col("n_before") >= JUMP_COUNT), F.lit(False)).alias("count_jump"),
-    )
+    now = F.struct("year", "n", "value")
+    pairs = by_year.select(entity, now.alias("now"), F.lag(now).over(Window.partitionBy(entity).orderBy("year")).alias("before"))
+    return pairs.where("now.year = before.year + 1").select(entity, _change(F.col("now"), F.col("before")).alias("x")).select(entity, "x.*")
 
 
 def jumps(by_year: DataFrame, entity: str = "entity") -> DataFrame:
@@ -115,7 +120,7 @@ def jumps(by_year: DataFrame, entity: str = "entity") -> DataFrame:
 
 
 def main_aggregates(roles: AwardRoles) -> dict[str, Column]:
-    """The aggregates over an entity's rows, by feature name."""
+    """The aggregates with fixed-width buffers over an entity's rows, by feature name."""
     budget, award, date = F.col(roles.budget), F.col(roles.award), F.col(roles.date)
     active, cancelled, suspended = F.col(roles.cancelled).eqNullSafe(False), F.col(roles.cancelled).eqNullSafe(True), F.col(roles.suspended).eqNullSafe(True)
     valid = F.coalesce((budget > 0) & award.isNotNull(), F.lit(False))
@@ -125,13 +130,9 @@ def main_aggregates(roles: AwardRoles) -> dict[str, Column]:
     tickets = F.coalesce(F.lower(strip(F.col(roles.procedure))) == TICKETS, F.lit(False))
     own = F.when(valid, ratio(award, F.when(valid, budget)))
     n, n_valid = F.count(F.lit(1)), F.count_if(valid)
-    newest = (date, *[F.col(c) for c in roles.newest])
     kind = F.lower(F.col(roles.procedure))
     return {
         "source_row_count": n,
-        "source_snapshot_count": F.size(F.collect_set(roles.snapshot)).cast("long"),
-        "source_structured_record_ids": F.sort_array(F.collect_set(roles.snapshot)),
-        "latest_winner_name": latest(F.col(roles.name), *newest),
         "first_procurement_date": F.min(date),
         "last_procurement_date": F.max(date),
         "first_procurement_year": F.year(F.min(date)),
@@ -167,29 +168,78 @@ def main_aggregates(roles: AwardRoles) -> dict[str, Column]:
     }
 
 
+def text_aggregates(roles: AwardRoles) -> dict[str, Column]:
+    """Those that need a list or a text as buffer; apart, so that the others needn't be sorted."""
+    newest = [F.col(c) for c in (roles.date, *roles.newest)]
+    return {
+        "source_snapshot_count": F.size(F.collect_set(roles.snapshot)).cast("long"),
+        "source_structured_record_ids": F.sort_array(F.collect_set(roles.snapshot)),
+        "latest_winner_name": latest(F.col(roles.name), *newest),
+    }
+
+
 def award_aggregates(rows: DataFrame, roles: AwardRoles, *names: str) -> DataFrame:
-    """company_nipt and the named aggregates (all without names)."""
-    every = main_aggregates(roles)
-    return with_entity(rows, roles.key).groupBy(F.col("entity").alias("company_nipt")).agg(*[every[n].alias(n) for n in names or every])
+    """company_nipt and the named aggregates."""
+    every = main_aggregates(roles) | text_aggregates(roles)
+    return with_entity(rows, roles.key).groupBy(F.col("entity").alias("company_nipt")).agg(*[every[n].alias(n) for n in names])
+
+
+def facets(own: DataFrame, roles: AwardRoles) -> DataFrame:
+    """Per entity, facet (a, p, c: authority, procedure, contract; y: year; s: snapshot) and value as text: rows n, and
+    awards for years (null awards count as 0). A row without a value isn't counted in that facet."""
+    values = {"a": nonblank(F.col(roles.authority)), "p": nonblank(F.col(roles.procedure)), "c": nonblank(F.col(roles.contract)), "y": F.year(F.col(roles.date)).cast("string"), "s": F.col(roles.snapshot).cast("string")}
+    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("facet"), v.alias("value")) for k, v in values.items()]))
+    amount = F.when(F.col("x.facet") == "y", F.coalesce(F.col(roles.award), F.lit(0).cast(MONEY)))
+    rows = own.select("entity", roles.award, pairs.alias("x")).where("x.value is not null").select("entity", "x.facet", "x.value", amount.alias("amount"))
+    return rows.groupBy("entity", "facet", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
+
+
+def facet_features(counts: DataFrame, snapshot_type) -> DataFrame:
+    """A row per entity: what `facets` say about it."""
+    of = lambda k, c: F.when(F.col("facet") == k, c)
+    n, value = F.col("n"), F.col("value")
+    exact = n.cast("decimal(18,0)")
+    sums = []
+    for k in ("a", "p"):
+        top = F.min_by(F.struct("value", "n"), of(k, F.struct(-n, F.lower(value), value)))
+        sums += [top.alias(f"{k}_top"), F.sum(of(k, exact)).cast("decimal(18,0)").alias(f"{k}_total"), F.sum(of(k, exact * exact)).cast("decimal(24,0)").alias(f"{k}_squares")]
+    year = F.struct(value.cast("int").alias("year"), n.alias("n"), F.col("amount").alias("value"))
+    grouped = counts.groupBy("entity").agg(
+        *sums, *[F.count_if(F.col("facet") == k).alias(f"{k}_distinct") for k in ("a", "p", "c", "s")],
+        F.sort_array(F.collect_list(of("s", value.cast(snapshot_type)))).alias("snapshots"), F.sort_array(F.collect_list(of("y", year))).alias("years"),
+    )
+    years = F.col("years")
+    pairs = F.filter(F.arrays_zip(F.slice(years, 2, F.size(years)).alias("now"), F.slice(years, 1, F.greatest(F.size(years) - 1, F.lit(0))).alias("before")), lambda x: x["now"]["year"] == x["before"]["year"] + 1)
+    changed = grouped.withColumn("changes", F.transform(pairs, lambda x: _change(x["now"], x["before"])))
+    share = lambda k: count_ratio(F.col(f"{k}_top.n"), F.col(f"{k}_total"))
+    hhi = lambda k: ratio(F.col(f"{k}_squares"), (F.col(f"{k}_total") * F.col(f"{k}_total")).cast("decimal(24,0)"))
+    return changed.select(
+        "entity", F.col("s_distinct").alias("source_snapshot_count"), F.col("snapshots").alias("source_structured_record_ids"),
+        F.col("a_distinct").alias("distinct_contracting_authority_count"), F.col("p_distinct").alias("distinct_procedure_type_count"), F.col("c_distinct").alias("distinct_contract_type_count"),
+        F.col("a_top.value").alias("top_authority_name"), F.coalesce("a_top.n", F.lit(0)).alias("top_authority_count"), share("a").alias("top_authority_share"), hhi("a").alias("authority_hhi"),
+        F.col("p_top.value").alias("top_procedure_type"), F.coalesce("p_top.n", F.lit(0)).alias("top_procedure_type_count"), share("p").alias("top_procedure_type_share"), hhi("p").alias("procedure_type_hhi"),
+        F.size(F.filter("changes", lambda x: x["value_jump"])).cast("long").alias("yoy_value_jump_count"), F.size(F.filter("changes", lambda x: x["count_jump"])).cast("long").alias("yoy_contract_count_jump_count"),
+        F.array_max(F.transform("changes", lambda x: x["value_ratio"])).alias("max_yoy_value_growth_ratio"), F.array_max(F.transform("changes", lambda x: x["count_ratio"])).alias("max_yoy_contract_count_growth_ratio"),
+    )
+
+
+#: What an entity without any facet has: no snapshots, and counts of 0.
+NO_FACETS = {"source_structured_record_ids": F.array, **dict.fromkeys(
+    ("source_snapshot_count", "distinct_contracting_authority_count", "distinct_procedure_type_count", "distinct_contract_type_count", "top_authority_count", "top_procedure_type_count", "yoy_value_jump_count", "yoy_contract_count_jump_count"), lambda: F.lit(0),
+)}
 
 
 def award_features(rows: DataFrame, roles: AwardRoles | None = None) -> DataFrame:
     """All features of an awards table, a row per entity."""
     roles = roles or AwardRoles()
     own = with_entity(rows, roles.key)
-    main = award_aggregates(rows, roles)
-    authority = concentration(own, roles.authority, "a")
-    procedure = concentration(own, roles.procedure, "p")
-    contract = own.select("entity", nonblank(F.col(roles.contract)).alias("value")).where("value is not null").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("c_distinct"))
-    by_year = jumps(yearly(own, roles.date, roles.award))
-    joined = reduce(lambda a, b: a.join(b.withColumnRenamed("entity", "company_nipt"), "company_nipt", "left"), (authority, procedure, contract, by_year), main)
-    zero = lambda c, name: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(name)
-    return joined.select(
-        *main.columns, zero("a_distinct", "distinct_contracting_authority_count"), zero("p_distinct", "distinct_procedure_type_count"), zero("c_distinct", "distinct_contract_type_count"),
-        F.col("a_top").alias("top_authority_name"), zero("a_top_count", "top_authority_count"), F.col("a_top_share").alias("top_authority_share"), F.col("a_hhi").alias("authority_hhi"),
-        F.col("p_top").alias("top_procedure_type"), zero("p_top_count", "top_procedure_type_count"), F.col("p_top_share").alias("top_procedure_type_share"), F.col("p_hhi").alias("procedure_type_hhi"),
-        zero("yoy_value_jump_count", "yoy_value_jump_count"), zero("yoy_contract_count_jump_count", "yoy_contract_count_jump_count"), "max_yoy_value_growth_ratio", "max_yoy_contract_count_growth_ratio",
-    )
+    main = award_aggregates(rows, roles, *main_aggregates(roles))
+    names = award_aggregates(rows, roles, "latest_winner_name")
+    parts = facet_features(facets(own, roles), own.schema[roles.snapshot].dataType).withColumnRenamed("entity", "company_nipt")
+    joined = main.join(names, "company_nipt").join(parts, "company_nipt", "left")
+    filled = {c: F.coalesce(F.col(c), empty().cast(joined.schema[c].dataType)) for c, empty in NO_FACETS.items()}
+    lead = ["company_nipt", "source_row_count", "source_snapshot_count", "source_structured_record_ids", "latest_winner_name"]
+    return joined.withColumns(filled).select(*lead, *[c for c in joined.columns if c not in lead])
 
 
 def registry_features(rows: DataFrame, roles: RegistryRoles | None = None) -> DataFrame:

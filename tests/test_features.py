@@ -99,3 +99,21 @@ def test_registry_of_features(spark):
     assert metadata.join_policy(spark).where("level = 'safe'").count() == 1
     with pytest.raises(KeyError):
         metadata.dataset_semantics(spark, "x")
+
+
+def test_an_entity_without_any_facet(spark):
+    one = features_of(spark, [award("L1", snapshot=None)])["L1"]
+    assert (one["source_snapshot_count"], one["source_structured_record_ids"], one["distinct_contract_type_count"], one["yoy_value_jump_count"]) == (0, [], 0, 0)
+    assert one["top_authority_name"] is None and one["authority_hhi"] is None and one["max_yoy_value_growth_ratio"] is None
+
+
+def test_dates_flags_and_white_space(spark):
+    from pyspark.sql import functions as F
+
+    from tendril.functions.text import parse_date, parse_flag, strip
+
+    texts = [" 1.2.2024 ", "01/02/2024", "2024-2-1", "1.2/2024", "31.02.2024", "1.2.24", "2024-02-01T00:00:00", "", None, " a\x1c b\xa0", " Po", "JO", "maybe"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", parse_date(F.col("t")).alias("d"), parse_flag(F.col("t")).alias("f"), strip(F.col("t")).alias("s")).collect()
+    assert [r.d for r in got] == [date(2024, 2, 1)] * 3 + [None] * 10
+    assert [r.f for r in got] == [None] * 10 + [True, False, None]
+    assert all(r.s == (None if r.t is None else r.t.strip()) for r in got)
