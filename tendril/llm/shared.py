@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,19 +52,22 @@ def new_folder(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/tendril-{uuid.uuid4().hex}/{what}"
 
 
-_SCOPES: list[list[str]] = []
+#: Open scopes of the running thread or task: operators that run at the same time have their own.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 @contextmanager
 def passing(spark: SparkSession) -> Iterator[None]:
     """Tables written inside are deleted at the end, but those written with keep. What is kept must not be a plan over
     the others, and is itself left to the scope around this one."""
-    _SCOPES.append([])
+    paths: list[str] = []
+    before = _SCOPES.set((*_SCOPES.get(), paths))
     try:
         yield
     finally:
+        _SCOPES.reset(before)
         conf = spark._jsc.hadoopConfiguration()
-        for path in _SCOPES.pop():
+        for path in paths:
             there = spark._jvm.org.apache.hadoop.fs.Path(path.rpartition("/")[0])
             there.getFileSystem(conf).delete(there, True)
 
@@ -74,8 +78,9 @@ def written(df: DataFrame, what: str, keep: bool = False) -> DataFrame:
     small_batches(spark)
     path = new_folder(spark, what)
     df.write.parquet(path)
-    if len(_SCOPES) > keep:
-        _SCOPES[-1 - keep].append(path)
+    scopes = _SCOPES.get()
+    if len(scopes) > keep:
+        scopes[-1 - keep].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
