@@ -9,7 +9,8 @@ A narrow job: each task packs its own documents, `BATCH` windows at a time, so m
 a task that is run again gives the same sequences. Sequence ids are the task's number (upper bits) and a count.
 
 Ids are those of the vocabulary file under `tokenizers`; as that library encodes a plain byte-level file slowly, such
-a file is encoded by tiktoken with the same merges and pattern (a test holds the two against each other).
+a file is encoded by tiktoken with the same merges and pattern (a test holds the two against each other), but for
+pieces with a run of 50,000 white-space characters or more, on which tiktoken overflows its stack.
 
 Defined cases: null text counts as empty and is one token, the closing id; special tokens' strings in a text are
 ordinary text; repeated rows are packed each; doc_id passes through, nulls included; other columns are ignored.
@@ -23,6 +24,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Tokens of that pattern have white space only in front, so one always begins at a space that follows something else:
 #: texts may be cut there without changing their ids.
 CUT = re.compile(r"(?<=\S)(?= )")
+#: tiktoken's pattern engine recurses over a run of white space; longer runs than this go to `tokenizers`.
+LONG_RUN = re.compile(r"\s{50000}")
 
 
 class Encoder:
@@ -50,17 +54,20 @@ class Encoder:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.fast = self.slow = None
+        self.path, self.fast = path, None
         ranks = self._byte_level_ranks(spec)
         if ranks:
             import tiktoken
 
             self.fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        else:
-            from tokenizers import Tokenizer
 
-            self.slow = Tokenizer.from_file(path)
-            self.slow.encode_special_tokens = True
+    @cached_property
+    def slow(self):
+        from tokenizers import Tokenizer
+
+        out = Tokenizer.from_file(self.path)
+        out.encode_special_tokens = True
+        return out
 
     @staticmethod
     def _byte_level_ranks(spec: dict) -> dict[bytes, int] | None:
@@ -83,7 +90,8 @@ class Encoder:
             cut = CUT.search(text, at + PIECE) if len(text) - at > PIECE else None
             end = cut.start() if cut else len(text)
             piece = text[at:end] if at or cut else text
-            parts.extend(self.fast.encode_ordinary(piece) if self.fast else self.slow.encode(piece, add_special_tokens=False).ids)
+            fast = self.fast and not LONG_RUN.search(piece)
+            parts.extend(self.fast.encode_ordinary(piece) if fast else self.slow.encode(piece, add_special_tokens=False).ids)
             at = end
         parts.append(CLOSING)
         return np.asarray(parts).astype("<u4", copy=False)

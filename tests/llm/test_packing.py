@@ -35,6 +35,13 @@ def test_ids_equal_the_tokenizers_library(exact, monkeypatch):
             assert encoder.ids(text).tolist() == [*exact(text), 0]
 
 
+@pytest.mark.parametrize("run", [" ", "\t", "\n", " \n\t", "\u3000 "])
+def test_ids_of_long_white_space(exact, run):
+    encoder = P.Encoder(P.default_tokenizer())
+    for text in (f"word{run * (2_000_000 // len(run))}word", run * (1_500_000 // len(run)), f"a{run * 24_000}b{run * 26_000} c"):
+        assert encoder.ids(text).tolist() == [*exact(text), 0]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 512), min_size=1, max_size=120))
 def test_windows_hold_all_parts(sizes):
