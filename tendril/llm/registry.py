@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tendril.llm import decontamination, html_text, language_id, packing, quality_model, quality_rules, sharding, simhash_dedup, suffix_dedup, warc
+from tendril.llm import centroids, decontamination, html_text, language_id, language_model, packing, prefix_trie, quality_model, quality_rules, sharding, simhash_dedup, suffix_dedup, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -15,9 +15,14 @@ QUERIES = {
     "op8_suffix_array_dedup": suffix_dedup.op8_suffix_array_dedup,
     "op9_benchmark_containment": decontamination.op9_benchmark_containment,
     "op10_kd_sharding": sharding.op10_kd_sharding,
+    "op11_backoff_automaton": language_model.op11_backoff_automaton,
+    "op12_conversation_trie": prefix_trie.op12_conversation_trie,
+    "op13_lookup_table_clusters": centroids.op13_lookup_table_clusters,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_line_quality_rules": quality_rules.OP5_SQL,
     "op9_benchmark_containment": decontamination.OP9_SQL,
+    "op12_conversation_trie": prefix_trie.OP12_SQL,
+    "op13_lookup_table_clusters": centroids.OP13_SQL,
 }
