@@ -89,9 +89,9 @@ def running(df: DataFrame, key: str, order: list[Column], lanes: list[str]) -> D
         before = edge
     if not carries:
         return own.drop("__part", "__nth")
-    carry = df.sparkSession.createDataFrame(carries, "__in int, __key bigint" + "".join(f", `__{x}` bigint" for x in lanes))
+    carry = df.sparkSession.createDataFrame(carries, "__in int, __key bigint" + "".join(f", `__add_{x}` bigint" for x in lanes))
     met = own.join(F.broadcast(carry), (c("__part") == c("__in")) & (c(key) == c("__key")), "left")  # a row per task at most
-    return met.select(*names, *[(c(x) + F.coalesce(c(f"__{x}"), F.lit(0))).bitwiseAND(LANE).alias(x) for x in lanes])
+    return met.select(*names, *[(c(x) + F.coalesce(c(f"__add_{x}"), F.lit(0))).bitwiseAND(LANE).alias(x) for x in lanes])
 
 
 # ---- conversations, nodes, passes

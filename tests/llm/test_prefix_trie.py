@@ -82,11 +82,11 @@ def test_ends_in_pieces(spark):
 
 
 def test_running_sums_go_on_in_the_next_task(spark):
-    df = spark.range(900).selectExpr("CASE WHEN id < 700 THEN 5 ELSE id % 3 END AS key", "id AS at", "CAST(1 AS BIGINT) AS n")
-    got = T.running(df.repartition(6), "key", [T.c("at")], ["n"]).collect()
+    df = spark.range(900).selectExpr("CASE WHEN id < 700 THEN 5 ELSE id % 3 END AS key", "id AS at", "CAST(1 AS BIGINT) AS nth")
+    got = T.running(df.repartition(6), "key", [T.c("at")], ["nth"]).collect()
     seen = defaultdict(list)
     for r in sorted(got, key=lambda r: r["at"]):
-        seen[r["key"]].append(r["n"])
+        seen[r["key"]].append(r["nth"])
     assert {k: v == list(range(1, len(v) + 1)) for k, v in seen.items()} == dict.fromkeys(seen, True) and len(seen[5]) == 700
 
 
