@@ -6,7 +6,7 @@ unknown word, and needs counts of n-grams only. As an automaton: a state for eve
 with log P(w | h) for every n-gram hw that it has, and a failure arc with log(MU / (c(h) + MU)) to the state of h'. A
 text is read once from left to right: follow failure arcs until there is an arc, add its weight, go to its state.
 
-The counts of a large corpus fit no task, so the automaton is never whole. Documents are put into blocks of some million
+The counts of a large corpus fit no task, so the automaton is never whole. Documents are put into blocks of half a million
 tokens (longer texts are blocks of their own). Each block asks for the counts of the distinct n-grams that it holds, and
 says how often its own training documents have them; n-grams are dealt by hash to buckets, where they are added up and
 answered; so a frequent word or n-gram is one entry per block. With the answers a task builds the block's part of the
@@ -28,15 +28,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tendril.llm.shared import crc_of_id, passing, table, written
 
-ORDER, MU = 2, 4.0
+#: MU: of 4, 16, 64, 256 and 1024 the best on a sixth of training rows kept apart (held-out rows not looked at).
+ORDER, MU = 2, 256.0
 #: Tokens of a block, n-grams of a bucket, characters that are split into words at a time.
-BLOCK, BUCKET, SLICE = 1 << 20, 1 << 19, 1 << 20
+BLOCK, BUCKET, SLICE = 1 << 19, 1 << 20, 1 << 20
 SPACE = re.compile(r"[\x20\x09-\x0D]")
 END = b" "  # no word
 
@@ -100,8 +102,19 @@ class Grams:
         return order, there.astype(np.int64), starts
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Whole numbers as bytes, the lowest of each first, compressed: most are small."""
+    return zstandard.compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes(), 1)
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(zstandard.decompress(data), np.uint8).reshape(size, -1).T.copy().view(kind).ravel()
+
+
 def blocks(docs: DataFrame, held_out: Column, block: int = BLOCK) -> DataFrame:
-    """docs (doc_id, text) -> rows of many documents each: block, doc_ids, held, sizes, ids, keys and checks."""
+    """docs (doc_id, text) -> rows of many documents each: block, n_tokens, doc_ids, held, sizes (in tokens), ids (packed
+    numbers of words), keys and checks (the hashes of the words by number)."""
     kept = docs.select("doc_id", "text", held_out.alias("held"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,8 +122,9 @@ def blocks(docs: DataFrame, held_out: Column, block: int = BLOCK) -> DataFrame:
 
         def put() -> pa.RecordBatch:
             digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, numbers)), np.int64).reshape(-1, 2)
-            lists = [pa.array([d for d, _, _ in held], kind), pa.array([h for _, h, _ in held]), pa.array([len(x) for *_, x in held], pa.int32()), pa.array(np.concatenate([x for *_, x in held])), pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].astype(np.int32))]
-            return pa.RecordBatch.from_arrays([pa.array([nth]), pa.array([tokens]), *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists)], ["block", "n_tokens", "doc_ids", "held", "sizes", "ids", "keys", "checks"])
+            lists = [pa.array([[d for d, _, _ in held]], pa.list_(kind)), pa.array([[h for _, h, _ in held]]), pa.array([[len(x) for *_, x in held]], pa.list_(pa.int32()))]
+            data = [packed(np.concatenate([x for *_, x in held])), digests[:, 0].tobytes(), digests[:, 1].astype(np.int32).tobytes()]
+            return pa.RecordBatch.from_arrays([pa.array([nth]), pa.array([tokens]), *lists, *(pa.array([x], pa.binary()) for x in data)], ["block", "n_tokens", "doc_ids", "held", "sizes", "ids", "keys", "checks"])
 
         for batch in batches:
             kind = batch.schema.field(0).type
@@ -125,11 +139,13 @@ def blocks(docs: DataFrame, held_out: Column, block: int = BLOCK) -> DataFrame:
             yield put()
 
     kind = kept.schema["doc_id"].dataType.simpleString()
-    return kept.mapInArrow(run, f"block bigint, n_tokens bigint, doc_ids array<{kind}>, held array<boolean>, sizes array<int>, ids array<int>, keys array<bigint>, checks array<int>")
+    return kept.mapInArrow(run, f"block bigint, n_tokens bigint, doc_ids array<{kind}>, held array<boolean>, sizes array<int>, ids binary, keys binary, checks binary")
 
 
-def _row(batch: pa.RecordBatch, k: int, *names: str) -> list[np.ndarray]:
-    return [batch.column(x)[k].values.to_numpy(zero_copy_only=False) for x in names]
+def _block(row: dict, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Grams]:
+    """Held-out marks, sizes, words and n-grams of a block."""
+    out, sizes, ids = np.array(row["held"], bool), np.array(row["sizes"]), unpacked(row["ids"], np.int32)
+    return out, sizes, ids, Grams(ids, sizes, np.frombuffer(row["keys"], np.int64), order)
 
 
 def requests(held: DataFrame, order: int, buckets: int) -> DataFrame:
@@ -137,141 +153,138 @@ def requests(held: DataFrame, order: int, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                out, sizes, ids, keys, checks = _row(batch, row, "held", "sizes", "ids", "keys", "checks")
-                grams = Grams(ids, sizes, keys, order)
-                training = np.repeat(~out.astype(bool), sizes)
+            for nth in range(batch.num_rows):
+                row = batch.slice(nth, 1).to_pylist()[0]
+                out, sizes, _, grams = _block(row, order)
+                checks = np.frombuffer(row["checks"], np.int32)
+                training = np.repeat(~out, sizes)
                 for k in range(order):
-                    of = grams.of[k][training & (grams.of[k] >= 0)]
-                    counts = np.bincount(of, minlength=len(grams.key[k])).astype(np.int32)
+                    counts = np.bincount(grams.of[k][training & (grams.of[k] >= 0)], minlength=len(grams.key[k]))
                     at, there, starts = grams.dealt(k, buckets)
-                    offsets = pa.array(np.r_[starts, len(at)].astype(np.int32))
-                    none = pa.array(np.zeros(len(there) + 1, np.int32))
-                    check = pa.ListArray.from_arrays(none, pa.array([], pa.int32())) if k else pa.ListArray.from_arrays(offsets, pa.array(checks[at]))
-                    columns = [pa.array(np.full(len(there), batch.column("block")[row].as_py())), pa.array(np.full(len(there), k, np.int32)), pa.array(there)]
-                    lists = [pa.ListArray.from_arrays(offsets, pa.array(grams.key[k][at].view(np.int64))), check, pa.ListArray.from_arrays(offsets, pa.array(counts[at]))]
-                    yield pa.RecordBatch.from_arrays([*columns, *lists], ["block", "k", "bucket", "keys", "checks", "counts"])
+                    parts = [at[a:b] for a, b in zip(starts, [*starts[1:], len(at)], strict=True)]
+                    columns = [pa.array([row["block"]] * len(parts)), pa.array([k] * len(parts), pa.int32()), pa.array(there)]
+                    data = [[grams.key[k][x].tobytes() for x in parts], [checks[x].tobytes() if k == 0 else b"" for x in parts], [packed(counts[x]) for x in parts]]
+                    yield pa.RecordBatch.from_arrays([*columns, *(pa.array(x, pa.binary()) for x in data)], ["block", "k", "bucket", "keys", "checks", "counts"])
 
-    return held.mapInArrow(run, "block bigint, k int, bucket bigint, keys array<bigint>, checks array<int>, counts array<int>")
+    return held.mapInArrow(run, "block bigint, k int, bucket bigint, keys binary, checks binary, counts binary")
 
 
 def answers(asked: DataFrame) -> DataFrame:
     """Each request with the counts over all blocks; a row of k = -1 per bucket has its tokens and distinct words."""
 
-    def add_up(k: int, rows: list[tuple]) -> tuple[list[np.ndarray], list[int]]:
+    def add_up(k: int, rows: list[tuple]) -> tuple[list[np.ndarray], int, int]:
         keys = np.concatenate([r[1] for r in rows])
         checks = np.concatenate([r[2] for r in rows]) if k == 0 else np.zeros(len(keys), np.int32)
         order = np.lexsort((checks, keys)) if k == 0 else np.argsort(keys)
         a, b = keys[order], checks[order]
         new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
-        total = np.add.reduceat(np.concatenate([r[3] for r in rows]).astype(np.int64)[order], np.flatnonzero(new))
+        total = np.add.reduceat(np.concatenate([r[3] for r in rows])[order], np.flatnonzero(new))
         of = np.empty(len(order), np.int64)
         of[order] = np.cumsum(new) - 1
-        return np.split(total[of], np.cumsum([len(r[1]) for r in rows])[:-1]), [int(total.sum()), int((total > 0).sum())]
+        return np.split(total[of], np.cumsum([len(r[1]) for r in rows])[:-1]), int(total.sum()), int((total > 0).sum())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
 
         def put() -> pa.RecordBatch:
-            counts, facts = add_up(now[1], rows)
-            found = [(r[0], now[1], now[0], c) for r, c in zip(rows, counts, strict=True)] + [(-1, -1, now[0], np.array(facts))] * (now[1] == 0)
-            offsets = np.r_[0, np.cumsum([len(c) for *_, c in found])].astype(np.int32)
-            columns = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int64()))]
-            return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([c for *_, c in found])))], ["block", "k", "bucket", "counts"])
+            bucket, k = now
+            counts, tokens, types = add_up(k, rows)
+            found = [(r[0], k, bucket, packed(x), None, None) for r, x in zip(rows, counts, strict=True)] + [(None, -1, bucket, None, tokens, types)] * (k == 0)
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*found, strict=True), kinds, strict=True)], ["block", "k", "bucket", "counts", "tokens", "types"])
 
         for batch in batches:
-            for row in range(batch.num_rows):
-                own = (batch.column("bucket")[row].as_py(), batch.column("k")[row].as_py())
-                if own != now and rows:
+            for block, k, bucket, keys, checks, counts in zip(*(batch.column(x).to_pylist() for x in ("block", "k", "bucket", "keys", "checks", "counts")), strict=True):
+                if (bucket, k) != now and rows:
                     yield put()
                     rows = []
-                now = own
-                rows.append((batch.column("block")[row].as_py(), *(x.copy() for x in _row(batch, row, "keys", "checks", "counts"))))
+                now = (bucket, k)
+                rows.append((block, np.frombuffer(keys, np.uint64), np.frombuffer(checks, np.int32), unpacked(counts, np.int64)))
         if rows:
             yield put()
 
-    return asked.repartition("bucket").sortWithinPartitions("bucket", "k").mapInArrow(run, "block bigint, k int, bucket bigint, counts array<bigint>")
+    return asked.repartition("bucket").sortWithinPartitions("bucket", "k").mapInArrow(run, "block bigint, k int, bucket bigint, counts binary, tokens bigint, types bigint")
 
 
 class Automaton:
-    """The part of the model's automaton that a block's texts can reach. State 0 has no history."""
+    """The part of the model's automaton that a block's texts can reach.
+
+    A state is a history of training, from none to one word less than the order; the arc that leaves it with a word is
+    the n-gram of both, if training has that, and leads to the longest history that it ends with. Arcs and failure arcs
+    have weights by n-gram; they are laid out along the block's tokens before these are read."""
 
     def __init__(self, grams: Grams, counts: list[np.ndarray], tokens: int, types: int, mu: float):
-        self.words = words = len(counts[0])
         chance = [(counts[0] + 1) / (tokens + types + 1)]
+        for k in range(1, len(counts)):
+            chance.append((counts[k] + mu * chance[k - 1][grams.suffix[k]]) / (counts[k - 1][grams.prefix[k]] + mu))
         self.base = np.log10(chance[0])
-        state = []  # of each n-gram that is a history; those training doesn't have are state 0
-        self.fail, self.fail_weight = [0], [0.0]
-        for k in range(len(counts) - 1):
-            known = np.flatnonzero(counts[k] > 0)
-            own = np.zeros(len(counts[k]), np.int64)
-            own[known] = np.arange(len(self.fail), len(self.fail) + len(known))
-            self.fail += (state[k - 1][grams.suffix[k][known]] if k else np.zeros(len(known), np.int64)).tolist()
-            self.fail_weight += np.log10(mu / (counts[k][known] + mu)).tolist()
-            state.append(own)
-        keys, weights, targets = [], [], []
-        for k, count in enumerate(counts):
-            if k:
-                chance.append((count + mu * chance[k - 1][grams.suffix[k]]) / (counts[k - 1][grams.prefix[k]] + mu))
-            known = np.flatnonzero(count > 0) if k else np.arange(words)  # every word has an arc from state 0
-            source = state[k - 1][grams.prefix[k][known]] if k else np.zeros(words, np.int64)
-            keys.append(source * words + grams.word[k][known])
-            weights.append(np.log10(chance[k][known]))
-            targets.append(state[k][known] if k < len(state) else state[k - 1][grams.suffix[k][known]] if k else np.zeros(words, np.int64))
-        keys, self.weight, self.target = (np.concatenate(x).tolist() for x in (keys, weights, targets))
-        self.arc = dict(zip(keys, range(len(keys)), strict=True))
-
-    def score(self, ids: list[int]) -> float:
-        """One pass over a text: the sum of its arcs' and failure arcs' weights."""
-        arc, words, weight, target, fail, fail_weight = self.arc.get, self.words, self.weight, self.target, self.fail, self.fail_weight
-        state, total = 0, 0.0
-        for word in ids:
-            there = arc(state * words + word)
-            while there is None:
-                total += fail_weight[state]
-                state = fail[state]
-                there = arc(state * words + word)
-            total += weight[there]
-            state = target[there]
+        arcs = [self.base, *(np.where(n > 0, np.log10(p), np.nan) for n, p in zip(counts[1:], chance[1:], strict=True))]
+        fails = [np.log10(mu / (n + mu)) for n in counts[:-1]]
+        along = lambda of, x: np.where(of >= 0, np.append(x, np.nan)[of], np.nan)  # noqa: E731  no n-gram, no arc
+        self.arcs = [along(of, x).tolist() for of, x in zip(grams.of, arcs, strict=True)]
+        self.fails = [along(of, x).tolist() for of, x in zip(grams.of, fails, strict=False)]
+        self.known = (counts[0] > 0)[grams.of[0]].tolist()
+
+    def score(self, start: int, end: int) -> float:
+        """One pass over a text, the tokens from start to end: the sum of its arcs' and failure arcs' weights. The state
+        is the last `words` tokens."""
+        arcs, fails, known, most = self.arcs, self.fails, self.known, len(self.arcs) - 1
+        words, total = 0, 0.0
+        for at in range(start, end):
+            weight = arcs[words][at]
+            while weight != weight:  # no arc
+                words -= 1
+                total += fails[words][at - 1]
+                weight = arcs[words][at]
+            total += weight
+            if not known[at]:
+                words = 0
+            elif words < most:
+                words += 1
         return total
 
 
 def scores(docs: DataFrame, held_out: Column, order: int = ORDER, mu: float = MU, block: int = BLOCK, bucket: int = BUCKET) -> DataFrame:
     """docs (doc_id, text) -> doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score."""
-    spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    with passing(spark):
+    with passing(docs.sparkSession):
         held = written(blocks(docs, held_out, block), "blocks")
         buckets = max(1, -(-(held.agg(F.sum("n_tokens")).first()[0] or 0) * order // bucket))
         found = written(answers(requests(held.drop("doc_ids", "n_tokens"), order, buckets)), "counts")
-        tokens, types = found.where("k = -1").agg(F.coalesce(F.sum(F.get("counts", 0)), F.lit(0)), F.coalesce(F.sum(F.get("counts", 1)), F.lit(0))).first()
-        own = found.where("k >= 0").groupBy("block").agg(F.collect_list(F.struct("k", "bucket", "counts")).alias("got"))  # as much as the block holds
+        tokens, types = (x or 0 for x in found.where("k = -1").agg(F.sum("tokens"), F.sum("types")).first())
+
+        def scored(row: dict, got: list[tuple[int, bytes]]) -> pa.RecordBatch:
+            out, sizes, ids, grams = _block(row, order)
+            counts = []
+            for k in range(order):
+                at, _, _ = grams.dealt(k, buckets)
+                counts.append(np.zeros(len(at), np.int64))
+                counts[k][at] = np.concatenate([np.zeros(0, np.int64), *(unpacked(x, np.int64) for n, x in got if n == k)])
+            model = Automaton(grams, counts, tokens, types, mu)
+            ends = np.cumsum(sizes)
+            starts = ends - sizes
+            total = [model.score(a, b) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+            known, base = np.add.reduceat((counts[0] > 0)[ids].astype(np.int64), starts), np.add.reduceat(model.base[ids], starts)
+            columns = [out, sizes.astype(np.int64), known, np.full(len(sizes), tokens), base, np.array(total)]
+            return pa.RecordBatch.from_arrays([row["doc_ids"], *map(pa.array, columns)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            now, got = None, []
             for batch in batches:
-                for row in range(batch.num_rows):
-                    out, sizes, ids, keys = _row(batch, row, "held", "sizes", "ids", "keys")
-                    grams = Grams(ids, sizes, keys, order)
-                    got = batch.column("got")[row].values
-                    k_of, bucket_of = (got.field(x).to_numpy() for x in ("k", "bucket"))
-                    lists = got.field("counts")
-                    counts = []
-                    for k in range(order):
-                        at, _, _ = grams.dealt(k, buckets)
-                        rows = np.flatnonzero(k_of == k)
-                        parts = [lists[int(r)].values.to_numpy() for r in rows[np.argsort(bucket_of[rows])]]
-                        counts.append(np.zeros(len(at), np.int64))
-                        counts[k][at] = np.concatenate(parts) if parts else []
-                    model = Automaton(grams, counts, tokens, types, mu)
-                    starts = np.cumsum(sizes) - sizes
-                    total = [model.score(ids[a : a + n].tolist()) for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
-                    known = np.add.reduceat((counts[0] > 0)[ids].astype(np.int64), starts)
-                    base = np.add.reduceat(model.base[ids], starts)
-                    columns = [batch.column("doc_ids")[row].values, pa.array(out), pa.array(sizes.astype(np.int64)), pa.array(known), pa.array(np.full(len(sizes), tokens)), pa.array(base), pa.array(total, pa.float64())]
-                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-        joined = held.drop("checks", "n_tokens").join(own, "block")
-        return written(joined.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"), "scores", keep=True)
+                for nth in range(batch.num_rows):
+                    if batch.column("k")[nth].as_py() >= 0:
+                        got.append((batch.column("k")[nth].as_py(), batch.column("counts")[nth].as_py()))
+                        continue
+                    if now:
+                        yield scored(now, got)
+                    now, got = {x: batch.column(x)[nth].as_py() for x in ("held", "sizes", "ids", "keys")} | {"doc_ids": batch.column("doc_ids")[nth].values}, []
+            if now:
+                yield scored(now, got)
+
+        own = held.select("block", F.lit(-1).alias("k"), F.lit(-1).cast("bigint").alias("bucket"), "doc_ids", "held", "sizes", "ids", "keys")
+        rows = own.unionByName(found.where("k >= 0").select("block", "k", "bucket", "counts"), allowMissingColumns=True)
+        met = rows.repartition("block").sortWithinPartitions("block", "k", "bucket")  # a block, then what it has been told
+        return written(met.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"), "scores", keep=True)
 
 
 def op11_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:

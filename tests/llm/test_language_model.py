@@ -82,38 +82,20 @@ def test_no_rows_no_training_rows(spark, no_docs):
     assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) == (3, 0, 0, 0.0, 0.0)
 
 
-def test_automaton_sums_to_one():
-    numbers = L._Numbers()
-    texts = [L.token_ids(t, numbers) for t in ("a b c a b", "b a", "c c c", "a b d")]
-    sizes = np.array([len(t) for t in texts])
-    ids = np.concatenate(texts)
-    grams = L.Grams(ids, sizes, np.arange(1, len(numbers) + 1) * 77, 3)
-    counts = [np.bincount(of[of >= 0], minlength=len(key)) for of, key in zip(grams.of, grams.key, strict=True)]
-    tokens, types, words = int(counts[0].sum()), len(numbers), len(numbers)
-    model = L.Automaton(grams, counts, tokens, types, 2.0)
-    end = numbers[L.END]
-
-    def chance(state, word):
-        total = 0.0
-        while (arc := model.arc.get(state * words + word)) is None:
-            total, state = total + model.fail_weight[state], model.fail[state]
-        return 10 ** (total + model.weight[arc])
-
-    histories = {0}
-    for t in texts:
-        state = 0
-        for w in t.tolist():
-            while (arc := model.arc.get(state * words + w)) is None:
-                state = model.fail[state]
-            state = model.target[arc]
-            histories.add(state) if w != end else None
-    assert len(histories) > 6
-    unknown = 1 / (tokens + types + 1)
-    for state in histories:
-        rest, s = 0.0, state
-        while s:
-            rest, s = rest + model.fail_weight[s], model.fail[s]
-        assert abs(sum(chance(state, w) for w in range(words)) + unknown * 10**rest - 1) < 1e-9
+def test_model_sums_to_one():
+    texts = [tokens(t) for t in ("a b c a b", "b a", "c c c", "a b d")]
+    brute = Brute(texts, 3, 2.0)
+    words = {w for t in texts for w in t}
+    histories = {t[max(0, i - n) : i] for t in texts for i in range(len(t)) for n in range(3)}
+    assert len(histories) > 10
+    for h in histories:
+        assert abs(sum(brute.p(h, w) for w in words) + brute.p(h, "unknown") - 1) < 1e-12
+
+
+def test_packed_numbers():
+    for x in (np.array([0, 1, 2**40, -5, 7]), np.array([], np.int64), np.arange(1000)):
+        assert (L.unpacked(L.packed(x), np.int64) == x).all()
+    assert (L.unpacked(L.packed(np.arange(9, dtype=np.int32)), np.int32) == np.arange(9)).all()
 
 
 def test_long_texts_are_cut_between_words():
