@@ -2,18 +2,11 @@
 
 from __future__ import annotations
 
-import csv
-import io
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tendril.functions.text import extension, storage_name, storage_partition
-
-
-AT_ONCE = 5000  # rows of an export that are held at a time
+from tendril.sources import csv_ranges
 
 
 def artifacts(spark: SparkSession, folder: str) -> DataFrame:
@@ -35,25 +28,14 @@ def manifest(fetches: DataFrame) -> DataFrame:
 def export_rows(spark: SparkSession, path: str) -> DataFrame:
     """CSV exports -> path, row_ordinal (1-based per file) and cells, a map by header. A byte-order mark is dropped,
     undecodable bytes become U+FFFD, quoted line breaks stay, blank lines are skipped, short rows are filled with ''
-    and cells beyond the header are dropped. One task per file: ordinals are a file's own order."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for name, content in zip(frame["path"], frame["content"], strict=True):
-                rows = csv.reader(io.TextIOWrapper(io.BytesIO(content), encoding="utf-8-sig", errors="replace", newline=""))
-                header, out, n = next(rows, []), [], 0
-                for row in rows:
-                    if row:
-                        n += 1
-                        out.append((name, n, dict(zip(header, row + [""] * (len(header) - len(row)), strict=False))))
-                    if len(out) >= AT_ONCE:
-                        yield pd.DataFrame(out, columns=["path", "row_ordinal", "cells"])
-                        out = []
-                if out:
-                    yield pd.DataFrame(out, columns=["path", "row_ordinal", "cells"])
-
-    return files.mapInPandas(run, "path string, row_ordinal int, cells map<string,string>")
+    and cells beyond the header are dropped; of equal headers the last counts. A file is read in as many tasks as it has
+    ranges (spark.sql.files.maxPartitionBytes)."""
+    rows = csv_ranges.records(spark, path)
+    last = F.filter(F.transform("cells", lambda h, k: F.struct(h.alias("name"), k.alias("at"))), lambda e: ~F.array_contains(F.slice("cells", e["at"] + 2, F.size("cells")), e["name"]))
+    headers = rows.where("ordinal = 0").select(F.col("path").alias("of"), last.alias("columns"))
+    named = rows.where("ordinal > 0").join(headers, F.col("path") == F.col("of"))
+    cells = F.map_from_entries(F.transform("columns", lambda e: F.struct(e["name"], F.coalesce(F.get("cells", e["at"]), F.lit("")))))
+    return named.select("path", F.col("ordinal").alias("row_ordinal"), cells.alias("cells"))
 
 
 def preview(rows: DataFrame, limit: int = 5, width: int = 500) -> DataFrame:
