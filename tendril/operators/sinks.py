@@ -7,10 +7,19 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tendril.operators import buckets
 
-def replace_by_snapshot(rows: DataFrame, path: str, key: str = "structured_record_id") -> None:
-    """Writes rows partitioned by snapshot; partitions that the rows touch are replaced, others stay."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+
+def replace_by_snapshot(rows: DataFrame, path: str, key: str = "structured_record_id", snapshots: DataFrame | None = None, version: int | None = None) -> None:
+    """Replaces the rows of each snapshot that `rows` has, and of each of `snapshots` (a column named as the key), which
+    may have none any more; others stay. Snapshots lie in hash buckets, as many files whatever their number; read them
+    by buckets.current."""
+
+    def merge(old: DataFrame | None, new: DataFrame) -> DataFrame:
+        return rows if old is None else old.select(*rows.columns).join(new.select(key).distinct(), key, "left_anti").select(*rows.columns).union(rows)
+
+    ids = rows.select(key)
+    buckets.change(ids if snapshots is None else ids.union(snapshots.select(key)), [key], path, merge, version)
 
 
 def replace_all(rows: DataFrame, path: str) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tendril.operators import sinks
+from tendril.operators import buckets, sinks
 from tendril.plans import page_queries, views
 from tendril.plans.feature_queries import plain
 from tendril.sources import files
@@ -63,7 +63,7 @@ def snapshot_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = rows.where("structured_record_id = 3").withColumn("v", F.lit(1).cast("decimal(18,2)"))
     for _ in range(2):  # twice, as a run that is repeated
         sinks.replace_by_snapshot(changed, path)
-    return spark.read.parquet(path).groupBy(c("structured_record_id").cast("long").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("v"))
+    return buckets.current(spark, path).groupBy(c("structured_record_id").cast("long").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("v"))
 
 
 add("a10_replace_by_snapshot", snapshot_replacement, f"WITH awards AS ({views.AWARDS_SQL}) SELECT structured_record_id AS id, count(*) AS n, CAST(sum(CASE WHEN structured_record_id = 3 THEN 1 ELSE budget_limit_amount END) AS DOUBLE) AS v FROM awards GROUP BY 1")
@@ -85,12 +85,26 @@ def _arrivals(spark: SparkSession, sf_dir: str, folder: str, where: str) -> None
     own.write.mode("append").json(folder)
 
 
+#: How snapshots arrive again: without results (every 5th), broken (every 7th), with a number for a list (every 11th).
+_AGAIN = "CASE WHEN id % 5 = 0 THEN concat('{\"response\": [], \"raw_fetch_id\": ', CAST(id % 50 AS STRING), '}') WHEN id % 7 = 0 THEN 'no json' WHEN id % 11 = 0 THEN concat('{\"response\": 3, \"raw_fetch_id\": ', CAST(id % 50 AS STRING), '}') ELSE payload END"
+
+
 def streamed_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch(spark, "stream")
+    raw = views.read(spark, sf_dir, "events").where("event_id < 48").selectExpr("event_id AS id", "event_id % 13 = 0 AS is_corrupted", "'cut short' AS corruption_reason")
+
+    def run() -> None:
+        intake.normalized_intake(intake.snapshot_stream(spark, f"{base}/in"), f"{base}/out", f"{base}/progress", raw).awaitTermination()
+
     for where in ("event_id % 2 = 0", "event_id % 2 = 1"):
         _arrivals(spark, sf_dir, f"{base}/in", where)
-        intake.normalized_intake(intake.snapshot_stream(spark, f"{base}/in"), f"{base}/rows", f"{base}/progress").awaitTermination()
-    return intake.current_rows(spark, f"{base}/rows").select(c("structured_record_id").cast("long").alias("id"), c("result_ordinal").cast("long").alias("result_ordinal"), "business_nipt")
+        run()
+    spark.read.schema(intake.SNAPSHOT).json(f"{base}/in").withColumns({"payload": F.expr(_AGAIN), "fetched_at": F.expr("fetched_at + INTERVAL 1 DAY")}).write.json(f"{base}/again")
+    spark.read.schema(intake.SNAPSHOT).json(f"{base}/again").write.mode("append").json(f"{base}/in")
+    run()
+    last = intake.outcomes(spark, f"{base}/out").where("batch = 2").select("id", "outcome", "rows_inserted")
+    rows = intake.current_rows(spark, f"{base}/out").groupBy(c("structured_record_id").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.min("business_nipt").alias("business_nipt"))
+    return last.join(rows, "id", "left").select("id", "outcome", "rows_inserted", F.coalesce("n", F.lit(0)).alias("n"), "business_nipt")
 
 
 def streamed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,8 +112,16 @@ def streamed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     for where in ("event_id % 3 = 0", "event_id % 3 = 1", "event_id % 3 = 2"):
         _arrivals(spark, sf_dir, f"{base}/in", where)
         intake.latest_upkeep(intake.snapshot_stream(spark, f"{base}/in"), f"{base}/state", f"{base}/progress").awaitTermination()
-    return spark.read.parquet(f"{base}/state/state=0").select("source_name", "external_key", "id", F.to_date("first_seen_at").alias("first_seen"), F.to_date("last_seen_at").alias("last_seen"))
+    return intake.latest_rows(spark, f"{base}/state").select("source_name", "external_key", "id", F.to_date("first_seen_at").alias("first_seen"), F.to_date("last_seen_at").alias("last_seen"))
 
 
 add("j02_latest_upkeep", streamed_latest, f"WITH s AS ({views.SNAPSHOT_SQL}) SELECT source_name, external_key, id, CAST(lo AS DATE) AS first_seen, CAST(hi AS DATE) AS last_seen FROM (SELECT *, min(fetched_at) OVER w AS lo, max(fetched_at) OVER w AS hi, row_number() OVER (PARTITION BY source_name, external_key ORDER BY fetched_at DESC, id DESC) AS nth FROM s WINDOW w AS (PARTITION BY source_name, external_key)) WHERE nth = 1")
-add("j01_streamed_intake", streamed_intake, f"SELECT id, CAST(ordinal AS BIGINT) AS result_ordinal, 'K' || lpad(CAST(user_id AS STRING), 8, '0') || 'A' AS business_nipt FROM ({page_queries._ROWS})")
+add("j01_streamed_intake", streamed_intake, """
+WITH s AS (
+  SELECT event_id AS id, user_id, CASE WHEN event_id % 50 % 13 = 0 THEN 'corrupted' WHEN event_id % 50 >= 48 THEN 'failed' END AS gate, CASE event_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END AS full_n,
+    CASE event_id % 4 WHEN 2 THEN 'empty' WHEN 3 THEN 'failed' ELSE 'ok' END AS whole FROM events
+), t AS (
+  SELECT *, CASE WHEN gate IS NULL AND whole = 'ok' THEN full_n ELSE 0 END AS before,
+    CASE WHEN id % 5 <> 0 AND id % 7 = 0 THEN 'failed' WHEN gate IS NOT NULL THEN gate WHEN id % 5 = 0 THEN 'empty' WHEN id % 11 = 0 THEN 'failed' ELSE whole END AS outcome FROM s
+), u AS (SELECT *, CASE outcome WHEN 'ok' THEN full_n WHEN 'empty' THEN 0 ELSE before END AS n FROM t)
+SELECT id, outcome, CAST(CASE outcome WHEN 'ok' THEN full_n ELSE 0 END AS BIGINT) AS rows_inserted, CAST(n AS BIGINT) AS n, CASE WHEN n > 0 THEN 'K' || lpad(CAST(user_id AS STRING), 8, '0') || 'A' END AS business_nipt FROM u""")

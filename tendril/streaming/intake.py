@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tendril.operators import buckets
 from tendril.operators.normalize import normalize_registry
-from tendril.operators.sinks import replace_all
-from tendril.operators.trust import latest_snapshots
+from tendril.operators.sinks import replace_all, replace_by_snapshot
+from tendril.operators.trust import snapshot_gate
 
 SNAPSHOT = "id bigint, source_name string, external_key string, fetched_at timestamp, payload string"
 
@@ -22,40 +23,81 @@ def snapshot_stream(spark: SparkSession, folder: str) -> DataFrame:
     return spark.readStream.schema(SNAPSHOT).json(folder)
 
 
-def normalized_intake(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Normalizes each new snapshot; a batch's rows go to a folder of their own, which a repeated batch replaces."""
+def snapshot_outcomes(batch: DataFrame, raw: DataFrame | None = None) -> DataFrame:
+    """The last of each snapshot of a batch (by fetched_at, then payload), with outcome and reason: `corrupted` and
+    `failed` by its raw artifact (trust.snapshot_gate) if raw artifacts are given, `failed` where the payload has no list
+    of results, `empty` where that list has no object, else `ok`."""
+    rest = [c for c in batch.columns if c != "id"]
+    last = batch.groupBy("id").agg(F.max_by(F.struct(*rest), F.struct("fetched_at", "payload")).alias("s")).select("id", "s.*")
+    response = F.try_parse_json("payload")
+    kinds = [F.try_variant_get(response, path, "array<variant>") for path in ("$.response", "$.response.data")]
+    listed = F.coalesce(*kinds)
+    objects = F.exists(listed, lambda x: F.schema_of_variant(x).startswith("OBJECT"))
+    outcome = F.when(listed.isNull(), "failed").when(objects, "ok").otherwise("empty")
+    reason = F.when(listed.isNull(), F.when(response.isNull(), "payload is no JSON").otherwise("payload has no list of results"))
+    if raw is None:
+        return last.withColumns({"outcome": outcome, "reason": reason})
+    ref = F.try_variant_get(response, "$.raw_fetch_id", "bigint")
+    gated = snapshot_gate(last.withColumn("raw_fetch_id", ref), raw, "raw_fetch_id")
+    sound = F.col("gate_status") == "ok"
+    return gated.withColumns({"outcome": F.when(F.col("gate_status") == "corrupted", "corrupted").when(~sound, "failed").otherwise(outcome), "reason": F.when(sound, reason).otherwise(F.col("gate_reason"))}).drop("gate_status", "gate_reason", "raw_fetch_id")
+
+
+def normalized_intake(stream: DataFrame, target: str, checkpoint: str, raw: DataFrame | None = None) -> StreamingQuery:
+    """Normalizes each new snapshot. The rows of a snapshot that is ok replace those it had; an empty one loses its rows;
+    one that failed or is corrupted keeps them. What became of each is in the outcomes, one row per snapshot and batch;
+    rows and outcomes of a batch that is run again are the same."""
 
     def put(batch: DataFrame, number: int) -> None:
-        replace_all(normalize_registry(batch).withColumnRenamed("id", "structured_record_id"), f"{target}/batch={number}")
+        judged = snapshot_outcomes(batch, raw).persist()
+        rows = normalize_registry(judged.where("outcome = 'ok'").drop("outcome", "reason")).withColumnRenamed("id", "structured_record_id")
+        good = judged.where("outcome IN ('ok', 'empty')").select(F.col("id").alias("structured_record_id"))
+        replace_by_snapshot(rows, f"{target}/rows", snapshots=good, version=number)
+        counts = rows.groupBy(F.col("structured_record_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+        found = judged.join(counts, "id", "left").select("id", "source_name", "external_key", "fetched_at", "outcome", "reason", F.coalesce("n", F.lit(0)).alias("rows_inserted"))
+        replace_all(found, f"{target}/outcomes/batch={number}")
+        judged.unpersist()
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def current_rows(spark: SparkSession, target: str) -> DataFrame:
-    """The intake's rows, of a snapshot that came more than once those of its last batch."""
-    rows = spark.read.parquet(target)
-    last = rows.groupBy("structured_record_id").agg(F.max("batch").alias("batch"))
-    return rows.join(last, ["structured_record_id", "batch"], "left_semi").drop("batch")
+def current_rows(spark: SparkSession, target: str) -> DataFrame | None:
+    """The rows of every snapshot's last good arrival; None before the first batch with one."""
+    return buckets.current(spark, f"{target}/rows")
+
+
+OUTCOME = "id bigint, source_name string, external_key string, fetched_at timestamp, outcome string, reason string, rows_inserted bigint, batch int"
+
+
+def outcomes(spark: SparkSession, target: str) -> DataFrame:
+    """id, source_name, external_key, fetched_at, outcome, reason, rows_inserted and batch of every arrival."""
+    return spark.read.schema(OUTCOME).parquet(f"{target}/outcomes")
+
+
+def unfinished(spark: SparkSession, target: str) -> DataFrame:
+    """Snapshots whose last arrival failed or is corrupted: those to fetch again."""
+    return outcomes(spark, target).groupBy("id").agg(F.max_by(F.struct("outcome", "reason", "batch"), "batch").alias("last")).select("id", "last.*").where("outcome NOT IN ('ok', 'empty')")
 
 
 def latest_upkeep(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Keeps one row per (source_name, external_key): the last snapshot, first and last sight. The table alternates
-    between two folders of the target, so that the one that is read is never the one that is written."""
+    """Keeps one row per (source_name, external_key): the last snapshot, first and last sight. A batch rewrites the hash
+    buckets of its keys; latest_rows reads the table."""
+    keys = ["source_name", "external_key"]
 
     def put(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        new = batch
-        old_path, path = f"{target}/state={(number + 1) % 2}", f"{target}/state={number % 2}"
-        keys = ["source_name", "external_key"]
-        if number:
-            old = spark.read.parquet(old_path)
-            seen = old.select(*keys, "first_seen_at", "last_seen_at")
-            merged = latest_snapshots(old.select(*batch.columns).union(new), keys).drop("first_seen_at")
-            out = merged.join(seen.select(*keys, "first_seen_at"), keys, "left")
-            first = latest_snapshots(new, keys).select(*keys, "first_seen_at").withColumnRenamed("first_seen_at", "first_new")
-            out = out.join(first, keys, "left").selectExpr(*batch.columns, "least(first_seen_at, first_new) AS first_seen_at", "last_seen_at")
-        else:
-            out = latest_snapshots(new, keys).select(*batch.columns, "first_seen_at", "last_seen_at")
-        out.write.mode("overwrite").parquet(path)
+        rest = [c for c in batch.columns if c not in keys]
+
+        def merge(old: DataFrame | None, new: DataFrame) -> DataFrame:
+            seen = new.withColumns({"first_seen_at": F.col("fetched_at"), "last_seen_at": F.col("fetched_at")})
+            both = seen if old is None else old.select(*seen.columns).union(seen)
+            last = F.max_by(F.struct(*rest), F.struct("fetched_at", "id")).alias("last")
+            return both.groupBy(*keys).agg(last, F.min("first_seen_at").alias("first_seen_at"), F.max("last_seen_at").alias("last_seen_at")).select(*keys, "last.*", "first_seen_at", "last_seen_at")
+
+        buckets.change(batch, keys, target, merge, number)
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def latest_rows(spark: SparkSession, target: str) -> DataFrame | None:
+    """The kept row of each key; None before the first batch."""
+    return buckets.current(spark, target)

@@ -1,13 +1,14 @@
 """Sources, normalization, trust, coverage, sinks and streams on hand-made rows."""
 
 import json
+import shutil
 from datetime import date, datetime
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from tendril.functions import text
-from tendril.operators import coverage, normalize, profile, sinks, trust
+from tendril.operators import buckets, coverage, normalize, profile, sinks, trust
 from tendril.sources import files, pages
 from tendril.streaming import intake
 
@@ -99,26 +100,74 @@ def test_replace_by_snapshot_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "rows")
     a = spark.createDataFrame([(1, "x"), (2, "y")], "structured_record_id long, v string")
     sinks.replace_by_snapshot(a, path)
-    sinks.replace_by_snapshot(a.where("v = 'x'").withColumn("v", F.lit("z")), path)
-    assert sorted(r.v for r in spark.read.parquet(path).collect()) == ["y", "z"]
+    for _ in range(2):
+        sinks.replace_by_snapshot(a.where("v = 'x'").withColumn("v", F.lit("z")), path)
+        assert sorted(r.v for r in buckets.current(spark, path).collect()) == ["y", "z"]
+    sinks.replace_by_snapshot(a.where("false"), path, snapshots=spark.createDataFrame([(2,), (9,)], "structured_record_id long"))
+    assert [r.v for r in buckets.current(spark, path).collect()] == ["z"]
     assert json.loads(sinks.as_json(a.orderBy("v")).first().json) == {"structured_record_id": 1, "v": "x"}
 
 
+def files_below(path):
+    return sorted(str(p.relative_to(path)) for p in path.rglob("*.parquet"))
+
+
+def test_buckets_hold_many_snapshots_in_few_files(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr("id AS structured_record_id", "id % 3 AS v")
+    sinks.replace_by_snapshot(rows, str(tmp_path / "rows"))
+    assert len(files_below(tmp_path / "rows" / "data")) == buckets.BUCKETS
+    sinks.replace_by_snapshot(rows.where("structured_record_id = 77").withColumn("v", F.lit(9).cast("long")), str(tmp_path / "rows"))
+    assert len(files_below(tmp_path / "rows" / "data" / "version=1")) == 1
+    assert buckets.current(spark, str(tmp_path / "rows")).groupBy("v").count().where("v = 9").first()["count"] == 1
+    assert buckets.current(spark, str(tmp_path / "rows")).count() == 20_000
+
+
+def test_a_version_that_is_written_again_or_has_no_manifest(spark, tmp_path):
+    target, add = str(tmp_path / "t"), lambda old, new: new if old is None else old.select(*new.columns).union(new)
+    put = lambda rows, version: buckets.change(spark.createDataFrame(rows, "k long, v string"), ["k"], target, add, version, 4)
+    seen = lambda: sorted(tuple(r) for r in buckets.current(spark, target).select("k", "v").collect())
+    put([(1, "a"), (2, "b")], 0)
+    put([(1, "c")], 1)
+    put([(1, "c")], 1)
+    assert seen() == [(1, "a"), (1, "c"), (2, "b")]
+    shutil.rmtree(tmp_path / "t" / "manifest" / "version=1")  # as if it had ended before its manifest
+    assert seen() == [(1, "a"), (2, "b")]
+    put([(1, "c")], 1)
+    for k in range(2, 6):
+        put([(1, f"v{k}")], k)
+    assert len(seen()) == 7 and len(list((tmp_path / "t" / "manifest").iterdir())) == 2
+    assert len(files_below(tmp_path / "t" / "data")) <= 4
+    buckets.change(spark.createDataFrame([(1, ""), (2, "")], "k long, v string"), ["k"], target, lambda old, new: new.where("false"), 6, 4)
+    assert buckets.current(spark, target) is None and buckets.current(spark, target, "k long, v string").count() == 0
+
+
 def test_streams(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
-    snap = lambda i, key, day, name: json.dumps({"id": i, "source_name": "s", "external_key": key, "fetched_at": f"2024-01-{day:02d}T00:00:00", "payload": json.dumps({"response": [{"nipti": name}]})})
-    (folder / "a.json").write_text(snap(1, "k", 1, "A") + "\n" + snap(2, "m", 2, "B"))
+    whole = lambda i, key, day, payload: json.dumps({"id": i, "source_name": "s", "external_key": key, "fetched_at": f"2024-01-{day:02d}T00:00:00", "payload": payload})
+    snap = lambda i, key, day, *names: whole(i, key, day, json.dumps({"response": [{"nipti": n} for n in names]}))
+    (folder / "a.json").write_text("\n".join([snap(1, "k", 1, "A"), snap(2, "m", 2, "B"), snap(4, "n", 1, "D"), snap(5, "o", 1, "E1"), snap(5, "o", 2, "E2")]))
     rows, latest = str(tmp_path / "rows"), str(tmp_path / "latest")
     run = lambda: [q.awaitTermination() for q in (intake.normalized_intake(intake.snapshot_stream(spark, str(folder)), rows, str(tmp_path / "c1")), intake.latest_upkeep(intake.snapshot_stream(spark, str(folder)), latest, str(tmp_path / "c2")))]
     run()
-    (folder / "b.json").write_text(snap(3, "k", 3, "C") + "\n" + snap(2, "m", 2, "B2"))
+    (folder / "b.json").write_text("\n".join([snap(3, "k", 3, "C"), snap(2, "m", 2, "B2", "B3"), snap(4, "n", 3), whole(1, "k", 2, "no json"), whole(6, "p", 1, '{"response": {"data": 5}}')]))
     run()
-    assert sorted(r.business_nipt for r in intake.current_rows(spark, rows).collect()) == ["A", "B2", "C"]
-    out = {r.external_key: r for r in spark.read.parquet(f"{latest}/state=1").collect()}
+    assert sorted((r.structured_record_id, r.business_nipt) for r in intake.current_rows(spark, rows).collect()) == [(1, "A"), (2, "B2"), (2, "B3"), (3, "C"), (5, "E2")]
+    found = {(r.batch, r.id): (r.outcome, r.reason, r.rows_inserted) for r in intake.outcomes(spark, rows).collect()}
+    assert found[1, 4] == ("empty", None, 0) and found[1, 1] == ("failed", "payload is no JSON", 0) and found[1, 6] == ("failed", "payload has no list of results", 0) and found[1, 2] == ("ok", None, 2) and len(found) == 9
+    assert sorted(r.id for r in intake.unfinished(spark, rows).collect()) == [1, 6]
+    out = {r.external_key: r for r in intake.latest_rows(spark, latest).collect()}
     assert out["k"].id == 3 and out["k"].first_seen_at == datetime(2024, 1, 1) and out["k"].last_seen_at == datetime(2024, 1, 3) and out["m"].id == 2
 
 
+def test_outcomes_by_raw_artifact(spark):
+    raw = spark.createDataFrame([(1, False, None), (2, True, "cut")], "id long, is_corrupted boolean, corruption_reason string")
+    payload = lambda ref: json.dumps({"raw_fetch_id": ref, "response": [{"nipti": "A"}]})
+    rows = [(k, "s", "k", datetime(2024, 1, 1), p) for k, p in enumerate([payload(1), payload(2), payload(9), payload(None), None, '{"raw_fetch_id": 1, "response": [5, "x"]}'])]
+    got = {r.id: (r.outcome, r.reason) for r in intake.snapshot_outcomes(spark.createDataFrame(rows, intake.SNAPSHOT), raw).collect()}
+    assert {k: v[0] for k, v in got.items()} == {0: "ok", 1: "corrupted", 2: "failed", 3: "failed", 4: "failed", 5: "empty"} and got[1][1].endswith("cut")
+
+
 def test_urls_resolve_as_in_the_standard(spark):
     from urllib.parse import urljoin
 
