@@ -151,8 +151,8 @@ def form_date(day: Column) -> Column:
 
 
 def embedded_date(text: Column) -> Column:
-    """The first d.m.yyyy (also with / or -) in a text; null if that isn't a date."""
-    part = [F.regexp_extract(text, r"(\d{1,2})[./-](\d{1,2})[./-](\d{4})", k) for k in (1, 2, 3)]
+    """The first d.m.yyyy (also with / or -) that stands alone in a text; null if that isn't a date."""
+    part = [F.regexp_extract(text, r"(?<![\p{L}\p{N}_])(\d{1,2})[./-](\d{1,2})[./-](\d{4})(?![\p{L}\p{N}_])", k) for k in (1, 2, 3)]
     return F.try_to_timestamp(F.concat_ws("-", part[2], part[1], part[0]), F.lit("yyyy-M-d")).cast("date")
 
 

@@ -63,9 +63,9 @@ add("a05_h32_result_items", lambda s, d: normalize.result_items(_snapshots(s, d)
 add("b02_e04_normalized_registry", lambda s, d: normalize.normalize_registry(_snapshots(s, d)).select("id", "result_ordinal", "business_nipt", "business_name", "registration_date", "has_red_flags", "search_date_from", "search_date_to", "raw_fetch_id"),
     f"SELECT id, CAST(ordinal AS BIGINT) AS result_ordinal, 'K' || lpad(CAST(user_id AS STRING), 8, '0') || 'A' AS business_nipt, 'Firma ' || id AS business_name, make_date(2019, 2, CAST(10 + id % 9 AS INT)) AS registration_date, CASE id % 3 WHEN 0 THEN true WHEN 1 THEN false END AS has_red_flags, DATE '2024-01-01' AS search_date_from, DATE '2024-01-02' AS search_date_to, CAST(id % 50 AS BIGINT) AS raw_fetch_id FROM ({_ROWS})")
 add("h33_record_counts", lambda s, d: normalize.result_items(_snapshots(s, d)).groupBy("id").agg(F.count(F.lit(1)).alias("n")), f"SELECT id, count(*) AS n FROM ({_ROWS}) GROUP BY 1")
-_PAGE = f"CASE event_id % 3 WHEN 0 THEN concat('<script>var response = ', {_PAYLOAD}, ';</script>') WHEN 1 THEN concat('<script>response = JSON.parse(\"', replace({_PAYLOAD}, '\"', '\\\\\"'), '\")</script>') ELSE '<p>none</p>' END"
+_PAGE = f"CASE event_id % 4 WHEN 2 THEN concat(\"<script>response = JSON.parse('\", {_PAYLOAD}, \"')</script>\") WHEN 0 THEN concat('<script>var response = ', {_PAYLOAD}, ';</script>') WHEN 1 THEN concat('<script>response = JSON.parse(\"', replace({_PAYLOAD}, '\"', '\\\\\"'), '\")</script>') ELSE '<p>none</p>' END"
 add("a06_embedded_json", lambda s, d: views.read(s, d, "events").selectExpr("event_id", f"{_PAGE} AS html").select("event_id", F.get_json_object(pages.embedded_json(c("html")), "$.raw_fetch_id").alias("raw_fetch_id")),
-    "SELECT event_id, CASE WHEN event_id % 3 < 2 THEN CAST(event_id % 50 AS STRING) END AS raw_fetch_id FROM events")
+    "SELECT event_id, CASE WHEN event_id % 4 < 3 THEN CAST(event_id % 50 AS STRING) END AS raw_fetch_id FROM events")
 
 _BODY = "CASE event_id % 7 WHEN 0 THEN concat('{\"status\": 1, \"data\": \"', base64(to_binary(concat('%PDF-', CAST(event_id AS STRING)), 'utf-8')), '\"}') WHEN 1 THEN '{\"status\": 0, \"message\": \" none \"}' WHEN 2 THEN '{\"status\": -3, \"data\": \"boom\"}' WHEN 3 THEN '{\"status\": 2, \"data\": \"@@\"}' WHEN 4 THEN '[1]' WHEN 5 THEN '{\"status\": \"x\"}' ELSE '{\"status\": 1, \"data\": \"aGVsbG8=\"}' END"
 add("a16_h24_h25_document_responses", lambda s, d: pages.document_responses(views.read(s, d, "events").selectExpr("event_id", f"{_BODY} AS body")).select("event_id", "backend_status", "backend_state", "message", "error", "pdf_size"), """

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tendril.operators import buckets, sinks
 from tendril.plans import page_queries, views
 from tendril.plans.feature_queries import plain
-from tendril.sources import files
+from tendril.sources import artifact_store, files
 from tendril.sources.scratch import scratch
 from tendril.streaming import intake
 
@@ -36,24 +36,30 @@ add("a02_a03_export_scan", export_scan, "SELECT o_orderkey AS key, o_orderpriori
 
 
 def export_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows of exports by priority, with cells longer and shorter than the cut."""
     own = views.read(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.sort_array(F.collect_set("o_orderstatus")).alias("s"))
-    rows = own.select(c("o_orderpriority").alias("path"), F.posexplode("s").alias("pos", "v")).select("path", (c("pos") + 1).alias("row_ordinal"), F.create_map(F.lit("v"), F.repeat(F.lit("long "), F.lit(200))).alias("cells"))
-    return files.preview(rows, 2, 500).select("path", "row_ordinal", F.length(c("cells")["v"]).alias("n"))
+    cell = F.repeat(F.concat(c("v"), F.lit(" "), c("path")), F.when(c("v") == "F", 3).otherwise(200))
+    rows = own.select(c("o_orderpriority").alias("path"), F.posexplode("s").alias("pos", "v")).select("path", (c("pos") + 1).alias("row_ordinal"), F.create_map(F.lit("v"), cell).alias("cells"))
+    return files.preview(rows, 2, 500).select("path", "row_ordinal", c("cells")["v"].alias("cell"))
 
 
-add("a04_preview", export_preview, "SELECT path, row_ordinal, CAST(500 AS BIGINT) AS n FROM (SELECT o_orderpriority AS path, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderstatus) AS row_ordinal FROM (SELECT DISTINCT o_orderpriority, o_orderstatus FROM orders)) WHERE row_ordinal <= 2")
+add("a04_preview", export_preview, "SELECT path, row_ordinal, left(repeat(s || ' ' || path, CASE s WHEN 'F' THEN 3 ELSE 200 END), 500) AS cell FROM (SELECT o_orderpriority AS path, o_orderstatus AS s, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderstatus) AS row_ordinal FROM (SELECT DISTINCT o_orderpriority, o_orderstatus FROM orders)) WHERE row_ordinal <= 2")
 
 
 def artifact_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages written as text, one folder per host; the files' bytes and digests."""
+    """Pages put into the artifact store, twice; its files read back by path: bytes, digest, and what the second run
+    wrote."""
     path = scratch(spark, "artifacts")
-    own = views.read(spark, sf_dir, "pages").select(F.sha2("html", 256).alias("value"), (c("page_id") % 4).alias("part"))
-    own.write.partitionBy("part").text(path)
-    found = files.artifacts(spark, path).where("path like '%.txt'")
-    return found.agg(F.sum("length").alias("bytes"), F.count_if(F.length("digest") == 64).cast("boolean").alias("hashed"))
+    named = F.when(c("page_id") % 2 == 0, F.concat(F.lit("page"), (c("page_id") % 10).cast("string"), F.lit(".html")))
+    own = views.read(spark, sf_dir, "pages").select("page_id", F.lit("web").alias("source_name"), c("url").alias("source_url"), F.lit("page").alias("fetch_kind"), F.lit("text/html").alias("content_type"), named.alias("filename"), F.to_timestamp(F.lit("2024-03-05")).alias("fetched_at"), c("html").cast("binary").alias("content"))
+    for name in ("first", "second"):
+        artifact_store.store(own, path).write.parquet(f"{path}-{name}")
+    again = spark.read.parquet(f"{path}-second").select("page_id", "storage_path", "was_written")
+    found = files.artifacts(spark, path).select(F.regexp_extract("path", "(web/.*)$", 1).alias("storage_path"), c("length").alias("file_bytes"), "digest")
+    return again.join(found, "storage_path").select("page_id", "storage_path", "file_bytes", "digest", "was_written")
 
 
-add("a07_artifact_scan", artifact_scan, "SELECT CAST(65 * count(*) AS BIGINT) AS bytes, true AS hashed FROM pages")
+add("a07_artifact_scan", artifact_scan, "WITH p AS (SELECT page_id, html, sha256(html) AS digest FROM pages WHERE html IS NOT NULL) SELECT page_id, 'web/2024/03/05/page/' || CASE WHEN page_id % 2 = 0 THEN 'page' || (page_id % 10) || '-' || digest ELSE digest END || '.html' AS storage_path, CAST(strlen(html) AS BIGINT) AS file_bytes, digest, false AS was_written FROM p")
 
 
 def snapshot_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from tendril.sources import csv_ranges
 
 
 def artifacts(spark: SparkSession, folder: str) -> DataFrame:
-    """path, length, modified and digest of every file below a folder."""
+    """path, length, modified and digest of every file below a folder; Spark's reader passes over files without bytes."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     return files.select("path", "length", F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("digest"), "content")
 

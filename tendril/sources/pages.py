@@ -54,8 +54,11 @@ def export_index(pages: DataFrame) -> DataFrame:
 
 
 def embedded_json(html: Column) -> Column:
-    """The JSON text that a page assigns to `response`; null where there is none."""
-    quoted = F.coalesce(F.nullif(F.regexp_extract(html, PARSE_DOUBLE, 1), F.lit("")), F.nullif(F.replace(F.regexp_extract(html, PARSE_SINGLE, 1), F.lit("\\'"), F.lit("'")), F.lit("")))
+    """The JSON text that a page assigns to `response`, as it is or through JSON.parse of a quoted text, whose escapes are
+    resolved; null where there is none. In single quotes, plain double quotes are the text's own."""
+    single = F.replace(F.regexp_extract(html, PARSE_SINGLE, 1), F.lit("\\'"), F.lit("'"))
+    single = F.regexp_replace(single, r'(?<!\\)((?:\\\\)*)"', r'$1\\"')
+    quoted = F.coalesce(F.nullif(F.regexp_extract(html, PARSE_DOUBLE, 1), F.lit("")), F.nullif(single, F.lit("")))
     unescaped = F.get(F.from_json(F.concat(F.lit('["'), quoted, F.lit('"]')), "array<string>"), F.lit(0))
     return F.coalesce(unescaped, F.nullif(F.regexp_extract(html, DIRECT, 1), F.lit("")))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tendril.functions import text
 from tendril.operators import buckets, coverage, normalize, profile, sinks, trust
-from tendril.sources import files, pages
+from tendril.sources import artifact_store, files, pages
 from tendril.streaming import intake
 
 
@@ -27,6 +27,7 @@ def test_text_functions(spark):
     assert one(spark, text.single_identifier(lit("ëL12345678A"))) is None
     assert one(spark, text.canonical_legal_form(lit("Shoqëri me Përgjegjësi të Kufizuar"))) == "SHPK" and one(spark, text.canonical_legal_form(lit("Degë e huaj"))) == "DEGE E HUAJ"
     assert one(spark, text.embedded_date(lit("dt 3/4/2021 x"))) == date(2021, 4, 3)
+    assert [one(spark, text.embedded_date(lit(x))) for x in ("123.04.2020", "01.02.20201", "ë1.2.2020", "x 1.2.2020.", "123.04.2020 5-6-2021")] == [None, None, None, date(2020, 2, 1), date(2021, 6, 5)]
     assert one(spark, text.absolute_url(lit("https://a.al/x/y?z"), lit("b.pdf"))) == "https://a.al/x/b.pdf"
     assert one(spark, text.absolute_url(lit("https://a.al"), lit("//c.al/d"))) == "https://c.al/d"
     assert one(spark, text.storage_name(lit("h"), lit(".csv"), lit("a.b.pdf"))) == "a.b-h.pdf"
@@ -50,9 +51,9 @@ def test_result_items_keep_ordinals(spark):
 
 
 def test_embedded_json(spark):
-    htmls = ['x response = JSON.parse("{\\"a\\": \\"\\\\u00eb\\"}") y', "response = JSON.parse('[1]')", "response = {\"a\": 2};", "nothing"]
+    htmls = ['x response = JSON.parse("{\\"a\\": \\"\\\\u00eb\\"}") y', "response = JSON.parse('[1]')", "response = {\"a\": 2};", "nothing", "response = JSON.parse('{\"a\": \"x\\\\\"y \\u00eb it\\'s\"}')", "response = JSON.parse('{\"a\": 1}')"]
     out = spark.createDataFrame([(h,) for h in htmls], "html string").select(pages.embedded_json(F.col("html")).alias("j"))
-    assert [r.j and json.loads(r.j) for r in out.collect()] == [{"a": "ë"}, [1], {"a": 2}, None]
+    assert [r.j and json.loads(r.j) for r in out.collect()] == [{"a": "ë"}, [1], {"a": 2}, None, {"a": 'x"y ë it\'s'}, {"a": 1}]
 
 
 def test_links_and_facets(spark):
@@ -160,6 +161,22 @@ def test_streams(spark, tmp_path):
     assert out["k"].id == 3 and out["k"].first_seen_at == datetime(2024, 1, 1) and out["k"].last_seen_at == datetime(2024, 1, 3) and out["m"].id == 2
 
 
+def test_artifacts_are_written_once(spark, tmp_path):
+    root = f"file://{tmp_path}/store"
+    at = datetime(2024, 1, 2)
+    rows = [("s", "https://x/a", "k", "text/html", "detail.html", at, b"first"), ("s", "https://x/a", "k", "text/html", "detail.html", at, b"second"), ("s", "https://x/b", "k", "text/csv", None, at, b"first"), ("s", "https://x/c", "k", None, None, at, None), ("s", "u", "k", None, None, at, b"")]
+    rows += [("s", f"https://x/{n}", "copies", "text/html", None, at, b"same") for n in range(200)]
+    fetches = spark.createDataFrame(rows, "source_name string, source_url string, fetch_kind string, content_type string, filename string, fetched_at timestamp, content binary").repartition(4)
+    (tmp_path / "store/s/2024/01/02/k").mkdir(parents=True)
+    (tmp_path / "store/s/2024/01/02/k/.detail.half").write_bytes(b"fir")  # of a task that ended in between
+    first, second = (artifact_store.store(fetches, root).collect() for _ in range(2))
+    assert len(first) == 204 and any(r.was_written for r in first) and not any(r.was_written for r in second)
+    assert sorted((r.storage_path, r.content_hash, r.stored_bytes) for r in first) == sorted((r.storage_path, r.content_hash, r.stored_bytes) for r in second)
+    there = {r.path.partition("/store/")[2]: r.digest for r in files.artifacts(spark, root).collect()}
+    assert there == {r.storage_path: r.content_hash for r in first if r.stored_bytes} and len(there) == 4
+    assert [r.storage_path for r in first if not r.stored_bytes and (tmp_path / "store" / r.storage_path).exists()]
+
+
 def test_outcomes_by_raw_artifact(spark):
     raw = spark.createDataFrame([(1, False, None), (2, True, "cut")], "id long, is_corrupted boolean, corruption_reason string")
     payload = lambda ref: json.dumps({"raw_fetch_id": ref, "response": [{"nipti": "A"}]})
