@@ -68,38 +68,62 @@ DESCRIPTIONS = {
     "company_age_days_at_first_procurement": "days from registration to the first publication", "company_age_days_at_last_procurement": "days from registration to the last publication",
 }
 
-# Field, role and usage level of the two normalized datasets.
-AWARD_FIELDS = """
-core_identity safe: procurement_reference
-context_metadata safe: export_year contracting_authority
-join_candidate safe: winner_nipt
-join_candidate caution: winner_name
-context_metadata caution: procurement_subject cpv_codes
-performance_signal safe: procedure_type contract_type budget_limit_amount winner_value_amount
-temporal safe: publication_date
-temporal caution: opening_date closing_date
-risk_signal safe: is_cancelled is_suspended
-weak_or_noisy caution: source_payload
-"""
-REGISTRY_FIELDS = """
-core_identity safe: business_nipt business_name
-context_metadata caution: trade_name city activity_text
-join_candidate caution: search_nipt
-context_metadata safe: legal_form
-temporal safe: registration_date search_date_from search_date_to
-risk_signal caution: ownership_text has_red_flags
-risk_signal safe: subject_status
-weak_or_noisy caution: subject_type administrators_text source_payload
-"""
+# Field, role, usage level and our note on it, of the two normalized datasets, in the order of use.
+AWARD_FIELDS = (
+    ("procurement_reference", "core_identity", "safe", "names the procurement within an export"),
+    ("export_year", "context_metadata", "safe", "the export that the row came with"),
+    ("winner_nipt", "join_candidate", "safe", "the only key that leads to the registry"),
+    ("winner_name", "join_candidate", "caution", "spelling varies; for review by hand"),
+    ("contracting_authority", "context_metadata", "safe", "who buys; a label, not a company key"),
+    ("procurement_subject", "context_metadata", "caution", "free text; never a key"),
+    ("procedure_type", "performance_signal", "safe", "few values, fit for grouping"),
+    ("contract_type", "performance_signal", "safe", "few values, fit for grouping"),
+    ("publication_date", "temporal", "safe", "the date that orders rows"),
+    ("opening_date", "temporal", "caution", "a step of the procedure more than of the market"),
+    ("closing_date", "temporal", "caution", "its meaning varies between rows"),
+    ("budget_limit_amount", "performance_signal", "safe", "stands for the size of the procurement"),
+    ("winner_value_amount", "performance_signal", "safe", "what was awarded, where it is filled"),
+    ("is_cancelled", "risk_signal", "safe", "an outcome that the source states"),
+    ("is_suspended", "risk_signal", "safe", "an outcome that the source states"),
+    ("cpv_codes", "context_metadata", "caution", "sector codes inside text"),
+    ("source_payload", "weak_or_noisy", "caution", "kept for tracing back, not for analysis"),
+)
+REGISTRY_FIELDS = (
+    ("business_nipt", "core_identity", "safe", "the company's key"),
+    ("business_name", "core_identity", "safe", "a label beside the key"),
+    ("trade_name", "context_metadata", "caution", "a label that changes more often than the name"),
+    ("search_nipt", "join_candidate", "caution", "what was searched, not what was found"),
+    ("legal_form", "context_metadata", "safe", "few values once canonical"),
+    ("registration_date", "temporal", "safe", "gives a company's age"),
+    ("city", "context_metadata", "caution", "never enough to match by"),
+    ("ownership_text", "risk_signal", "caution", "text on ownership, not parsed"),
+    ("subject_status", "risk_signal", "safe", "the registry's own state of the company"),
+    ("subject_type", "weak_or_noisy", "caution", "often blank"),
+    ("activity_text", "context_metadata", "caution", "free text, no code"),
+    ("administrators_text", "weak_or_noisy", "caution", "names in text, for review by hand"),
+    ("has_red_flags", "risk_signal", "caution", "depends on how the registry marks pages"),
+    ("search_date_from", "temporal", "safe", "window of the search that found the row"),
+    ("search_date_to", "temporal", "safe", "window of the search that found the row"),
+    ("source_payload", "weak_or_noisy", "caution", "kept for tracing back, not for analysis"),
+)
+# Groups of fields that features may be made of.
+FEATURE_CANDIDATES = {
+    "normalized_app_export_rows": {
+        "procurement_outcome": ("budget_limit_amount", "winner_value_amount", "is_cancelled", "is_suspended", "procedure_type", "contract_type"),
+        "temporal": ("publication_date", "opening_date", "closing_date", "export_year"),
+        "entity_context": ("winner_nipt", "winner_name", "contracting_authority", "cpv_codes"),
+    },
+    "normalized_qkb_search_rows": {
+        "registry_identity": ("business_nipt", "business_name", "legal_form", "registration_date"),
+        "registry_status": ("subject_status", "has_red_flags", "ownership_text"),
+        "registry_context": ("city", "activity_text", "trade_name"),
+    },
+}
 JOIN_FIELDS = {
     "normalized_app_export_rows": {"safe": ("winner_nipt",), "caution": ("winner_name",), "avoid": ("procurement_subject", "contracting_authority")},
     "normalized_qkb_search_rows": {"safe": ("business_nipt",), "caution": ("business_name", "trade_name"), "avoid": ("city", "activity_text", "administrators_text")},
 }
-#: Notes on roles, and what to mind with each dataset, in our own words.
-ROLE_NOTES = {
-    "core_identity": "names the row", "context_metadata": "describes the row", "join_candidate": "may lead to the other source", "performance_signal": "measures what was awarded",
-    "temporal": "places the row in time", "risk_signal": "hints at risk, proves none", "weak_or_noisy": "kept for tracing back, not for analysis",
-}
+#: What to mind with each dataset, in our own words.
 CAVEATS = {
     "normalized_app_export_rows": ("rows of consortia have no key", "amounts are as published, of any currency unit in the export"),
     "normalized_qkb_search_rows": ("a company may appear in many snapshots", "searches are capped, so rows may be missing"),
@@ -131,18 +155,18 @@ def feature_registry(spark: SparkSession) -> DataFrame:
 
 
 def semantics_rows(dataset: str) -> list[tuple]:
-    texts = {"normalized_app_export_rows": AWARD_FIELDS, "normalized_qkb_search_rows": REGISTRY_FIELDS}
-    if dataset not in texts:
+    fields = {"normalized_app_export_rows": AWARD_FIELDS, "normalized_qkb_search_rows": REGISTRY_FIELDS}
+    if dataset not in fields:
         raise KeyError(f"no such dataset: {dataset}")
-    join = {f: level for level, fields in JOIN_FIELDS[dataset].items() for f in fields}
-    candidate = lambda role, level: level == "safe" and role in ("performance_signal", "temporal", "risk_signal")
-    return [(d, n, role, level, join.get(n), ROLE_NOTES[role], candidate(role, level)) for d, n, role, level in _rows(dataset, texts[dataset])]
+    join = {f: level for level, names in JOIN_FIELDS[dataset].items() for f in names}
+    group = {f: name for name, names in FEATURE_CANDIDATES[dataset].items() for f in names}
+    return [(dataset, name, role, level, join.get(name), note, group.get(name)) for name, role, level, note in fields[dataset]]
 
 
 def dataset_semantics(spark: SparkSession, dataset: str) -> DataFrame:
-    """field, role, usage level, join level, note and whether it is a candidate for features, of a normalized dataset's
+    """field, role, usage level, join level, note and group of feature candidates (null: none), of a normalized dataset's
     columns; an unknown dataset is an error."""
-    return spark.createDataFrame(semantics_rows(dataset), "dataset string, field string, role string, usage_level string, join_level string, note string, feature_candidate boolean")
+    return spark.createDataFrame(semantics_rows(dataset), "dataset string, field string, role string, usage_level string, join_level string, note string, candidate_group string")
 
 
 def caveats(spark: SparkSession) -> DataFrame:

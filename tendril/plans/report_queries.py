@@ -207,17 +207,17 @@ def _semantics(spark, sf_dir):
     for dataset, (view, rows, _) in _SEMANTICS.items():
         known = metadata.dataset_semantics(spark, dataset)
         filled = profile.field_profile(rows(spark, sf_dir), [r[1] for r in metadata.semantics_rows(dataset) if r[1] in view]).select("field", "present_count", "present_rate")
-        out.append(known.join(F.broadcast(filled), "field"))
+        out.append(known.join(F.broadcast(filled), "field", "left"))
     return reduce(lambda x, y: x.union(y), out)
 
 
 _STRINGS = {"winner_nipt", "winner_name", "contracting_authority", "procedure_type", "contract_type", "business_nipt", "business_name", "trade_name", "legal_form", "subject_status", "city", "activity_text", "ownership_text"}
 _PRESENT = lambda f, t: f"(SELECT count(*) FROM {t} WHERE " + (f"trim({f}) <> ''" if f in _STRINGS else f"{f} IS NOT NULL") + ")"
 _MEANT = " UNION ALL ".join(
-    f"SELECT {', '.join(map(_quoted, r[:6]))}, {str(r[6]).lower()}, {_PRESENT(r[1], t)}, (SELECT count(*) FROM {t})" for dataset, (view, _, t) in _SEMANTICS.items() for r in metadata.semantics_rows(dataset) if r[1] in view
+    f"SELECT {', '.join(map(_quoted, r))}, {_PRESENT(r[1], t) if r[1] in view else 'NULL'}, (SELECT count(*) FROM {t})" for dataset, (view, _, t) in _SEMANTICS.items() for r in metadata.semantics_rows(dataset)
 )
-add("i02_dataset_semantics", _semantics, f"""WITH awards AS ({views.AWARDS_SQL}), registry AS ({views.REGISTRY_SQL}), t(dataset, field, role, usage_level, join_level, note, feature_candidate, present_count, n) AS ({_MEANT})
-SELECT dataset, field, role, usage_level, join_level, note, feature_candidate, present_count, {_prate("present_count", "n")} AS present_rate FROM t""")
+add("i02_dataset_semantics", _semantics, f"""WITH awards AS ({views.AWARDS_SQL}), registry AS ({views.REGISTRY_SQL}), t(dataset, field, role, usage_level, join_level, note, candidate_group, present_count, n) AS ({_MEANT})
+SELECT dataset, field, role, usage_level, join_level, note, candidate_group, present_count, {_prate("present_count", "n")} AS present_rate FROM t""")
 
 _LEVELS = {"safe": "safe", "caution": "risky", "avoid": "avoid"}
 

@@ -92,7 +92,7 @@ _name = f"coalesce(nullif(regexp_replace(upper({_longq}), '[^A-Z0-9]+', '', 'g')
 add("h18_run_modes", lambda: {"v": text.run_mode(F.concat(c("o_orderpriority"), F.lit(" "), F.repeat(F.lit("long name "), (c("o_orderkey") % 6).cast("int"))))}, {"v": f"CASE WHEN length({_name}) + 17 <= 50 THEN 'daily_legal_form:' || {_name} ELSE 'daily_legal_form:' || left({_name}, 24) || '-' || left(sha1({_longq}), 8) END"})
 _parse = lambda x: f"CAST(try_strptime(regexp_extract({x}, '(\\d{{1,2}})[./-](\\d{{1,2}})[./-](\\d{{4}})', 3) || '-' || regexp_extract({x}, '(\\d{{1,2}})[./-](\\d{{1,2}})[./-](\\d{{4}})', 2) || '-' || regexp_extract({x}, '(\\d{{1,2}})[./-](\\d{{1,2}})[./-](\\d{{4}})', 1), '%Y-%m-%d') AS DATE)"
 _dated = lambda before, after: text.embedded_date(F.concat(F.lit(before), F.trim(c("day_text")), F.lit(after)))
-add("h22_embedded_dates", lambda: {"v": text.embedded_date(F.concat(F.lit("Njoftim "), c("day_text"), F.lit(" - fund"))), "glued_before": _dated("Njoftim 1", " - fund"), "glued_after": _dated("Njoftim ", "1 fund"), "later": _dated("nr. 123.04.20201 dt", " pa, 05.06.2019.")},
+add("h22_embedded_dates", lambda: {"v": text.embedded_date(F.concat(F.lit("Njoftim "), c("day_text"), F.lit(" - fund"))), "glued_before": _dated("Njoftim 12", " - fund"), "glued_after": _dated("Njoftim ", "1 fund"), "later": _dated("nr. 123.04.20201 dt", " pa, 05.06.2019.")},
     {"v": _parse("('Njoftim ' || day_text || ' - fund')"), "glued_before": "NULL", "glued_after": "NULL", "later": "CASE WHEN day_text IS NOT NULL THEN DATE '2019-06-05' END"})
 add("h26_h31_kinds_and_reasons", lambda: {"kind": text.document_kind(c("doc_type")), "reason": text.corruption_reason(c("issue")), "part": text.safe_file_part(c("file_name"))},
     {"kind": f"CASE lower({_compact('doc_type')}) WHEN 'simple' THEN 'simple_extract_pdf' WHEN 'historical' THEN 'historical_extract_pdf' WHEN 'rpp' THEN 'rpp_pdf' END", "reason": "CASE issue WHEN 'content_hash_mismatch' THEN 'content_hash mismatch' WHEN 'missing_file' THEN 'missing file' ELSE replace(issue, '_', ' ') END",

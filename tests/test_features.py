@@ -95,7 +95,9 @@ def test_registry_row_and_join(spark):
 def test_registry_of_features(spark):
     table = metadata.feature_registry(spark)
     assert table.count() == 101 and table.where("confidence = 'safe'").count() == 53
-    assert metadata.dataset_semantics(spark, "normalized_app_export_rows").count() == 17
+    assert metadata.dataset_semantics(spark, "normalized_app_export_rows").count() == 17 and metadata.dataset_semantics(spark, "normalized_qkb_search_rows").count() == 16
+    groups = {d: sum(r[6] is not None for r in metadata.semantics_rows(d)) for d in metadata.FEATURE_CANDIDATES}
+    assert groups == {"normalized_app_export_rows": 14, "normalized_qkb_search_rows": 10} and set(metadata.FEATURE_CANDIDATES["normalized_qkb_search_rows"]["registry_status"]) == {"subject_status", "has_red_flags", "ownership_text"}
     assert metadata.join_policy(spark).where("level = 'safe'").count() == 1
     with pytest.raises(KeyError):
         metadata.dataset_semantics(spark, "x")
