@@ -10,8 +10,9 @@ Documents aren't shuffled: their shingle hashes are streamed past the sketches,
 and bytes have been added up (beyond those bounds, joined by a shuffle), and so are the few candidates' keys in the
 verifying pass.
 
-Words are runs of letters and digits of the lower-cased text. A text with one to four words has one shingle, all of
-it, so an item that short is found in texts that are no longer than itself. Defined cases: null or empty text, or one
+Words are runs of letters and digits of the lower-cased text. An item of one to four words is one shingle of its own
+width, in a class of its own; documents get shingles of such a width only where the items have it, and hold the item
+where its words stand in a row. Defined cases: null or empty text, or one
 without a word, neither contains nor is contained; repeated rows give one result each; rows are told apart by id and
 text (`shared.keyed`), null ids included; other columns are ignored. Whole texts are read.
 """
@@ -34,19 +35,26 @@ def words_of(text: str) -> Column:
     return F.regexp_extract_all(F.lower(F.col(text)), F.lit(WORDS), F.lit(0))
 
 
-def shingle_words(words: Column) -> Column:
-    """An array with a struct of five words for each shingle; a short text's one struct ends in nulls."""
-    n = F.when(F.size(words) > 0, F.greatest(F.size(words) - (SHINGLE - 1), F.lit(1))).otherwise(0)
-    return F.arrays_zip(*[F.slice(words, k + 1, n).alias(name) for k, name in enumerate(_PARTS)])
+def shingle_words(words: Column, widths: list[int] | None = None) -> Column:
+    """An array with a struct of words for each shingle, nulls at the end of narrow ones: of the given widths, or of the
+    text's own, which is five words, or all of a shorter text."""
 
+    def of(n: Column, width: int) -> Column:
+        return F.arrays_zip(*[F.slice(words, k + 1, n if k < width else F.lit(0)).alias(name) for k, name in enumerate(_PARTS)])
 
-def shingle_strings(words: Column) -> Column:
-    return F.array_distinct(F.transform(shingle_words(words), lambda x: F.concat_ws(" ", *[x[name] for name in _PARTS])))
+    if widths is None:
+        return of(F.when(F.size(words) > 0, F.greatest(F.size(words) - (SHINGLE - 1), F.lit(1))).otherwise(0), SHINGLE)
+    arrays = [of(F.greatest(F.size(words) - (w - 1), F.lit(0)), w) for w in widths]
+    return F.concat(*arrays) if len(arrays) > 1 else arrays[0]
 
 
-def hashes_of(df: DataFrame, key: str) -> DataFrame:
+def shingle_strings(words: Column, widths: list[int] | None = None) -> Column:
+    return F.array_distinct(F.transform(shingle_words(words, widths), lambda x: F.concat_ws(" ", *[x[name] for name in _PARTS])))
+
+
+def hashes_of(df: DataFrame, key: str, widths: list[int] | None = None) -> DataFrame:
     """df (key, words) -> key, h: a row for each shingle."""
-    return df.select(key, F.inline(shingle_words(F.col("words")))).select(key, F.xxhash64(*_PARTS).alias("h"))
+    return df.select(key, F.inline(shingle_words(F.col("words"), widths))).select(key, F.xxhash64(*_PARTS).alias("h"))
 
 
 def sketches(items: DataFrame) -> DataFrame:
@@ -63,10 +71,11 @@ def _contained(texts: DataFrame, items: DataFrame) -> DataFrame:
     """texts (key, doc_id, text), items (item_id, text) -> key, doc_id, item_id, n_shingles, n_found."""
     bench = written(items.select("item_id", words_of("text").alias("words")).where(F.size("words") > 0).withColumn("item", F.monotonically_increasing_id()), "items")
     sketch = written(sketches(bench.select("item", "words")), "sketches")
-    found = hashes_of(texts.select("key", words_of("text").alias("words")), "key").join(maybe_broadcast(sketch), "h").select("key", "item").distinct()
+    widths = sorted(r[0] for r in bench.select(F.least(F.size("words"), F.lit(SHINGLE))).distinct().collect()) or [SHINGLE]  # of five at most
+    found = hashes_of(texts.select("key", words_of("text").alias("words")), "key", widths).join(maybe_broadcast(sketch), "h").select("key", "item").distinct()
     candidates = written(found, "candidates")
     keys = written(candidates.select("key").distinct(), "candidate_keys")
-    suspects = texts.join(maybe_broadcast(keys), "key", "left_semi").select("key", "doc_id", shingle_strings(words_of("text")).alias("theirs"))
+    suspects = texts.join(maybe_broadcast(keys), "key", "left_semi").select("key", "doc_id", shingle_strings(words_of("text"), widths).alias("theirs"))
     named = written(bench.select("item", "item_id", shingle_strings(F.col("words")).alias("own")), "item_shingles")
     pairs = suspects.join(candidates.join(maybe_broadcast(named), "item"), "key")
     counted = pairs.select("key", "doc_id", "item_id", F.size("own").cast("long").alias("n_shingles"), F.size(F.array_intersect("own", "theirs")).cast("long").alias("n_found"))
@@ -100,9 +109,13 @@ def _shingles_sql(source: str, key: str) -> str:
 
 
 OP9_SQL = f"""
-WITH d AS ({_shingles_sql("documents", "doc_id")}),
-b AS ({_shingles_sql("benchmark", "item_id")}),
+WITH b AS ({_shingles_sql("benchmark", "item_id")}),
 n AS (SELECT rid, count(*) AS n_shingles FROM b GROUP BY rid),
+w AS (SELECT DISTINCT least(len(regexp_extract_all(text, '{WORDS}')), {SHINGLE}) AS w FROM benchmark),
+d AS (
+  SELECT DISTINCT rid, doc_id, array_to_string(ws[i:i + w - 1], ' ') AS s FROM (SELECT rid, doc_id, ws, w, unnest(range(1, len(ws) - w + 2)) AS i
+  FROM (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(lower(text), '{WORDS}') AS ws FROM documents WHERE text IS NOT NULL), w WHERE w > 0)
+),
 m AS (SELECT d.rid, d.doc_id, b.rid AS item, b.item_id, count(*) AS n_found FROM d JOIN b USING (s) GROUP BY ALL)
 SELECT doc_id, item_id, n_shingles, n_found, n_found / n_shingles AS containment
 FROM m JOIN n ON n.rid = m.item WHERE 100 * n_found >= {CONTAINED} * n_shingles

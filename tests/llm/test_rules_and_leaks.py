@@ -52,19 +52,34 @@ def test_leaks_on_odd_documents(spark, odd_docs, no_docs, monkeypatch):
     near[3] = "changed"  # breaks four of the 36 shingles at the start: 32/36 are left
     far = item.split()
     far[10] = far[20] = "changed"  # breaks ten: 26/36
-    rows = [(100, "Before it. " + item.upper() + ", after it"), (101, " ".join(near)), (102, " ".join(far)), (103, None), (100, "x " + item), (104, "only three words")]
+    rows = [(100, "Before it. " + item.upper() + ", after it"), (101, " ".join(near)), (102, " ".join(far)), (103, None), (100, "x " + item), (104, "only three words"), (105, "Here are ONLY three words, and more of them than five."), (106, "only three other words"), (107, "capital")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").unionByName(odd_docs.select("doc_id", "text"))
-    items = spark.createDataFrame([(1, item, 9), (2, None, 9), (3, "", 9), (4, "Only three, words!", 9), (None, "word1 and the other1. word2 and the", 9)], "item_id long, text string, h int")
+    items = spark.createDataFrame([(1, item, 9), (2, None, 9), (3, "", 9), (4, "Only three, words!", 9), (None, "word1 and the other1. word2 and the", 9), (5, "Capital?", 9)], "item_id long, text string, h int")
     for broadcast in (200_000, 0):  # with and without broadcasts
         monkeypatch.setattr(D, "maybe_broadcast", lambda df, b=broadcast: D.F.broadcast(df) if b else df)
         out = sorted(((r.doc_id, r.item_id, r.n_found, r.n_shingles) for r in D.contained_items(docs, items).collect()), key=str)
-        assert [x for x in out if x[1] is not None] == [(100, 1, 36, 36), (100, 1, 36, 36), (101, 1, 32, 36), (104, 4, 1, 1)]
+        assert [x for x in out if x[1] is not None] == [(100, 1, 36, 36), (100, 1, 36, 36), (101, 1, 32, 36), (104, 4, 1, 1), (105, 4, 1, 1), (107, 5, 1, 1)]
         assert {x[0] for x in out if x[1] is None} == {4, 9}
     assert D.contained_items(no_docs, items).count() == 0 and D.contained_items(docs, items.limit(0)).count() == 0
     kept = D.without_contaminated(odd_docs, items)
     assert kept.columns == odd_docs.columns and kept.where("doc_id in (4, 9)").isEmpty() and kept.where("doc_id is null").count() == 1
 
 
+def test_short_items_equal_the_sql(spark):
+    import duckdb
+
+    docs = [(1, "so the capital of nowhere is"), (2, "the capital"), (3, "Of Nowhere"), (4, None), (5, "the of capital nowhere the capital of"), (6, "a b c d e f g")]
+    items = [(1, "The capital of nowhere"), (2, "nowhere"), (3, "the capital of"), (4, "of nowhere!"), (5, None), (6, "..."), (7, "b c d e f")]
+    got = D.contained_items(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    con = duckdb.connect()
+    for name, column, rows in (("documents", "doc_id", docs), ("benchmark", "item_id", items)):
+        con.execute(f"CREATE TABLE {name} ({column} BIGINT, text VARCHAR)")
+        con.executemany(f"INSERT INTO {name} VALUES (?, ?)", rows)
+    want = sorted(con.execute(f"SELECT doc_id, item_id, n_shingles, n_found FROM ({D.OP9_SQL})").fetchall())
+    assert sorted((r.doc_id, r.item_id, r.n_shingles, r.n_found) for r in got.collect()) == want
+    assert [x[:2] for x in want] == [(1, 1), (1, 2), (1, 3), (1, 4), (3, 2), (3, 4), (5, 2), (5, 3), (6, 7)]
+
+
 def test_sketches_never_miss(spark):
     """An item's sketch is larger than what may be lacking."""
     rows = [(n, [f"t{n}_{k}" for k in range(n + 4)]) for n in (1, 2, 5, 8, 9, 31, 64, 100)]
