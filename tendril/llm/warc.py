@@ -1,8 +1,9 @@
 """Deterministic sharded WARC writer, and reading its archives back.
 
-Records are range-sorted by page_id and payload digest into shards; a shard's task streams its records into gzip
-members, rolls to a new file when the compressed size reaches `ROLL_BYTES`, and regenerates every header and digest. A file is written under a
-temporary name and then moved to its final one, and counts only once the manifest, a Parquet table that Spark commits,
+Records are range-sorted by page_id and payload digest into shards of equal bytes, whose bounds come from exact prefix
+sums: the same pages give the same archives, whatever the cores, partitions or session. A shard's task streams its
+records into gzip members, rolls to a new file when the compressed size reaches `ROLL_BYTES`, and regenerates every
+header and digest. A file is written under a temporary name and then moved to its final one, and counts only once the manifest, a Parquet table that Spark commits,
 names it: a task that runs twice writes the same bytes, and what a lost one leaves behind is in no manifest.
 
 Which records are revisits is found from digests alone (a group of copies gives one row, its smallest page_id) and is
@@ -17,6 +18,7 @@ is left out; ids of any type that casts to text and back; other columns are igno
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -28,11 +30,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tendril.llm.prefix_trie import running
 from tendril.llm.shared import new_folder, table, written
 
 MIN_SHARED = 100
 SHARD_BYTES = 1 << 30  # of payloads in a shard at most, or thereabouts
-LEAST_SHARD = 16 << 20  # of payloads, where a table is cut into more shards so that all cores have one
+FEW, LEAST_SHARD = 8, 16 << 20  # a smaller table is cut into so many shards, but none below so many bytes
 ROLL_BYTES = 16 << 20  # of a compressed file
 READ_BYTES = 64 << 20  # of archives that a task reads, one after another
 LEVEL = 6
@@ -106,6 +109,10 @@ class _Shard:
             self.rows.append((final, self.shard, self.part, self.records, self.size, self.sum.hexdigest()))
             self.part, self.out = self.part + 1, None
 
+    def done(self) -> list[tuple]:
+        self.close()
+        return self.rows
+
 
 def revisits(pages: DataFrame) -> DataFrame:
     """pages (page_id, html) -> page_id, digest, refers_to: the payloads of pages that have a response with a smaller
@@ -117,38 +124,63 @@ def revisits(pages: DataFrame) -> DataFrame:
     return digests.join(written(first, "first_pages"), "digest").where("page_id > first").select("page_id", "digest", F.col("first").alias("refers_to")).distinct()
 
 
-def shard_count(spark: SparkSession, total: int, shard_bytes: int = SHARD_BYTES) -> int:
-    """Shards of about shard_bytes; of a smaller table one per core, but none below LEAST_SHARD."""
-    return max(1, -(-total // shard_bytes), min(spark.sparkContext.defaultParallelism, total // min(LEAST_SHARD, shard_bytes)))
+def shard_count(total: int, shard_bytes: int = SHARD_BYTES) -> int:
+    """Shards of about shard_bytes; `FEW` of a smaller table, but none below LEAST_SHARD."""
+    return max(1, -(-total // shard_bytes), min(FEW, total // min(LEAST_SHARD, shard_bytes)))
+
+
+def shard_bounds(sizes: DataFrame, total: int, shards: int) -> list[tuple]:
+    """sizes (page_id, digest, n), written -> the first (page_id, digest) of each shard: shards are equal parts of the
+    bytes in order, which prefix sums give exactly, so they are the table's own and not those of a sample or of cores."""
+    at = running(sizes.select(F.lit(0).cast("long").alias("all"), "page_id", "digest", "n", F.col("n").alias("sum")), "all", [F.col("page_id").asc_nulls_first(), F.col("digest")], ["sum"])
+    shard = F.least(F.floor((F.col("sum") - F.col("n")) * shards / max(total, 1)), F.lit(shards - 1))
+    first = at.groupBy(shard.cast("int").alias("shard")).agg(F.min(F.struct("page_id", "digest")).alias("key")).collect()  # a row per shard
+    return sorted((_order(r["key"].page_id, r["key"].digest) for r in first))
+
+
+def _order(page_id, digest: str) -> tuple:
+    return (page_id is not None, *([] if page_id is None else [page_id]), digest)
 
 
 def write_archives(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """pages (page_id, url, html) -> the manifest of the archives written to the folder (a URI)."""
-    total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
     id_type = pages.schema["page_id"].dataType
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select("page_id", F.sha2(payload, 256).alias("digest"), F.lit(1).alias("kind"), "url", payload.alias("payload"), F.lit(None).cast(id_type).alias("refers_to"))
+    digest = F.sha2(payload, 256)
+    sizes = written(pages.select("page_id", digest.alias("digest"), F.octet_length(payload).cast("long").alias("n")), "sizes")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    bounds = shard_bounds(sizes, total, shard_count(total, shard_bytes))
+
+    @F.arrow_udf("int")
+    def shard_of(ids: pa.Array, digests: pa.Array) -> pa.Array:
+        # equal keys are in one shard, the last that begins with them
+        return pa.array([max(0, bisect.bisect_right(bounds, _order(*key)) - 1) for key in zip(ids.to_pylist(), digests.to_pylist(), strict=True)], pa.int32())
+
+    rows = pages.select("page_id", digest.alias("digest"), F.lit(1).alias("kind"), "url", payload.alias("payload"), F.lit(None).cast(id_type).alias("refers_to"))
     marks = revisits(pages).select("page_id", "digest", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "refers_to")
-    shards = rows.unionByName(marks).repartitionByRange(shard_count(pages.sparkSession, total, shard_bytes), "page_id", "digest").sortWithinPartitions("page_id", "digest", "kind", "url")
-    shards = shards.select(F.col("page_id").cast("string"), "digest", "kind", "url", "payload", F.col("refers_to").cast("string"))
+    dealt = rows.unionByName(marks).withColumn("shard", shard_of("page_id", "digest") if bounds else F.lit(0))
+    shards = dealt.repartitionByRange(max(1, len(bounds)), "shard").sortWithinPartitions("shard", "page_id", "digest", "kind", "url")
+    shards = shards.select(F.col("page_id").cast("string"), "digest", "kind", "url", "payload", F.col("refers_to").cast("string"), "shard")
     fs_, path_ = FileSystem.from_uri(folder)
     fs_.create_dir(path_, recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = FileSystem.from_uri(folder)
         fs.create_dir(path, recursive=True)
-        shard = _Shard(fs, path, TaskContext.get().partitionId(), roll_bytes)
-        mark = (None, None, None)
+        shard, mark, manifest = None, (None, None, None), []
         for batch in batches:
             for k in range(batch.num_rows):
-                page, digest, kind, url, payload, refers_to = (c[k].as_py() for c in batch.columns)
+                page, digest, kind, url, payload, refers_to, own = (c[k].as_py() for c in batch.columns)
+                if shard is None or own != shard.shard:
+                    manifest += shard.done() if shard else []
+                    shard = _Shard(fs, path, own, roll_bytes)
                 if not kind:
                     mark = (page, digest, refers_to)
                     continue
                 to = mark[2] if mark[:2] == (page, digest) else None
                 shard.put(page_record(page, url, payload, to, digest, len(payload)))
-        shard.close()
-        columns = list(zip(*shard.rows, strict=True)) or [[]] * 6
+        manifest += shard.done() if shard else []
+        columns = list(zip(*manifest, strict=True)) or [[]] * 6
         types = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [x.split()[0] for x in MANIFEST.split(", ")])
 

@@ -70,9 +70,25 @@ def test_ids_of_several_payloads(spark, tmp_path):
     assert {(r.page_id, r.refers_to) for r in out if r.record_type == "revisit"} == {("p/7 é>", "p/1 é>"), ("p/8 é>", "p/1 é>"), ("p/8 é>", "p/7 é>"), ("p/9 é>", "p/7 é>")}
 
 
-def test_shard_counts(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert [W.shard_count(spark, n) for n in (0, 100 << 20, 10 << 30, 100 << 40)] == [1, min(cores, 6), max(10, cores), 100 << 10]
+def test_shard_counts():
+    assert [W.shard_count(n) for n in (0, 100 << 20, 200 << 20, 10 << 30, 100 << 40)] == [1, 6, 8, 10, 100 << 10]
+
+
+def test_same_archives_whatever_the_partitions(spark, tmp_path):
+    """A table larger than any sample of a range sort, dealt out and read in other ways."""
+    pages = spark.range(60_000).selectExpr("(id * 7919) % 60013 - 3 AS page_id", "concat('https://x/', id) AS url", "concat(repeat(sha2(cast(id % 40000 AS string), 256), 2), id % 40000) AS html")
+    pages = pages.union(pages.limit(0)).withColumn("page_id", W.F.when(W.F.col("page_id") > 5, W.F.col("page_id")))
+    sums, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+    for k, (parts, shuffled) in enumerate(((3, "4"), (11, "17"))):
+        spark.conf.set("spark.sql.shuffle.partitions", shuffled)
+        rows = W.write_archives(pages.repartition(parts, "url"), f"file://{tmp_path}/{k}", roll_bytes=100_000, shard_bytes=1 << 20).collect()
+        sums.append(sorted((r.shard, r.part, r.records, r.sha256) for r in rows))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sums[0] == sums[1] and len({r[0] for r in sums[0]}) == 8 and max(r[1] for r in sums[0]) > 1 and sum(r[2] for r in sums[0]) == 60_000
+    by_shard = defaultdict(int)
+    for shard, _, records, _ in sums[0]:
+        by_shard[shard] += records
+    assert max(by_shard.values()) < 1.1 * min(by_shard.values())
 
 
 def test_damage_is_seen():
