@@ -6,10 +6,11 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from tendril.operators import coverage, features, profile, trust
+from tendril.operators import coverage, entity_join, features, profile, trust
 from tendril.plans import feature_queries as fq
 from tendril.plans import metadata, text_queries, views
 from tendril.plans.feature_queries import plain
+from tendril.sources.scratch import written
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -144,7 +145,8 @@ add("d22_legal_form_counts", lambda s, d: profile.legal_form_counts(views.regist
 
 def _profiles(spark, sf_dir):
     dictionary = metadata.feature_registry(spark)
-    tables = {"app_company_features": fq.award_features(spark, sf_dir), "qkb_company_features": fq.registry_features(spark, sf_dir)}
+    own, companies = written(fq.award_features(spark, sf_dir), "award-features"), written(fq.registry_features(spark, sf_dir), "registry-features")
+    tables = {"app_company_features": own, "qkb_company_features": companies, "joined_company_features": entity_join.joined_features(own, companies)}
     out = None
     for name, df in tables.items():
         one = profile.feature_profile(df, dictionary, name)
@@ -152,7 +154,7 @@ def _profiles(spark, sf_dir):
     return out
 
 
-_KINDS = {"app_company_features": "f1", "qkb_company_features": "f2"}
+_KINDS = {"app_company_features": "f1", "qkb_company_features": "f2", "joined_company_features": "f3"}
 _TEXTS = {"top_authority_name", "top_procedure_type", "business_name", "legal_form", "subject_status", "city"}
 _quoted = lambda x: "NULL" if x is None else "'" + str(x).replace("'", "''") + "'"
 
@@ -163,7 +165,7 @@ def _sparsity_sql() -> str:
         f"SELECT {', '.join(map(_quoted, (d, n, category, level, metadata.DESCRIPTIONS[n])))}, count(*), count(*) FILTER (WHERE {gone(n)}) FROM {_KINDS[d]}"
         for d, n, category, level in metadata.feature_rows() if d in _KINDS
     ]
-    return f"""{fq.FEATURES_SQL}, {fq.REGISTRY_FEATURES_SQL}, f1 AS MATERIALIZED (SELECT * FROM features), f2 AS MATERIALIZED (SELECT * FROM registry_features),
+    return f"""{fq.FEATURES_SQL}, {fq.REGISTRY_FEATURES_SQL}, {fq.JOINED_SQL}, f1 AS MATERIALIZED (SELECT * FROM features), f2 AS MATERIALIZED (SELECT * FROM registry_features), f3 AS MATERIALIZED (SELECT * FROM joined),
 t(dataset, name, category, confidence, description, n, missing_count) AS ({" UNION ALL ".join(parts)}),
 sparsity AS (SELECT dataset, name, category, confidence, description, n - missing_count AS present_count, missing_count, {_prate("(n - missing_count)", "n")} AS present_rate, {_prate("missing_count", "n")} AS missing_rate FROM t)"""
 
@@ -258,3 +260,17 @@ jc AS (SELECT j AS joinable_keys, a1 AS left_rows_joinable, b1 AS right_rows_joi
 UNION ALL {_unpivot("key_coverage", "awards", "field", "ka", _FIELD)} UNION ALL {_unpivot("key_coverage", "registry", "field", "kr", _FIELD)}
 UNION ALL {_unpivot("keys", "awards", "'winner_nipt'", "da", "distinct_keys")} UNION ALL {_unpivot("keys", "registry", "'business_nipt'", "dr", "distinct_keys")}
 UNION ALL {_unpivot("join_coverage", "both", "'winner_nipt = business_nipt'", "jc", "joinable_keys left_rows_joinable right_rows_joinable left_rate_all left_rate_keyed right_rate_all right_rate_keyed")}""")
+
+
+def _all_profiles(spark, sf_dir):
+    from tendril.plans.runners import profile_all
+
+    return profile_all(_normalized_profile(spark, sf_dir), written(_profiles(spark, sf_dir), "sparsity"), readiness_metrics(spark, sf_dir))
+
+
+_OF = lambda name: f"({SQL[name]})"
+add("i04_profile_all", _all_profiles, f"""SELECT section, dataset, field, metric, value, NULL AS text FROM {_OF("d23_i04_normalized_profile")}
+UNION ALL SELECT 'feature_sparsity', dataset, name, metric, value, NULL FROM (UNPIVOT (SELECT dataset, name, CAST(present_count AS DOUBLE) AS present_count, CAST(missing_count AS DOUBLE) AS missing_count, present_rate, missing_rate FROM {_OF("c08_d24_feature_sparsity")}) ON present_count, missing_count, present_rate, missing_rate INTO NAME metric VALUE value)
+UNION ALL SELECT 'readiness', dataset, '', metric, value, NULL FROM (UNPIVOT (SELECT dataset, CAST(row_count AS DOUBLE) AS row_count, safe_coverage FROM {_OF("d25_feature_readiness")}) ON row_count, safe_coverage INTO NAME metric VALUE value)
+UNION ALL SELECT 'readiness', dataset, '', 'status', NULL, status FROM {_OF("d25_feature_readiness")}
+UNION ALL SELECT section, 'all', '', 'finding', NULL, finding FROM {_OF("d26_readiness_findings")}""")

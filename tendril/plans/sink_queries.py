@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tendril.operators import buckets, sinks
-from tendril.plans import page_queries, views
+from tendril.operators import buckets, materialize, sinks
+from tendril.plans import page_queries, runners, views
 from tendril.plans.feature_queries import plain
 from tendril.sources import artifact_store, files
 from tendril.sources.scratch import scratch
@@ -131,3 +133,48 @@ WITH s AS (
     CASE WHEN id % 5 <> 0 AND id % 7 = 0 THEN 'failed' WHEN gate IS NOT NULL THEN gate WHEN id % 5 = 0 THEN 'empty' WHEN id % 11 = 0 THEN 'failed' ELSE whole END AS outcome FROM s
 ), u AS (SELECT *, CASE outcome WHEN 'ok' THEN full_n WHEN 'empty' THEN 0 ELSE before END AS n FROM t)
 SELECT id, outcome, CAST(CASE outcome WHEN 'ok' THEN full_n ELSE 0 END AS BIGINT) AS rows_inserted, CAST(n AS BIGINT) AS n, CASE WHEN n > 0 THEN 'K' || lpad(CAST(user_id AS STRING), 8, '0') || 'A' END AS business_nipt FROM u""")
+
+
+#: Export snapshots: 40 parts of the orders. Some have no artifact (5, 6 of 9), one that is corrupted on the second run
+#: (7 of 9), one whose file is gone (8 of 9), or no year (3 of 10).
+_EXPORTS = ("o_custkey % 40 AS id", "CASE WHEN o_custkey % 40 % 10 = 3 THEN 'x' ELSE '2020' END AS external_key", "CAST(NULL AS STRING) AS payload_year", "CASE o_custkey % 40 % 9 WHEN 5 THEN NULL WHEN 6 THEN 5000 + o_custkey % 40 ELSE 1000 + o_custkey % 40 END AS raw_fetch_id")
+_REGION_KEY = "concat('legal_form:F', CAST(user_id % 50 AS STRING), CASE WHEN event_id % 6 = 0 THEN '|qarku:T' ELSE '' END, '|2024-01-01|2024-01-0', CAST(event_id % 7 + 1 AS STRING))"
+
+
+def _normalized_twice(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Everything normalized, then again with half of the rows, corrupted artifacts and snapshots by region: the outcomes
+    of the second run."""
+    base = scratch(spark, "normalized")
+    orders, events = views.read(spark, sf_dir, "orders"), views.read(spark, sf_dir, "events")
+    cells = orders.selectExpr("CAST(o_orderkey AS STRING) AS Numri_i_references", "CAST(o_totalprice AS STRING) AS Fondi_limit", "o_custkey % 40 AS part").where("part % 9 <> 8")
+    cells.repartition("part").write.partitionBy("part").option("header", True).csv(f"{base}/files")
+    numbered = F.concat(F.lit("part="), F.regexp_extract("path", "part=(\\d+)/", 1))
+    rows = files.export_rows(spark, f"{base}/files").withColumn("path", numbered)
+    exports = orders.selectExpr(*_EXPORTS).distinct()
+    there = rows.select("path").distinct()
+    raw = exports.selectExpr("1000 + id AS id", "concat('part=', CAST(id AS STRING)) AS storage_path", "id % 9 = 7 AS bad").union(events.where("event_id < 48").selectExpr("event_id", "CAST(NULL AS STRING)", "event_id % 13 = 0"))
+    marks = lambda bad: raw.select("id", "storage_path", bad.alias("is_corrupted"), F.lit("cut short").alias("corruption_reason"))
+    registry = events.selectExpr("event_id AS id", "event_type AS source_name", f"{_REGION_KEY} AS external_key", "ts AS fetched_at", f"{page_queries._PAYLOAD} AS payload")
+    runners.normalize_all(exports, registry.where("id % 6 <> 0"), marks(F.lit(False)), there, rows, base)
+    half = rows.where("CAST(cells['Numri_i_references'] AS BIGINT) % 2 = 0")
+    return runners.normalize_all(exports, registry, marks(c("bad")), there, half, base)
+
+
+def _of_both(report):
+    """A query that gives a report of each dataset's outcomes."""
+    return lambda spark, sf_dir: reduce(DataFrame.union, [report(outcomes, name) for name, outcomes in _normalized_twice(spark, sf_dir).items()])
+
+
+_TWICE = f"""p AS (SELECT CAST(o_custkey % 40 AS BIGINT) AS id, count(*) AS n1, count(*) FILTER (WHERE o_orderkey % 2 = 0) AS n2 FROM orders GROUP BY 1),
+a AS (SELECT id, CASE WHEN id % 9 IN (5, 6) OR id % 9 = 8 THEN 'failed' WHEN id % 9 = 7 THEN 'corrupted' WHEN id % 10 = 3 THEN 'failed' ELSE 'ok' END AS outcome,
+  CASE id % 9 WHEN 5 THEN 'structured snapshot is missing raw_fetch_id' WHEN 6 THEN 'raw fetch ' || (5000 + id) || ' not found' WHEN 8 THEN 'artifact of raw fetch ' || (1000 + id) || ' is missing'
+   WHEN 7 THEN 'raw fetch ' || (1000 + id) || ' is marked corrupted: cut short' ELSE CASE WHEN id % 10 = 3 THEN 'snapshot has no usable export year' END END AS reason, n1, n2 FROM p),
+s AS (SELECT event_id AS id, user_id % 50 AS form, event_id % 7 AS day, event_id % 6 = 0 AS chunked, event_id % 50 AS r, CASE event_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END AS n2, CASE event_id % 4 WHEN 2 THEN 'empty' WHEN 3 THEN 'failed' ELSE 'ok' END AS whole FROM events),
+g AS (SELECT *, NOT chunked AND (form, day) IN (SELECT (form, day) FROM s WHERE chunked) AS gone, CASE WHEN NOT chunked AND r < 48 THEN n2 ELSE 0 END AS n1 FROM s),
+q AS (SELECT id, CASE WHEN gone THEN 'superseded' WHEN r % 13 = 0 THEN 'corrupted' WHEN r >= 48 THEN 'failed' ELSE whole END AS outcome,
+  CASE WHEN gone THEN '{materialize.BY_REGIONS}' WHEN r % 13 = 0 THEN 'raw fetch ' || r || ' is marked corrupted: cut short' WHEN r >= 48 THEN 'raw fetch ' || r || ' not found' WHEN whole = 'failed' THEN 'payload has no list of results' END AS reason, n1, n2 FROM g),
+o AS (SELECT 'app_exports' AS dataset, * FROM a UNION ALL SELECT 'qkb_search', * FROM q)"""
+add("i04_d28_normalize_all", _of_both(materialize.run_statistics), f"""WITH {_TWICE} SELECT dataset, count(*) AS snapshots_seen, count(*) FILTER (WHERE outcome IN ('ok', 'empty')) AS snapshots_materialized, count(*) FILTER (WHERE outcome = 'corrupted') AS snapshots_skipped_corrupted,
+ count(*) FILTER (WHERE outcome = 'superseded') AS snapshots_skipped_superseded, count(*) FILTER (WHERE outcome = 'failed') AS snapshots_failed, CAST(coalesce(sum(n1) FILTER (WHERE outcome IN ('ok', 'empty', 'superseded')), 0) AS BIGINT) AS rows_deleted_before_insert,
+ CAST(coalesce(sum(n2) FILTER (WHERE outcome = 'ok'), 0) AS BIGINT) AS rows_inserted, CAST(coalesce(sum(n2) FILTER (WHERE outcome = 'ok'), 0) AS BIGINT) AS rows_materialized FROM o GROUP BY dataset""")
+add("d28_left_out_snapshots", _of_both(materialize.left_out), f"WITH {_TWICE} SELECT dataset, id AS structured_record_id, CASE outcome WHEN 'failed' THEN 'error' ELSE 'skipped' END AS kind, reason FROM o WHERE outcome NOT IN ('ok', 'empty')")
