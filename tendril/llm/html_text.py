@@ -1,7 +1,8 @@
 """Main text of HTML pages by two-pass block rules.
 
 The page is cut into blocks at block-level tags. Pass one labels each block good, bad or undecided from its
-stop-word density, its length, its link density and the kind of container it stands in. Pass two lets the
+stop-word density, its length, its link density and the kind of container it stands in (on pages in other languages than
+the listed ones, length and ends of sentences stand in for stop words). Pass two lets the
 undecided ones (mostly short ones) take the label of the nearest decided neighbour in the same part of the page.
 
 Defined cases: null html counts as empty and gives the empty text; broken markup (unclosed elements, a page cut
@@ -47,13 +48,22 @@ SIDE = frozenset("nav footer aside form menu dialog search".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 SIDE_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog alertdialog".split())
-SIDE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|advertising|adbox|sponsor|sponsored|promo|promotion|banner|nav|navbar"
-    r"|navigation|menu|topmenu|submenu|breadcrumb|breadcrumbs|pagination|pager|sidebar|side|widget|widgets|footer|header|masthead"
-    r"|comment|comments|commentlist|disqus|respond|reply|replies|reviews|cookie|cookies|consent|gdpr|notice|notices|notification"
-    r"|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommended"
-    r"|recommendations|teaser|teasers|toolbar|search|searchbox|legal|copyright|disclaimer|skip|hidden|form)(?:$|[\s_-])",
-    re.I,
+# Words in names of containers. Those of the first group say by themselves what a container is; those of the
+# second do if the whole name is made of listed words, and otherwise (form-of-government) leave it to the contents.
+SIDE_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising adbox sponsor sponsored promo nav navbar topmenu submenu breadcrumb breadcrumbs"
+    " pagination sidebar widgets footer masthead comment comments commentlist disqus cookie cookies gdpr popup modal newsletter"
+    " searchbox teaser teasers toolbar".split()
+)
+PERHAPS_SIDE_WORDS = frozenset(
+    "promotion banner navigation menu pager side widget header respond reply replies reviews consent notice notices notification alert"
+    " overlay subscribe subscription signup login share sharing social related recommended recommendations search legal copyright"
+    " disclaimer skip hidden form".split()
+)
+PLAIN_WORDS = frozenset(
+    "a area article articles bar block body bottom box btn button buttons col column container content contents desktop entry field global"
+    " group holder home icon icons inner item items left link links list main mobile more news outer page pages panel post posts primary"
+    " reader right row secondary section site slot stories story text the title to tools top unit user view wrap wrapper x".split()
 )
 
 #: Names that say what a container lacks or has beside it, not what it is.
@@ -72,47 +82,69 @@ SHORT = 70  # characters below which a block's own words don't decide
 LONG = 200
 LOW_STOPS, HIGH_STOPS = 0.1, 0.2
 LINKS = 0.5
+LINK_RUN = 3  # blocks in a row that are nothing but a link are a list of links
+LABEL = 25  # characters below which a link alone is a label, such as "read more"
+FOREIGN = 0.02  # share of stop words of a page below which its language isn't among those listed
+SENTENCE_ENDS = ".!?…。！？｡؟۔।։"
 OUTSIDE, SIBLING = 2, 4
 GOOD, BAD, UNDECIDED = 1, -1, 0
 
 
 class Block:
-    __slots__ = ("label", "linked", "parts", "part", "side", "heading", "text")
+    __slots__ = ("heading", "linked", "links", "part", "parts", "perhaps", "side", "text")
 
-    def __init__(self, part: int, side: bool, heading: bool):
-        self.part, self.side, self.heading = part, side, heading
+    def __init__(self, part: int, side: bool, perhaps: int, heading: bool):
+        self.part, self.side, self.perhaps, self.heading = part, side, perhaps, heading
         self.parts: list[str] = []
-        self.linked = 0
+        self.linked, self.links = 0, set()
 
 
 def attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(text)}
 
 
-def is_side(tag: str, text: str, in_article: bool) -> bool:
-    """Whether an element holds what is not the article: by its tag, or else by its role, class, id or style."""
+def side_name(names: str) -> int:
+    """2 if a class or id says that a container isn't the article, 1 if one of its words may say so, else 0."""
+    most = 0
+    for name in names.lower().split():
+        words = [w for w in re.split(r"[_-]+", name) if w and not w.isdigit()]
+        if any(w in SIDE_WORDS for w in words):
+            return 2
+        if any(w in PERHAPS_SIDE_WORDS for w in words):
+            if all(w in PERHAPS_SIDE_WORDS or w in PLAIN_WORDS for w in words):
+                return 2
+            most = 1
+    return most
+
+
+def is_side(tag: str, text: str, in_article: bool) -> int:
+    """Whether an element holds what is not the article (2), perhaps (1, its contents decide) or not (0): by its tag, or
+    else by its role, class, id or style."""
     if tag in SIDE or (tag == "header" and not in_article):
-        return True
+        return 2
     if "=" not in text and "hidden" not in text:
-        return False
+        return 0
     a = attributes(text)
     if "hidden" in a or a.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", a.get("style", ""), re.I):
-        return True
+        return 2
     if a.get("role", "").lower() in SIDE_ROLES:
-        return True
+        return 2
     if tag in ("body", "html", "main"):
-        return False
+        return 0
     names = [NOT_ITSELF.sub("", a.get(k, "")) for k in ("class", "id")]
     if in_article:  # an article's own heading
         names = [re.sub("header|masthead", "", x, flags=re.I) for x in names]
-    return any((SIDE_ARTICLE if tag == "article" else SIDE_NAMES).search(x) for x in names)
+    if tag == "article":
+        return 2 * any(SIDE_ARTICLE.search(x) is not None for x in names)
+    return max(map(side_name, names))
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks in page order. `part` numbers the article element a block stands in, 0 for none."""
     blocks: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # open elements: tag, whether in a side container, part
-    side, part, parts, links, dropped = False, 0, 0, 0, 0
+    stack: list[tuple[str, bool, int, int]] = []  # open elements; before each: whether in a side container, part, perhaps
+    side, part, parts, links, dropped, link = False, 0, 0, 0, 0, 0
+    perhaps, doubts = 0, 0  # number of the outermost container that may be a side one
     now: Block | None = None
     heading = False
     opened: Counter[str] = Counter()
@@ -122,11 +154,13 @@ def blocks_of(page: str) -> list[Block]:
         if now is None:
             if not text or text.isspace():
                 return
-            now = Block(part, side, heading)
+            now = Block(part, side, perhaps, heading)
             blocks.append(now)
         now.parts.append(text)
         if links:
             now.linked += len(text.strip())
+            if text.strip():
+                now.links.add(link)
 
     at, size = 0, len(page)
     while at < size:
@@ -157,7 +191,7 @@ def blocks_of(page: str) -> list[Block]:
         if closing:
             if opened[tag]:
                 while True:
-                    was, side, part = stack.pop()
+                    was, side, part, perhaps = stack.pop()
                     opened[was] -= 1
                     dropped -= was in DROPPED
                     links -= was == "a"
@@ -167,48 +201,106 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if tag in VOID or m[3].endswith("/>") and tag in ("svg", "path", "object"):
             continue
-        if tag in ("article", "main") and side and not is_side(tag, m[3], False):
+        if tag in ("article", "main") and side and is_side(tag, m[3], False) < 2:
             if not opened["article"] and not opened["main"]:  # what it seems to stand in was never closed
-                stack, side, links, dropped = [], False, 0, 0
+                stack, side, perhaps, links, dropped = [], False, 0, 0, 0
                 opened.clear()
         if tag in ("p", "li", "dd", "dt", "tr", "td", "th", "option") or tag in HEADING:  # these end one like themselves
             while stack and stack[-1][0] not in BLOCK or stack and stack[-1][0] == tag:
-                was, side, part = stack.pop()
+                was, side, part, perhaps = stack.pop()
                 opened[was] -= 1
                 dropped -= was in DROPPED
                 links -= was == "a"
                 if was == tag:
                     break
         if tag in BLOCK or tag in DROPPED or tag in ("a", "span", "ins", "b", "i", "em", "strong", "label"):
-            stack.append((tag, side, part))
+            stack.append((tag, side, part, perhaps))
             opened[tag] += 1
             dropped += tag in DROPPED
             links += tag == "a"
+            link += tag == "a"
             heading = tag in HEADING or heading and tag not in BLOCK
             if tag in ("article", "main") and not side and not part:
                 parts += 1
                 part = parts
             if tag not in ("a", "b", "i", "em", "strong"):
-                side = side or is_side(tag, m[3], part > 0)
+                what = is_side(tag, m[3], part > 0)
+                side = side or what == 2
+                if what == 1 and not perhaps:
+                    doubts += 1
+                    perhaps = doubts
     for x in blocks:
         x.text = " ".join("".join(x.parts).split())
-    return [x for x in blocks if x.text]
+    return decided_containers([x for x in blocks if x.text])
 
 
-def first_pass(block: Block) -> int:
-    """Good or bad if the block itself decides, else undecided."""
-    if block.side:
-        return BAD
-    length = len(block.text)
-    if block.linked > LINKS * length and (length < LONG or not block.part) and not block.heading:
+def decided_containers(blocks: list[Block]) -> list[Block]:
+    """Containers whose names leave it open are side ones if they hold little text or mostly links."""
+    size: Counter[int] = Counter()
+    linked: Counter[int] = Counter()
+    for x in blocks:
+        if not x.side:
+            size[x.perhaps] += len(x.text)
+            linked[x.perhaps] += x.linked
+    for x in blocks:
+        x.side = x.side or x.perhaps > 0 and (size[x.perhaps] < LONG or linked[x.perhaps] > LINKS * size[x.perhaps])
+    return blocks
+
+
+def stop_words_of(text: str) -> tuple[int, int]:
+    """How many of a text's words are stop words, and how many words there are."""
+    words = [w.strip(".,;:!?%*#$&|\"'()") for w in text.lower().split()]
+    return sum(w in STOP_WORDS for w in words), len(words)
+
+
+def link_lists(blocks: list[Block]) -> set[int]:
+    """Places of blocks that stand in a run of LINK_RUN or more which are nothing but a link."""
+    alone = [not x.side and not x.heading and x.linked > 0.9 * len(x.text) for x in blocks]
+    found: set[int] = set()
+    k = 0
+    while k < len(blocks):
+        end = k
+        while end < len(blocks) and alone[end]:
+            end += 1
+        if end - k >= LINK_RUN:
+            found.update(range(k, end))
+        k = max(end, k + 1)
+    return found
+
+
+def of_links(block: Block, in_list: bool) -> int:
+    """A block that is mostly links: bad, but for one in an article which neighbours decide: a long one, or one with a
+    single link that is no label and stands in no list of links."""
+    if not block.part:
         return BAD
-    if length < SHORT:
-        return UNDECIDED
-    words = [w.strip(".,;:!?%*#$&|\"'()") for w in block.text.lower().split()]
-    stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if stops >= HIGH_STOPS or length >= LONG and stops >= LOW_STOPS:
-        return GOOD
-    return UNDECIDED if block.part or stops >= LOW_STOPS else BAD
+    label = len(block.text) < LABEL and block.text[-1] not in SENTENCE_ENDS and block.linked > 0.9 * len(block.text)
+    return BAD if in_list or label or len(block.links) > 1 else UNDECIDED
+
+
+def first_pass(blocks: list[Block]) -> list[int]:
+    """Of each block good or bad if it decides by itself, else undecided. On a page that has next to none of the listed
+    stop words (another language), length and ends of sentences stand in for them."""
+    stops = [stop_words_of(x.text) if not x.side else (0, 0) for x in blocks]
+    found, words = map(sum, zip(*stops, strict=True)) if blocks else (0, 0)
+    foreign = found < FOREIGN * words or not found
+    lists = link_lists(blocks)
+
+    def label(k: int, x: Block) -> int:
+        length = len(x.text)
+        if x.side:
+            return BAD
+        if x.linked > LINKS * length and not x.heading and (length < LONG or not x.part):
+            return of_links(x, k in lists)
+        if (len(x.text.encode()) if foreign else length) < SHORT:  # a character of other scripts may say more than a letter
+            return UNDECIDED
+        if foreign:
+            return GOOD if any(end in x.text for end in SENTENCE_ENDS) else UNDECIDED
+        share = stops[k][0] / max(1, stops[k][1])
+        if share >= HIGH_STOPS or length >= LONG and share >= LOW_STOPS:
+            return GOOD
+        return UNDECIDED if x.part or share >= LOW_STOPS else BAD
+
+    return [label(k, x) for k, x in enumerate(blocks)]
 
 
 def second_pass(blocks: list[Block], labels: list[int]) -> list[int]:
@@ -229,7 +321,7 @@ def second_pass(blocks: list[Block], labels: list[int]) -> list[int]:
     before, after = nearest(range(len(blocks))), nearest(range(len(blocks) - 1, -1, -1))
     for k, x in enumerate(blocks):
         if labels[k] == UNDECIDED:
-            alone = GOOD if x.part or x.heading or x.text[-1] in ".!?…" else BAD
+            alone = GOOD if x.part or x.heading or x.text[-1] in SENTENCE_ENDS else BAD
             far = min(before[k][0], after[k][0])
             out[k] = alone if far == len(blocks) else max(label for d, label in (before[k], after[k]) if d == far)
     return out
@@ -242,7 +334,7 @@ def main_text(page: str | None) -> str:
     twice as much (a page whose body stands beside a card that is marked up as an article). Sibling articles with at
     least a quarter of its good text, decided by the blocks themselves, are parts of it."""
     blocks = blocks_of(page or "")
-    firm = [first_pass(x) for x in blocks]
+    firm = first_pass(blocks)
     labels = second_pass(blocks, firm)
     good: dict[int, int] = {}
     decided: dict[int, int] = {}

@@ -1,5 +1,13 @@
+import html as chars
+import re
+from pathlib import Path
+
+import pytest
+
 from tendril.llm.html_text import extract_main_text, main_text
 
+GIVEN = "/root/testdata/sf0.001/pages.parquet"
+
 
 def test_article_without_the_rest():
     page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="<p>no</p>";</script></head><body>
@@ -59,3 +67,42 @@ def test_which_article():
     posts = f"<article><p>First. {text * 4}</p></article><article><p>Second. {text * 3}</p></article>"
     assert main_text(posts + card).count("\n\n") == 1 and "card" not in main_text(posts + card)
     assert main_text(f"<p>{text}</p><article><p>{text * 2}</p></article>") == (text * 2).strip()
+
+
+LINE = "It is one of the things that we have to say in the text of this page, and so it is. "
+
+
+def test_pages_in_other_languages():
+    first = "日本の首都は東京であり、人口は約千四百万人である。政治と経済の中心であり、多くの企業が本社を置いている。歴史は江戸時代にさかのぼる。"
+    second = "短い文である。"
+    assert main_text(f"<div><p>{first}</p><p>{second}</p><ul><li><a href=a>東京</a></li><li><a href=b>大阪</a></li></ul></div>") == f"{first}\n\n{second}"
+    russian = "Столица страны стоит на реке, и в ней живёт много людей, которые приехали сюда из других мест."
+    assert main_text(f"<nav><a href=a>Новости</a></nav><p>{russian}</p>") == russian
+
+
+def test_names_that_may_say_something_else():
+    long = (LINE * 3).strip()
+    assert main_text(f'<div id="form-of-government"><p>{long}</p><p>And so.</p></div>') == f"{long}\n\nAnd so."
+    assert main_text(f'<article><p>{long}</p><div class="promotion-rules"><p>{long}</p></div></article>') == f"{long}\n\n{long}"
+    for name in ("promotion-box", "user-reviews", "reader-comments", "comments-thread", "legal-notice", "footer-widgets-3", "promotion-summer"):
+        inner = "It is what is for sale in the shop of the site." if name == "promotion-summer" else long
+        assert main_text(f'<article><p>{long}</p><div class="{name}"><p>{inner}</p></div></article>') == long, name
+
+
+def test_links_in_an_article_go_by_their_neighbours():
+    long = (LINE * 3).strip()
+    linked = "<p><a href=x>One of the papers that we have on it, as a whole</a>.</p>"
+    links = "<ul>" + "".join(f"<li><a href=x>Another of the stories of the day, number {k}</a></li>" for k in range(3)) + "</ul>"
+    page = f"<article><p>{long}</p>{linked}<p>{long}</p>{links}<p><a href=y>Read more</a></p><p><a href=a>Share it with all</a> <a href=b>Send it to one of them</a></p></article>"
+    assert main_text(page) == f"{long}\n\nOne of the papers that we have on it, as a whole.\n\n{long}"
+
+
+@pytest.mark.skipif(not Path(GIVEN).exists(), reason="the given tables aren't here")
+def test_kept_blocks_are_the_pages_own_in_order(spark):
+    for r in spark.read.parquet(GIVEN).collect():
+        page = "".join(re.sub("<[^>]*>", " ", chars.unescape(re.sub(r"(?is)<(script|style|title)\b.*?</\1>|<!--.*?-->", " ", r.html or ""))).split())
+        at = 0
+        for block in main_text(r.html).split("\n\n"):
+            found = page.find("".join(re.sub("<[^>]*>", " ", block).split()), at)
+            assert found >= 0, (r.page_id, block)
+            at = found + len("".join(block.split()))
