@@ -1,10 +1,14 @@
-"""Scalar cleaning functions: Column in, Column out. All but strip_accents stay inside the JVM."""
+"""Scalar cleaning functions: Column in, Column out. All stay inside the JVM."""
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+from functools import cache
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Flag words, document types and reasons.
 TRUE_WORDS = ("po", "yes", "true")
@@ -12,6 +16,8 @@ FALSE_WORDS = ("jo", "no", "false")
 DAY_FIRST = r"^(\d{1,2})([./])(\d{1,2})\2(\d{4})$"
 IDENTIFIER = r"(?iU)\b[A-Z][0-9]{8}[A-Z]\b"
 EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+REFERENCE = "^&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+HANGUL = 0xAC00  # the first Korean syllable: 19 leads of 21 vowels of 28 tails each, the first tail being none
 CORRUPTION_REASONS = {
     "content_hash_mismatch": "content_hash mismatch",
     "missing_file": "missing file",
@@ -65,16 +71,69 @@ def normalized_key(value: Column) -> Column:
     return F.nullif(F.upper(strip(value)), F.lit(""))
 
 
-@F.pandas_udf(T.StringType())
-def _strip_accents(values):
-    import unicodedata
+@cache
+def _without_marks() -> tuple[dict[str, str], dict[str, str]]:
+    """What NFKD without combining marks makes of single characters: those that become one or none, and those that become
+    several; Korean syllables aside, which follow a rule. Characters don't depend on each other, as only marks would be
+    put in another order."""
+    short, long = {}, {}
+    for code in range(sys.maxunicode + 1):
+        char = chr(code)
+        if HANGUL <= code < HANGUL + 19 * 588 or not (unicodedata.decomposition(char) or unicodedata.combining(char)):
+            continue
+        plain = "".join(x for x in unicodedata.normalize("NFKD", char) if not unicodedata.combining(x))
+        if plain != char:
+            (short if len(plain) < 2 else long)[char] = plain
+    return short, long
+
+
+def _char_class(codes: list[int]) -> str:
+    """A character class of code points in order, runs as ranges."""
+    runs: list[list[int]] = []
+    for code in codes:
+        if runs and runs[-1][1] == code - 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in runs) + "]"
+
 
-    return values.map(lambda v: None if v is None else "".join(c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c)))
+def _pairs(entries: dict[str, str]) -> Column:
+    """A map as one text, which Spark folds into a constant."""
+    return F.str_to_map(F.lit("\x1f".join(f"{k}\x1e{v}" for k, v in entries.items())), F.lit("\x1f"), F.lit("\x1e"))
 
 
 def strip_accents(value: Column) -> Column:
-    """NFKD without combining marks."""
-    return _strip_accents(value)
+    """NFKD without combining marks, in the JVM: characters that become one or none are translated; only texts that hold
+    others are taken apart."""
+    short, long = _without_marks()
+    ordered = sorted(short, key=lambda k: not short[k])  # those that vanish come last, beyond the end of the other list
+    translated = F.translate(value, "".join(ordered), "".join(short[k] for k in ordered))
+    rare = _char_class([*sorted(map(ord, long)), *range(HANGUL, HANGUL + 19 * 588)])
+    table = _pairs(long)
+
+    def taken_apart(x: Column) -> Column:
+        syllable = F.ascii(x) - HANGUL
+        place = lambda n, first, count: F.substring(F.lit("".join(chr(first + k) for k in range(count))), n.cast("int"), F.lit(1))
+        tail = F.when(syllable % 28 > 0, place(syllable % 28, 0x11A8, 27)).otherwise("")
+        jamo = F.concat(place(F.floor(syllable / 588) + 1, 0x1100, 19), place(F.floor(syllable % 588 / 28) + 1, 0x1161, 21), tail)
+        return F.when(syllable.between(0, 19 * 588 - 1), jamo).otherwise(F.coalesce(F.try_element_at(table, x), x))
+
+    return F.when(value.rlike(rare), F.array_join(F.transform(F.split(translated, ""), taken_apart), "")).otherwise(translated)
+
+
+def unescaped(value: Column) -> Column:
+    """Character references that end in a semicolon, named (HTML 5) or by number, as characters; others stay."""
+    table = _pairs({k[:-1]: v for k, v in html5.items() if k.endswith(";")})
+
+    def piece(x: Column) -> Column:
+        name = F.regexp_extract(x, REFERENCE, 1)
+        number = F.when(name.rlike("^#[0-9]"), F.substring(name, 2, 9).cast("int")).when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 9), 16, 10).cast("int"))
+        sound = F.when(number.between(1, 0xD7FF) | number.between(0xE000, sys.maxunicode), number)
+        char = F.coalesce(F.try_element_at(table, name), F.decode(F.unhex(F.lpad(F.hex(sound), 8, "0")), "UTF-32"))
+        return F.coalesce(F.concat(char, F.substr(x, F.length(name) + 3)), x)
+
+    return F.when(value.contains("&"), F.array_join(F.transform(F.split(value, "(?=&)"), piece), "")).otherwise(value)
 
 
 def label_text(value: Column, accents: bool = True) -> Column:

@@ -34,20 +34,32 @@ def normalize_export(rows: DataFrame) -> DataFrame:
     return rows.withColumns(typed | {"winner_nipt": single_identifier(cell(EXPORT_KEY))}).withColumnRenamed("cells", "source_payload")
 
 
+def _fields(text, *names: str):
+    """Some fields of a JSON object, as texts, by one parse."""
+    return F.from_json(text, ", ".join(f"`{n}` string" for n in names))
+
+
 def result_items(snapshots: DataFrame, payload: str = "payload") -> DataFrame:
     """Result objects of each snapshot: `response` if it is a list, else `response.data`. What isn't an object is
     dropped but keeps its ordinal; a snapshot without a list has no rows."""
-    listed = F.coalesce(F.from_json(F.get_json_object(payload, "$.response.data"), "array<string>"), F.from_json(F.get_json_object(payload, "$.response"), "array<string>"))
-    items = snapshots.select("*", F.posexplode(listed).alias("pos", "item"))
+    return _items(snapshots.withColumn("__own", _fields(F.col(payload), "response"))).drop("__own")
+
+
+def _items(parsed: DataFrame) -> DataFrame:
+    """Items of `__own.response`."""
+    response = F.col("__own.response")
+    listed = F.from_json(F.when(response.startswith("{"), _fields(response, "data")["data"]).otherwise(response), "array<string>")
+    items = parsed.select("*", F.posexplode(listed).alias("pos", "item"))
     return items.where(F.col("item").startswith("{")).withColumn("result_ordinal", F.col("pos") + 1).drop("pos")
 
 
 def normalize_registry(snapshots: DataFrame, payload: str = "payload") -> DataFrame:
-    """snapshots -> typed registry rows, one per result object."""
-    item = lambda k: F.get_json_object("item", f"$.{k}")
-    own = lambda k: F.get_json_object(payload, f"$.{k}")
-    typed = {n: compact_text(item(k)) for n, k in REGISTRY_TEXT.items()} | {
-        "registration_date": parse_date(item("dataERegjistrimit")), "has_red_flags": parse_flag(item("showRedFlag")), "search_nipt": compact_text(own("nipt")),
-        "search_date_from": parse_date(own("data_nga")), "search_date_to": parse_date(own("data_ne")), "raw_fetch_id": own("raw_fetch_id").try_cast("bigint"),
+    """snapshots -> typed registry rows, one per result object. A payload and an item are each parsed once."""
+    own, item = F.col("__own"), F.col("__item")
+    typed = {n: compact_text(item[k]) for n, k in REGISTRY_TEXT.items()} | {
+        "registration_date": parse_date(item["dataERegjistrimit"]), "has_red_flags": parse_flag(item["showRedFlag"]), "search_nipt": compact_text(own["nipt"]),
+        "search_date_from": parse_date(own["data_nga"]), "search_date_to": parse_date(own["data_ne"]), "raw_fetch_id": own["raw_fetch_id"].try_cast("bigint"),
     }
-    return result_items(snapshots, payload).withColumns(typed).withColumnRenamed("item", "source_payload").drop(payload)
+    parsed = snapshots.withColumn("__own", _fields(F.col(payload), "response", "nipt", "data_nga", "data_ne", "raw_fetch_id"))
+    items = _items(parsed).withColumn("__item", _fields(F.col("item"), *REGISTRY_TEXT.values(), "dataERegjistrimit", "showRedFlag"))
+    return items.withColumns(typed).withColumnRenamed("item", "source_payload").drop(payload, "__own", "__item")

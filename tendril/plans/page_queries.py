@@ -29,12 +29,18 @@ def _pages(spark, sf_dir):
 
 _ANCHOR = r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"'']([^\"'']*)[\"''][^>]*>(.*?)</a>"
 _PLAIN = lambda x: f"trim(regexp_replace(regexp_replace({x}, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'))"
-add("a13_b12_links", lambda s, d: pages.links(_pages(s, d)).select("page_id", "pos", "href", "title", "text"), f"""
+#: Anchors of other kinds behind each page's own: without quotes, with a quote of the other kind, with references, with > in a
+#: value, and one in a comment, which doesn't count.
+_MORE = "concat(html, '<a href=/doc', CAST(page_id AS STRING), '.pdf>Doc</a><a data-href=\"x.pdf\" href=\"/it''s.pdf\">A &amp; B</a><a title=\"x > href=y\" HREF = ''/d?a=1&amp;b=', CAST(page_id AS STRING), '.pdf''><b>Q &#235;</b>&eacute;</a><!-- <a href=\"/gone.pdf\">no</a> -->') AS html"
+add("a13_b12_links", lambda s, d: pages.links(_pages(s, d).selectExpr("page_id", "url", _MORE)).select("page_id", "pos", "href", "title", "text"), f"""
 WITH x AS (SELECT page_id, url, regexp_extract_all(html, '{_ANCHOR}', 1) AS h, regexp_extract_all(html, '{_ANCHOR}', 2) AS t FROM pages),
 y AS (SELECT page_id, url, CAST(i - 1 AS BIGINT) AS pos, trim(h[i]) AS raw, {_PLAIN("t[i]")} AS text FROM (SELECT *, unnest(range(1, len(h) + 1)) AS i FROM x)),
 z AS (SELECT *, CASE WHEN regexp_matches(raw, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN raw WHEN starts_with(raw, '/') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) || raw ELSE 'relative' END AS href FROM y WHERE raw <> ''),
 k AS (SELECT *, row_number() OVER (PARTITION BY page_id, href ORDER BY pos) AS nth FROM z WHERE text <> '' OR regexp_matches(href, '(?i)\\.(pdf|docx?|xlsx?)($|\\?)') OR contains(lower(href), 'download'))
-SELECT page_id, pos, href, left(CASE WHEN text <> '' THEN text ELSE regexp_extract(href, '([^/]*)$', 1) END, 500) AS title, left(text, 4000) AS text FROM k WHERE nth = 1""")
+SELECT page_id, pos, href, left(CASE WHEN text <> '' THEN text ELSE regexp_extract(href, '([^/]*)$', 1) END, 500) AS title, left(text, 4000) AS text FROM k WHERE nth = 1
+UNION ALL SELECT page_id, pos + len(regexp_extract_all(html, '{_ANCHOR}', 0)), regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) || CASE pos WHEN 0 THEN '/doc' || page_id || '.pdf' WHEN 1 THEN '/it''s.pdf' ELSE '/d?a=1&b=' || page_id || '.pdf' END, title, title
+FROM pages, (VALUES (0, 'Doc'), (1, 'A & B'), (2, 'Q ë é')) AS m(pos, title) WHERE html IS NOT NULL""",
+)
 
 _MARKED = "concat(html, CASE page_id % 3 WHEN 0 THEN concat('<a data-doc=\"simple\"></a><a data-doc=\" historical \"></a><a data-doc=\"simple\"></a><script>fetchAndDisplayPDF (1); fullUrl = \"https://x/', CAST(page_id AS STRING), '\"; fullUrl = \" \";</script>') WHEN 1 THEN '<script>downloadButtonPress()</script>' ELSE '' END) AS html"
 add("a15_e06_action_evidence", lambda s, d: pages.action_evidence(_pages(s, d).selectExpr("page_id", _MARKED)), f"""

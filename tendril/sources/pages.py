@@ -10,11 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tendril.functions.text import absolute_url, embedded_date, strip
+from tendril.functions.text import absolute_url, embedded_date, strip, unescaped
 
 TITLE, TEXT = 500, 4000
 # Patterns of links, assignments and contracts.
-ANCHOR = r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
+QUOTED = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"  # inside of a tag: quoted values may hold >
+ANCHOR = rf"(?is)<a(?=\s)({QUOTED})>(.*?)(?=</a\s*>|<a[\s>]|\Z)"
+ATTRIBUTE = r"([^\s=/>\"']+)\s*=\s*(\"[^\"]*+\"|'[^']*+'|[^\s>\"']+)"
+TAG = rf"<{QUOTED}>|<[^>]*>"
+UNSEEN = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
 DOCUMENT_LINK = r"(?i)\.(pdf|docx?|xlsx?)($|\?)"
 DATA_DOC = r"(?i)data-doc\s*=\s*[\"']([^\"']*)[\"']"
 FULL_URL = r"\bfullUrl\s*=\s*(?:'([^']*)'|\"([^\"]*)\")"
@@ -25,13 +29,24 @@ DOWNLOAD_HINT = "GetData/ExportDocument?year="
 
 
 def plain_text(markup: Column) -> Column:
-    """Text of a piece of markup: tags dropped, white space squeezed."""
-    return strip(F.regexp_replace(F.regexp_replace(markup, "<[^>]*>", " "), r"\s+", " "))
+    """Text of a piece of markup: tags dropped, character references decoded, white space squeezed."""
+    return strip(F.regexp_replace(unescaped(F.regexp_replace(markup, TAG, " ")), r"(?U)\s+", " "))
+
+
+def attribute(inside: Column, name: str) -> Column:
+    """Value of a tag's first attribute of that name, with or without quotes, references decoded; null if there is none."""
+    pairs = F.arrays_zip(F.regexp_extract_all(inside, F.lit(ATTRIBUTE), F.lit(1)).alias("n"), F.regexp_extract_all(inside, F.lit(ATTRIBUTE), F.lit(2)).alias("v"))
+    raw = F.get(F.filter(pairs, lambda x: F.lower(x["n"]) == name), F.lit(0))["v"]
+    return unescaped(F.when(raw.rlike("^[\"']"), F.substr(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw))
 
 
 def links(pages: DataFrame, documents_only: bool = False) -> DataFrame:
-    """pages (page_id, url, html) -> page_id, pos, href (absolute), title, text, published: the first of each href."""
-    found = pages.select("page_id", "url", F.posexplode(F.arrays_zip(F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(1)).alias("h"), F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(2)).alias("t"))).alias("pos", "x"))
+    """pages (page_id, url, html) -> page_id, pos, href (absolute), title, text, published: the first of each href. An
+    anchor ends where it is closed or the next one begins; those in comments and scripts don't count."""
+    seen = pages.select("page_id", "url", F.regexp_replace("html", UNSEEN, " ").alias("html"))
+    anchors = F.arrays_zip(F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(1)).alias("inside"), F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(2)).alias("t"))
+    read = F.transform(anchors, lambda x: F.struct(attribute(x["inside"], "href").alias("h"), x["t"].alias("t")))
+    found = seen.select("page_id", "url", F.posexplode(F.filter(read, lambda x: x["h"].isNotNull())).alias("pos", "x"))
     own = found.select("page_id", "pos", "url", strip(F.col("x.h")).alias("raw"), plain_text(F.col("x.t")).alias("text")).where("raw <> ''")
     full = own.withColumn("href", absolute_url(F.coalesce("url", F.lit("")), F.col("raw")))
     is_doc = F.col("href").rlike(DOCUMENT_LINK) | F.lower("href").contains("download")
@@ -132,7 +147,8 @@ def facets(pages: DataFrame, fields: list[str]) -> DataFrame:
                 rows += [(page, rank[f], f, k, v, label) for k, (f, v, label) in enumerate(parser.rows)]
             yield pd.DataFrame(rows, columns=["page_id", "rank", "field", "pos", "value", "label"])
 
-    found = pages.select("page_id", "html").mapInPandas(run, "page_id long, rank int, field string, pos int, value string, label string")
+    id_type = pages.schema["page_id"].dataType.simpleString()
+    found = pages.select("page_id", "html").mapInPandas(run, f"page_id {id_type}, rank int, field string, pos int, value string, label string")
     return found.withColumn("nth", F.row_number().over(Window.partitionBy("page_id", "field", "value").orderBy("pos"))).where("nth = 1").drop("nth")
 
 

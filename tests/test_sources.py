@@ -2,6 +2,7 @@
 
 import json
 import shutil
+import unicodedata
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -202,3 +203,33 @@ def test_reports_for_people(spark):
     assert as_json(df, pretty=True).first()[0].splitlines() == ["{", '  "a" : 1,', '  "b" : null', "}"]
     now = materialized(df.union(df)).select("materialized_at").distinct().collect()
     assert len(now) == 1 and now[0][0].tzinfo is None
+
+
+def test_accents_equal_nfkd(spark):
+    chars = [chr(k) for k in range(1, 0x30000) if not 0xD800 <= k < 0xE000]
+    texts = ["".join(chars[k : k + 100]) for k in range(0, len(chars), 100)] + [f"x{c}y" for c in chars[::7]] + ["", "Shoqëri ﬁ 한글 Ǆ…", None]
+    plain = lambda t: "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
+    out = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.strip_accents(F.col("t")).alias("s"))
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    assert [r for r in out.collect() if r.s != (r.t if r.t is None else plain(r.t))] == []
+
+
+def test_character_references(spark):
+    for raw, want in {"a &amp; b": "a & b", "&#235;&#xeb;&#x1F600;": "ëë😀", "&nope; &amp &#0; &#xD800; &": "&nope; &amp &#0; &#xD800; &", "x&eacute;&NotEqualTilde;": "xé≂̸", "&amp;lt;": "&lt;"}.items():
+        assert one(spark, text.unescaped(F.lit(raw))) == want
+
+
+def test_anchors_of_all_kinds(spark):
+    html = """<a href=x.pdf>A</a><a class="k" href="it's.pdf">B</a><a title="a > href='no'" href='/q?a=1&amp;b=2'>C &amp; D</a><!-- <a href="no.pdf">no</a> --><script>"<a href='no'>no</a>"</script>
+    <a data-href="no" href = "y.doc">open<a HREF="z.docx"><i>E</i>F</a><a name="no">no</a><abbr href="no">no</abbr>"""
+    df = spark.createDataFrame([(1, "https://a.al/l/", html), (2, "https://a.al", None)], "page_id int, url string, html string")
+    assert [(r.href, r.text) for r in pages.links(df).orderBy("pos").collect()] == [("https://a.al/l/x.pdf", "A"), ("https://a.al/l/it's.pdf", "B"), ("https://a.al/q?a=1&b=2", "C & D"), ("https://a.al/l/y.doc", "open"), ("https://a.al/l/z.docx", "E F")]
+    assert pages.facets(df.withColumn("page_id", F.lit("p")), ["f"]).schema["page_id"].dataType.simpleString() == "string"
+
+
+def test_payloads_are_parsed_once(spark):
+    df = spark.createDataFrame([(1, json.dumps({"nipt": " K ", "response": [{"nipti": "L", "showRedFlag": True, "qyteti": 3}]}))], "id long, payload string")
+    out = normalize.normalize_registry(df)
+    row = out.first()
+    assert (row.search_nipt, row.business_nipt, row.has_red_flags, row.city) == ("K", "L", True, "3")
+    assert "get_json_object" not in out._jdf.queryExecution().optimizedPlan().toString()
