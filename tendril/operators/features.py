@@ -1,9 +1,10 @@
 """Per-entity features of awards and of registry rows, by column role.
 
-Three aggregations share the entity key: counts and amounts, which stay in a hash aggregate with fixed-width buffers; the
-newest texts; and the facets of a row (authority, procedure, contract, year, snapshot), which are counted by entity, facet
-and value before they meet by entity. So a hot entity's rows are combined before the shuffle, and distinct counts, top
-categories and growth come from those counts rather than from an aggregation or an Expand for each.
+Three steps share the entity key: counts and amounts, which stay in a hash aggregate with fixed-width buffers; the newest
+names, a row per entity and task before the shuffle (a window's group limit); and the facets of a row (authority,
+procedure, contract, year, snapshot), which are counted by entity, facet and value before they meet by entity. So a hot
+entity's rows are combined before the shuffle, and distinct counts, top categories and growth come from those counts
+rather than from an aggregation or an Expand for each.
 """
 
 from __future__ import annotations
@@ -229,14 +230,29 @@ NO_FACETS = {"source_structured_record_ids": F.array, **dict.fromkeys(
 )}
 
 
+def newest_names(own: DataFrame, roles: AwardRoles) -> DataFrame:
+    """company_nipt and latest_winner_name, the newest row's non-blank name (a null in the order counts as oldest), of the
+    entities that have one."""
+    order = [F.col(c) for c in dict.fromkeys((roles.date, *roles.newest))]
+    named = own.select(F.col("entity").alias("company_nipt"), nonblank(F.col(roles.name)).alias("latest_winner_name"), *order).where("latest_winner_name is not null")
+    nth = F.row_number().over(Window.partitionBy("company_nipt").orderBy(*[c.desc_nulls_last() for c in order]))
+    return named.withColumn("__nth", nth).where("__nth = 1").select("company_nipt", "latest_winner_name")
+
+
+def award_columns(roles: AwardRoles) -> list[str]:
+    """The columns of an awards table that its features are made of."""
+    return list(dict.fromkeys((roles.key, roles.name, roles.date, roles.budget, roles.award, roles.cancelled, roles.suspended, roles.authority, roles.procedure, roles.contract, roles.snapshot, *roles.newest)))
+
+
 def award_features(rows: DataFrame, roles: AwardRoles | None = None) -> DataFrame:
-    """All features of an awards table, a row per entity."""
+    """All features of an awards table, a row per entity. The rows are read three times: where they come out of joins,
+    write them (`award_columns`) and hand in what is read back."""
     roles = roles or AwardRoles()
     own = with_entity(rows, roles.key)
     main = award_aggregates(rows, roles, *main_aggregates(roles))
-    names = award_aggregates(rows, roles, "latest_winner_name")
+    names = newest_names(own, roles)
     parts = facet_features(facets(own, roles), own.schema[roles.snapshot].dataType).withColumnRenamed("entity", "company_nipt")
-    joined = main.join(names, "company_nipt").join(parts, "company_nipt", "left")
+    joined = main.join(names, "company_nipt", "left").join(parts, "company_nipt", "left")
     filled = {c: F.coalesce(F.col(c), empty().cast(joined.schema[c].dataType)) for c, empty in NO_FACETS.items()}
     lead = ["company_nipt", "source_row_count", "source_snapshot_count", "source_structured_record_ids", "latest_winner_name"]
     return joined.withColumns(filled).select(*lead, *[c for c in joined.columns if c not in lead])

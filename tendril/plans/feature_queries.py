@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tendril.operators import entity_join, features
 from tendril.operators.trust import trusted
 from tendril.plans import views
+from tendril.sources.scratch import written
 
 ROLES = features.AwardRoles(newest=views.NEWEST)
 REGISTRY_ROLES = features.RegistryRoles(newest=("o_orderkey",))
@@ -163,7 +164,7 @@ add("d17_growth_jumps", lambda s, d: features.jumps(_years(s, d)).withColumnRena
 
 
 def award_features(spark, sf_dir) -> DataFrame:
-    return features.award_features(_trusted_awards(spark, sf_dir), ROLES)
+    return features.award_features(written(_trusted_awards(spark, sf_dir).select(*features.award_columns(ROLES)), "awards"), ROLES)
 
 
 FEATURES_SQL = f"""{KEYED}, {_concentration_sql("contracting_authority", "a")}, {_concentration_sql("procedure_type", "p")}, {GROWTH},

@@ -14,7 +14,8 @@ from tendril.sources.scratch import written
 
 def features_all(awards: DataFrame, registry: DataFrame, raw: DataFrame, roles: features.AwardRoles | None = None, registry_roles: features.RegistryRoles | None = None) -> dict[str, DataFrame]:
     """The three feature tables over trusted rows; the joined one reuses the other two."""
-    own = features.award_features(trusted(awards, raw), roles)
+    roles = roles or features.AwardRoles()
+    own = features.award_features(written(trusted(awards, raw).select(*features.award_columns(roles)), "awards"), roles)
     companies = features.registry_features(trusted(registry, raw), registry_roles)
     return {"app_company_features": own, "qkb_company_features": companies, "joined_company_features": entity_join.joined_features(own, companies)}
 

@@ -56,4 +56,6 @@ def test_plans_stay_in_the_jvm_and_prune(spark):
     text = plan(registry.QUERIES["d05_h34_sums"](spark, DATA))
     assert "Python" not in text and "ReadSchema" in text and "l_comment" not in text
     assert "IsNotNull(l_orderkey)" in text
-    assert "Python" not in plan(registry.QUERIES["i04_award_features"](spark, DATA))
+    features = plan(registry.QUERIES["i04_award_features"](spark, DATA))
+    assert "Python" not in features and "SortAggregate" not in features and features.count("WindowGroupLimit") == 2
+    assert features.count("FileScan") == 3  # awards are derived once
