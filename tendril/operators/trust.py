@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tendril.functions.text import canonical_legal_form, corruption_reason
+from tendril.sources.artifact_files import located
 
 
 def trusted(rows: DataFrame, raw: DataFrame, key: str = "raw_fetch_id") -> DataFrame:
@@ -77,8 +78,19 @@ def file_integrity(manifest: DataFrame, files: DataFrame) -> DataFrame:
     """manifest (id, storage_path, content_hash, is_corrupted, ...) against files (path, digest): issue_type, reason."""
     there = files.select(F.col("path").alias("__path"), F.col("digest").alias("actual_content_hash"))
     joined = manifest.join(there, F.col("storage_path") == F.col("__path"), "left")
-    issue = F.when(F.col("__path").isNull(), "missing_file").when(~F.col("actual_content_hash").eqNullSafe(F.col("content_hash")), "content_hash_mismatch")
-    return joined.withColumn("issue_type", issue).withColumn("reason", corruption_reason(F.col("issue_type"))).drop("__path")
+    return _with_issue(joined, F.col("__path").isNull()).drop("__path")
+
+
+def stored_integrity(manifest: DataFrame, roots: list[str]) -> DataFrame:
+    """The same against the files themselves, which are looked up below the roots (artifact_files.located) and read piece
+    by piece: with resolved_path and file_bytes too. A file without bytes is there."""
+    found = located(manifest, roots).withColumnRenamed("digest", "actual_content_hash")
+    return _with_issue(found, F.col("resolved_path").isNull())
+
+
+def _with_issue(found: DataFrame, missing: Column) -> DataFrame:
+    issue = F.when(missing, "missing_file").when(~F.col("actual_content_hash").eqNullSafe(F.col("content_hash")), "content_hash_mismatch")
+    return found.withColumn("issue_type", issue).withColumn("reason", corruption_reason(F.col("issue_type")))
 
 
 def integrity_issues(checked: DataFrame, corrupted_only: bool = False, limit: int | None = None) -> DataFrame:

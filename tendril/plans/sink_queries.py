@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tendril.operators import buckets, materialize, sinks
+from tendril.operators import buckets, materialize, sinks, trust
 from tendril.plans import page_queries, runners, views
 from tendril.plans.feature_queries import plain
 from tendril.sources import artifact_store, files
@@ -64,6 +64,29 @@ def artifact_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 add("a07_artifact_scan", artifact_scan, "WITH p AS (SELECT page_id, html, sha256(html) AS digest FROM pages WHERE html IS NOT NULL) SELECT page_id, 'web/2024/03/05/page/' || CASE WHEN page_id % 2 = 0 THEN 'page' || (page_id % 10) || '-' || digest ELSE digest END || '.html' AS storage_path, CAST(strlen(html) AS BIGINT) AS file_bytes, digest, false AS was_written FROM p")
 
 
+def artifact_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages in two artifact stores, read back by their manifest: of every five paths one is absolute, one has backslashes
+    and one names no file; some digests are wrong. Even pages lie in the second store."""
+    path = scratch(spark, "stores")
+    own = views.read(spark, sf_dir, "pages").select("page_id", F.lit("web").alias("source_name"), c("url").alias("source_url"), F.lit("page").alias("fetch_kind"), F.lit("text/html").alias("content_type"), F.concat(F.lit("page"), c("page_id").cast("string"), F.lit(".html")).alias("filename"), F.to_timestamp(F.lit("2024-03-05")).alias("fetched_at"), F.when(c("page_id") % 6 == 0, F.lit("")).otherwise(c("html")).cast("binary").alias("content"))
+    roots = [f"{path}/odd", f"{path}/even"]
+    for root, rest in zip(roots, (1, 0), strict=True):
+        artifact_store.store(own.where(c("page_id") % 2 == rest), root).write.parquet(f"{root}-manifest")
+    listed = spark.read.parquet(*[f"{r}-manifest" for r in roots])
+    at = c("page_id") % 5
+    home = F.when(c("page_id") % 2 == 0, F.lit(roots[1])).otherwise(F.lit(roots[0]))
+    named = F.when(at == 0, F.concat_ws("/", home, "storage_path")).when(at == 1, F.replace("storage_path", F.lit("/"), F.lit("\\"))).when(at == 2, F.concat("storage_path", F.lit(".gone"))).otherwise(c("storage_path"))
+    wrong = F.when(c("page_id") % 7 == 0, F.lit("0")).otherwise(c("content_hash"))
+    checked = trust.stored_integrity(listed.select(c("page_id").alias("id"), named.alias("storage_path"), wrong.alias("content_hash")), roots)
+    return checked.select("id", F.regexp_extract("resolved_path", "/(odd|even)/", 1).alias("store"), "file_bytes", c("actual_content_hash").alias("digest"), "issue_type", "reason")
+
+
+add("a07_c06_stored_integrity", artifact_check, """WITH p AS (SELECT page_id AS id, CASE WHEN page_id % 6 = 0 THEN '' ELSE html END AS html, page_id % 5 = 2 AS gone FROM pages),
+q AS (SELECT id, CASE WHEN NOT gone THEN CASE WHEN id % 2 = 0 THEN 'even' ELSE 'odd' END END AS store, CASE WHEN NOT gone THEN CAST(strlen(html) AS BIGINT) END AS file_bytes, CASE WHEN NOT gone THEN sha256(html) END AS digest,
+  CASE WHEN gone THEN 'missing_file' WHEN id % 7 = 0 THEN 'content_hash_mismatch' END AS issue_type FROM p WHERE html IS NOT NULL)
+SELECT *, CASE issue_type WHEN 'missing_file' THEN 'missing file' WHEN 'content_hash_mismatch' THEN 'content_hash mismatch' END AS reason FROM q""")
+
+
 def snapshot_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "rows")
     rows = views.awards(spark, sf_dir).select("structured_record_id", "l_orderkey", "l_linenumber", c("budget_limit_amount").alias("v"))

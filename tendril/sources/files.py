@@ -2,17 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tendril.functions.text import extension, storage_name, storage_partition
 from tendril.sources import csv_ranges
+from tendril.sources.artifact_files import opened, sha256_of
 
 
 def artifacts(spark: SparkSession, folder: str) -> DataFrame:
-    """path, length, modified and digest of every file below a folder; Spark's reader passes over files without bytes."""
+    """path, length, modified and digest of every file below a folder. Files are dealt out by their sizes and read piece by
+    piece, so they may be of any size; Spark's listing passes over files without bytes (artifact_files.located doesn't)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    return files.select("path", "length", F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("digest"), "content")
+    listed = files.select("path", "length", F.col("modificationTime").alias("modified"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = [sha256_of(*opened(p))[1] for p in batch.column("path").to_pylist()]
+            yield batch.append_column("digest", pa.array(digests, pa.string()))
+
+    return listed.mapInArrow(run, "path string, length long, modified timestamp, digest string")
 
 
 def manifest(fetches: DataFrame) -> DataFrame:

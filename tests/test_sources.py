@@ -178,6 +178,33 @@ def test_artifacts_are_written_once(spark, tmp_path):
     assert [r.storage_path for r in first if not r.stored_bytes and (tmp_path / "store" / r.storage_path).exists()]
 
 
+def test_artifacts_of_any_size(spark, tmp_path):
+    """A file beyond two gigabytes, which no row could hold, one without bytes, and names that a URI would escape."""
+    import hashlib
+
+    size = 2_200_000_000
+    first, second = tmp_path / "first", tmp_path / "second"
+    first.mkdir(), second.mkdir()
+    with open(second / "big.bin", "wb") as f:
+        f.truncate(size)
+    (first / "empty").write_bytes(b"")
+    (second / "a b%20#ë.txt").write_bytes(b"odd")
+    (first / "both").write_bytes(b"1"), (second / "both").write_bytes(b"2")
+    (first / "folder").mkdir()
+    want = hashlib.sha256()
+    for _ in range(size // 1_100_000):
+        want.update(bytes(1_100_000))
+    of = lambda data: hashlib.sha256(data).hexdigest()
+    rows = [(1, "big.bin", want.hexdigest()), (2, "empty", of(b"")), (3, "a b%20#ë.txt", of(b"odd")), (4, "both", of(b"1")), (5, f"{second}/both", of(b"1")), (6, "folder", "0"), (7, None, "0"), (8, "empty", "0"), (9, f"file://{second}/both", of(b"2"))]
+    manifest = spark.createDataFrame(rows, "id long, storage_path string, content_hash string")
+    got = {r.id: r for r in trust.stored_integrity(manifest, [f"file://{first}", f"file://{second}"]).collect()}
+    assert {k: r.issue_type for k, r in got.items()} == {1: None, 2: None, 3: None, 4: None, 5: "content_hash_mismatch", 6: "missing_file", 7: "missing_file", 8: "content_hash_mismatch", 9: None}
+    assert got[1].file_bytes == size and got[2].file_bytes == 0 and got[2].resolved_path == f"file://{first}/empty"
+    listed = {r.length: r.digest for r in files.artifacts(spark, str(second)).collect()}
+    assert listed == {size: want.hexdigest(), 3: of(b"odd"), 1: of(b"2")}
+    assert trust.stored_integrity(manifest.limit(0), [f"file://{first}"]).count() == 0
+
+
 def test_outcomes_by_raw_artifact(spark):
     raw = spark.createDataFrame([(1, False, None), (2, True, "cut")], "id long, is_corrupted boolean, corruption_reason string")
     payload = lambda ref: json.dumps({"raw_fetch_id": ref, "response": [{"nipti": "A"}]})
