@@ -48,9 +48,24 @@ def day_spine(windows: DataFrame, *keys: str) -> DataFrame:
     return windows.where("date_from <= date_to").select(*keys, F.explode(F.sequence("date_from", "date_to", F.expr("interval 1 day"))).alias("day"))
 
 
+def remaining_spans(windows: DataFrame, covered: DataFrame, *keys: str) -> DataFrame:
+    """The days of the windows that aren't covered, as spans without overlap: keys, date_from, date_to. Windows and covered
+    days are shuffled by key; days are never listed. A null key has its windows, but covers nothing."""
+    own = windows.where("date_from <= date_to").groupBy(*keys, "date_from").agg(F.max("date_to").alias("date_to"))
+    # a window is cut to what begins after all that began before it
+    before = F.max("date_to").over(Window.partitionBy(*keys).orderBy("date_from").rowsBetween(Window.unboundedPreceding, -1))
+    disjoint = own.select(*keys, F.greatest(F.col("date_from"), F.date_add(before, 1)).alias("at"), F.col("date_to").alias("until")).where("at <= until")
+    days = covered.select(*keys, F.col("day").alias("at"), F.lit(None).cast("date").alias("until")).where(" and ".join(f"`{k}` is not null" for k in (*keys, "at")))
+    # in order, with a window before a day at its beginning: what lies between a row and the next, within the last window
+    order = Window.partitionBy(*keys).orderBy("at", F.col("until").desc_nulls_last())
+    end = F.max("until").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    spans = disjoint.union(days).select(*keys, F.when(F.col("until").isNull(), F.date_add("at", 1)).otherwise(F.col("at")).alias("date_from"), F.least(end, F.date_sub(F.lead("at").over(order), 1)).alias("date_to"), end.alias("__end"))
+    return spans.where("__end is not null and date_from <= date_to").drop("__end")
+
+
 def remaining_days(windows: DataFrame, covered: DataFrame, *keys: str) -> DataFrame:
     """Days of the windows that aren't covered."""
-    return day_spine(windows, *keys).distinct().join(covered.select(*keys, "day").distinct(), [*keys, "day"], "left_anti")
+    return day_spine(remaining_spans(windows, covered, *keys), *keys)
 
 
 def run_summary(days: DataFrame, windows: DataFrame, *keys: str, cap: int = CAP) -> DataFrame:

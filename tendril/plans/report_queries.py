@@ -106,7 +106,7 @@ def _order_days(spark, sf_dir):
 
 
 _DAYS = "SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, count(*) AS n, bool_and(o_orderstatus <> 'P') AS ok FROM orders GROUP BY 1, 2"
-add("c07_remaining_days", lambda s, d: coverage.remaining_days(_windows(s, d), _order_days(s, d), "o_custkey").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.min("day").alias("first")),
+add("c07_remaining_days", lambda s, d: coverage.remaining_spans(_windows(s, d), _order_days(s, d), "o_custkey").groupBy("o_custkey").agg(F.sum(F.datediff("date_to", "date_from") + 1).alias("n"), F.min("date_from").alias("first")),
     f"WITH w AS ({_WINDOWS}), p AS (SELECT o_custkey, CAST(unnest(generate_series(date_from, date_to, INTERVAL 1 DAY)) AS DATE) AS day FROM w) SELECT o_custkey, count(*) AS n, min(day) AS first FROM p WHERE (o_custkey, day) NOT IN (SELECT (o_custkey, day) FROM ({_DAYS})) GROUP BY 1")
 add("d31_run_summary", lambda s, d: coverage.run_summary(_order_days(s, d), _windows(s, d), "o_custkey", cap=2), f"""WITH w AS ({_WINDOWS}), d AS ({_DAYS}) SELECT o_custkey, CAST(any_value(date_to - date_from) + 1 AS BIGINT) AS days_requested, count(*) FILTER (WHERE ok) AS days_completed, count(*) FILTER (WHERE NOT ok) AS days_failed,
  count(*) FILTER (WHERE ok AND n = 2) AS days_truncated, CAST(sum(CASE WHEN ok THEN n ELSE 0 END) AS BIGINT) AS rows, CAST(any_value(date_to - date_from) + 1 - count(*) FILTER (WHERE ok) AS BIGINT) AS days_remaining FROM w JOIN d USING (o_custkey) GROUP BY 1""")
