@@ -1,10 +1,12 @@
 """Per-entity features of awards and of registry rows, by column role.
 
-Three steps share the entity key: counts and amounts, which stay in a hash aggregate with fixed-width buffers; the newest
-names, a row per entity and task before the shuffle (a window's group limit); and the facets of a row (authority,
-procedure, contract, year, snapshot), which are counted by entity, facet and value before they meet by entity. So a hot
-entity's rows are combined before the shuffle, and distinct counts, top categories and growth come from those counts
-rather than from an aggregation or an Expand for each.
+Three steps share the entity key: counts and amounts, in a hash aggregate; the newest names, a row per entity and task
+before the shuffle (a window's group limit); and the facets of a row (authority, procedure, contract, year, snapshot),
+which are counted by entity, facet and value, so that distinct counts, top categories and growth come from those counts
+rather than from an aggregation or an Expand for each. For the first and the last, rows are shuffled by entity as they are,
+each with the columns it needs: a row is narrower than the buffers of the aggregates or than its five facets, and most
+entities have too few rows in a task for those to be combined before the shuffle. A hot entity's rows pass through one task
+in a stream; what is held is its buffers and its values' counts.
 """
 
 from __future__ import annotations
@@ -60,6 +62,11 @@ def with_entity(rows: DataFrame, key: str) -> DataFrame:
     return rows.where((F.col(key).isNotNull()) & (F.col(key) != "")).withColumn("entity", F.upper(strip(F.col(key))))
 
 
+def by_entity(own: DataFrame) -> DataFrame:
+    """Rows dealt out by entity, before they are aggregated."""
+    return own.repartition("entity")
+
+
 def skipped_rows(rows: DataFrame, key: str) -> DataFrame:
     """How many rows have no key."""
     return rows.agg(F.count_if(F.col(key).isNull() | (F.col(key) == "")).alias("groups_skipped"), F.count(F.lit(1)).alias("source_rows_seen"))
@@ -182,7 +189,7 @@ def text_aggregates(roles: AwardRoles) -> dict[str, Column]:
 def award_aggregates(rows: DataFrame, roles: AwardRoles, *names: str) -> DataFrame:
     """company_nipt and the named aggregates."""
     every = main_aggregates(roles) | text_aggregates(roles)
-    return with_entity(rows, roles.key).groupBy(F.col("entity").alias("company_nipt")).agg(*[every[n].alias(n) for n in names])
+    return by_entity(with_entity(rows, roles.key)).groupBy(F.col("entity").alias("company_nipt")).agg(*[every[n].alias(n) for n in names])
 
 
 def facets(own: DataFrame, roles: AwardRoles) -> DataFrame:
@@ -191,7 +198,8 @@ def facets(own: DataFrame, roles: AwardRoles) -> DataFrame:
     values = {"a": nonblank(F.col(roles.authority)), "p": nonblank(F.col(roles.procedure)), "c": nonblank(F.col(roles.contract)), "y": F.year(F.col(roles.date)).cast("string"), "s": F.col(roles.snapshot).cast("string")}
     pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("facet"), v.alias("value")) for k, v in values.items()]))
     amount = F.when(F.col("x.facet") == "y", F.coalesce(F.col(roles.award), F.lit(0).cast(MONEY)))
-    rows = own.select("entity", roles.award, pairs.alias("x")).where("x.value is not null").select("entity", "x.facet", "x.value", amount.alias("amount"))
+    needed = list(dict.fromkeys(("entity", roles.award, roles.authority, roles.procedure, roles.contract, roles.date, roles.snapshot)))
+    rows = by_entity(own.select(*needed)).select("entity", roles.award, pairs.alias("x")).where("x.value is not null").select("entity", "x.facet", "x.value", amount.alias("amount"))
     return rows.groupBy("entity", "facet", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
 
 

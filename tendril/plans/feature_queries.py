@@ -41,7 +41,7 @@ def add(name: str, build: Callable, sql: str | None = None) -> None:
 
 
 def _trusted_awards(spark, sf_dir) -> DataFrame:
-    return trusted(views.awards(spark, sf_dir), views.raw_fetches(spark, sf_dir))
+    return views.trusted_awards(spark, sf_dir)
 
 
 KEYED = f"""awards AS ({views.AWARDS_SQL}), raw AS ({views.RAW_SQL}),

@@ -22,3 +22,9 @@ def test_remaining_days_go_by_spans(spark):
     found = [(r.k, r.day) for r in coverage.remaining_days(windows, covered, "k").collect()]
     assert len(found) == len(left) and set(found) == left
     assert "Generate" not in plan(registry.QUERIES["c07_remaining_days"](spark, DATA))
+
+
+def test_awards_are_shuffled_as_rows(spark):
+    assert plan(registry.QUERIES["i04_award_features"](spark, DATA)).count("REPARTITION_BY_COL") == 2
+    sums = plan(registry.QUERIES["d05_h34_sums"](spark, DATA)).splitlines()
+    assert not [x for x in sums if "Exchange hashpartitioning(company_nipt" in x]  # rows are shuffled, not buffers
