@@ -252,17 +252,21 @@ def award_columns(roles: AwardRoles) -> list[str]:
     return list(dict.fromkeys((roles.key, roles.name, roles.date, roles.budget, roles.award, roles.cancelled, roles.suspended, roles.authority, roles.procedure, roles.contract, roles.snapshot, *roles.newest)))
 
 
-def award_features(rows: DataFrame, roles: AwardRoles | None = None) -> DataFrame:
-    """All features of an awards table, a row per entity. The rows are read three times: where they come out of joins,
-    write them (`award_columns`) and hand in what is read back."""
+def entities(rows: DataFrame, key: str) -> DataFrame:
+    """company_nipt of every entity that has rows, as the feature tables have it."""
+    return with_entity(rows, key).select(F.col("entity").alias("company_nipt")).distinct()
+
+
+def award_features(rows: DataFrame, roles: AwardRoles | None = None, names: bool = True) -> DataFrame:
+    """All features of an awards table, a row per entity; without latest_winner_name, if that isn't asked for. The rows are
+    read three times: where they come out of joins, write them (`award_columns`) and hand in what is read back."""
     roles = roles or AwardRoles()
     own = with_entity(rows, roles.key)
     main = award_aggregates(rows, roles, *main_aggregates(roles))
-    names = newest_names(own, roles)
     parts = facet_features(facets(own, roles), own.schema[roles.snapshot].dataType).withColumnRenamed("entity", "company_nipt")
-    joined = main.join(names, "company_nipt", "left").join(parts, "company_nipt", "left")
+    joined = (main.join(newest_names(own, roles), "company_nipt", "left") if names else main).join(parts, "company_nipt", "left")
     filled = {c: F.coalesce(F.col(c), empty().cast(joined.schema[c].dataType)) for c, empty in NO_FACETS.items()}
-    lead = ["company_nipt", "source_row_count", "source_snapshot_count", "source_structured_record_ids", "latest_winner_name"]
+    lead = ["company_nipt", "source_row_count", "source_snapshot_count", "source_structured_record_ids", *(["latest_winner_name"] if names else [])]
     return joined.withColumns(filled).select(*lead, *[c for c in joined.columns if c not in lead])
 
 

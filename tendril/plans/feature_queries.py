@@ -163,8 +163,12 @@ add("e03_consecutive_growth", lambda s, d: features.growth(_years(s, d)).select(
 add("d17_growth_jumps", lambda s, d: features.jumps(_years(s, d)).withColumnRenamed("entity", "company_nipt"), f"WITH {KEYED}, {GROWTH} SELECT * FROM j")
 
 
-def award_features(spark, sf_dir) -> DataFrame:
-    return features.award_features(written(_trusted_awards(spark, sf_dir).select(*features.award_columns(ROLES)), "awards"), ROLES)
+def award_features(spark, sf_dir, names: bool = True) -> DataFrame:
+    """`names`: whether latest_winner_name is among them."""
+    roles = ROLES if names else features.AwardRoles(newest=())
+    left = [] if names else [roles.name]
+    rows = _trusted_awards(spark, sf_dir).select(*[c for c in features.award_columns(roles) if c not in left])
+    return features.award_features(written(rows, "awards"), roles, names)
 
 
 FEATURES_SQL = f"""{KEYED}, {_concentration_sql("contracting_authority", "a")}, {_concentration_sql("procedure_type", "p")}, {GROWTH},
@@ -179,8 +183,12 @@ add("i04_award_features", award_features, f"WITH {FEATURES_SQL} SELECT * FROM fe
 add("b05_skipped_rows", lambda s, d: features.skipped_rows(_trusted_awards(s, d), ROLES.key), f"WITH {KEYED} SELECT count(*) FILTER (WHERE winner_nipt IS NULL OR winner_nipt = '') AS groups_skipped, count(*) AS source_rows_seen FROM ok")
 
 
+def trusted_registry(spark, sf_dir) -> DataFrame:
+    return trusted(views.registry(spark, sf_dir), views.raw_fetches(spark, sf_dir))
+
+
 def registry_features(spark, sf_dir) -> DataFrame:
-    return features.registry_features(trusted(views.registry(spark, sf_dir), views.raw_fetches(spark, sf_dir)), REGISTRY_ROLES)
+    return features.registry_features(trusted_registry(spark, sf_dir), REGISTRY_ROLES)
 
 
 _ORDER = "coalesce(strftime(search_date_to, '%Y%m%d'), '0') || '-' || lpad(CAST(o_orderkey AS STRING), 12, '0')"
@@ -197,7 +205,7 @@ add("e02_d15_registry_features", registry_features, f"WITH raw AS ({views.RAW_SQ
 
 
 def joined_features(spark, sf_dir) -> DataFrame:
-    return entity_join.joined_features(award_features(spark, sf_dir), registry_features(spark, sf_dir))
+    return entity_join.joined_features(award_features(spark, sf_dir, names=False), registry_features(spark, sf_dir))
 
 
 _DROPPED = ", ".join(entity_join.LEFT_OUT)
@@ -206,7 +214,7 @@ JOINED_SQL = f"""joined AS (SELECT f.* EXCLUDE ({_DROPPED}, source_snapshot_coun
   f.source_row_count AS app_source_row_count, true AS exact_join_match, CAST(f.first_procurement_date - r.registration_date AS BIGINT) AS company_age_days_at_first_procurement, CAST(f.last_procurement_date - r.registration_date AS BIGINT) AS company_age_days_at_last_procurement
   FROM features f JOIN registry_features r USING (company_nipt) WHERE company_nipt <> '')"""
 add("c02_h20_joined_features", joined_features, f"WITH {FEATURES_SQL}, {REGISTRY_FEATURES_SQL}, {JOINED_SQL} SELECT * FROM joined")
-add("c02_join_skips", lambda s, d: entity_join.join_skips(award_features(s, d), registry_features(s, d)), f"WITH {FEATURES_SQL}, {REGISTRY_FEATURES_SQL} SELECT count(*) AS groups_skipped FROM features WHERE company_nipt NOT IN (SELECT company_nipt FROM registry_features)")
+add("c02_join_skips", lambda s, d: entity_join.join_skips(features.entities(_trusted_awards(s, d), ROLES.key), features.entities(trusted_registry(s, d), REGISTRY_ROLES.key)), f"WITH {FEATURES_SQL}, {REGISTRY_FEATURES_SQL} SELECT count(*) AS groups_skipped FROM features WHERE company_nipt NOT IN (SELECT company_nipt FROM registry_features)")
 
 
 def candidate_pairs(spark, sf_dir) -> DataFrame:

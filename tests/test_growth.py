@@ -28,3 +28,9 @@ def test_awards_are_shuffled_as_rows(spark):
     assert plan(registry.QUERIES["i04_award_features"](spark, DATA)).count("REPARTITION_BY_COL") == 2
     sums = plan(registry.QUERIES["d05_h34_sums"](spark, DATA)).splitlines()
     assert not [x for x in sums if "Exchange hashpartitioning(company_nipt" in x]  # rows are shuffled, not buffers
+
+
+def test_joins_of_entities_read_what_they_need(spark):
+    skips = plan(registry.QUERIES["c02_join_skips"](spark, DATA))
+    assert "Window" not in skips and "Generate" not in skips and "l_extendedprice" not in skips and "o_orderstatus" in skips
+    assert "Window" not in plan(registry.QUERIES["c02_h20_joined_features"](spark, DATA))
