@@ -63,7 +63,8 @@ def change(new: DataFrame, keys: list[str], target: str, merge: Callable[[DataFr
     touched = {r[0] for r in new.select(bucket).distinct().collect()}  # as many as buckets at most
     old = current(spark, target, before=version, only=touched)
     path = f"{target}/data/version={version}"
-    merge(old, new).withColumn(BUCKET, bucket).repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+    # rebalanced, not repartitioned: a large bucket is written by several tasks, small ones share one
+    merge(old, new).withColumn(BUCKET, bucket).hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
     held = {b: v for b, v in held.items() if b not in touched} | dict.fromkeys(_numbers(spark, path, BUCKET), version)
     entries = [(b, v, n) for b, v in held.items()] or [(None, None, n)]
     spark.createDataFrame(entries, "bucket int, version bigint, buckets int").coalesce(1).write.mode("overwrite").parquet(f"{target}/manifest/version={version}")

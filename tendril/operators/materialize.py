@@ -79,7 +79,7 @@ def materialize(judged: DataFrame, rows: DataFrame, target: str, version: int |
         return stored.join(good, KEY, "left_semi").groupBy(KEY).agg(F.count(F.lit(1)).alias(name))
 
     deleted = written(counted(buckets.current(spark, table, before=version), "rows_deleted"), "deleted")  # before they go
-    replace_by_snapshot(rows, table, KEY, good, version)
+    replace_by_snapshot(rows, table, KEY, good, version, all_named=True)
     inserted = counted(buckets.current(spark, table), "rows_inserted")
     both = marks.withColumnRenamed("id", KEY).join(deleted, KEY, "left").join(inserted, KEY, "left").fillna(0, ["rows_deleted", "rows_inserted"])
     replace_all(both, f"{target}/outcomes/version={version}")

@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 from tendril.operators import buckets
 
 
-def replace_by_snapshot(rows: DataFrame, path: str, key: str = "structured_record_id", snapshots: DataFrame | None = None, version: int | None = None) -> None:
+def replace_by_snapshot(rows: DataFrame, path: str, key: str = "structured_record_id", snapshots: DataFrame | None = None, version: int | None = None, all_named: bool = False) -> None:
     """Replaces the rows of each snapshot that `rows` has, and of each of `snapshots` (a column named as the key), which
-    may have none any more; others stay. Snapshots lie in hash buckets, as many files whatever their number; read them
-    by buckets.current."""
+    may have none any more; others stay. With all_named, `snapshots` has every snapshot of `rows` too, and rows are worked
+    out once. Snapshots lie in hash buckets, as many folders whatever their number; read them by buckets.current."""
 
     def merge(old: DataFrame | None, new: DataFrame) -> DataFrame:
         return rows if old is None else old.select(*rows.columns).join(new.select(key).distinct(), key, "left_anti").select(*rows.columns).union(rows)
 
     ids = rows.select(key)
+    if all_named and snapshots is not None:
+        ids = snapshots.select(key)
+        return buckets.change(ids, [key], path, merge, version)
     buckets.change(ids if snapshots is None else ids.union(snapshots.select(key)), [key], path, merge, version)
 
 

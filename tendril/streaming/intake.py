@@ -52,8 +52,10 @@ def normalized_intake(stream: DataFrame, target: str, checkpoint: str, raw: Data
         judged = snapshot_outcomes(batch, raw).persist()
         rows = normalize_registry(judged.where("outcome = 'ok'").drop("outcome", "reason")).withColumnRenamed("id", "structured_record_id")
         good = judged.where("outcome IN ('ok', 'empty')").select(F.col("id").alias("structured_record_id"))
-        replace_by_snapshot(rows, f"{target}/rows", snapshots=good, version=number)
-        counts = rows.groupBy(F.col("structured_record_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+        replace_by_snapshot(rows, f"{target}/rows", snapshots=good, version=number, all_named=True)
+        put_now = buckets.current(batch.sparkSession, f"{target}/rows")
+        fresh = judged.where("outcome = 'ok'").select(F.col("id").alias("structured_record_id"))
+        counts = judged.limit(0).select("id", F.lit(0).cast("long").alias("n")) if put_now is None else put_now.join(fresh, "structured_record_id", "left_semi").groupBy(F.col("structured_record_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
         found = judged.join(counts, "id", "left").select("id", "source_name", "external_key", "fetched_at", "outcome", "reason", F.coalesce("n", F.lit(0)).alias("rows_inserted"))
         replace_all(found, f"{target}/outcomes/batch={number}")
         judged.unpersist()

@@ -2,7 +2,9 @@
 
 from datetime import date, timedelta
 
-from tendril.operators import coverage
+from pyspark.sql import functions as F
+
+from tendril.operators import buckets, coverage, sinks
 from tendril.plans import registry
 
 DATA = "/root/testdata/sf0.001"
@@ -34,3 +36,31 @@ def test_joins_of_entities_read_what_they_need(spark):
     skips = plan(registry.QUERIES["c02_join_skips"](spark, DATA))
     assert "Window" not in skips and "Generate" not in skips and "l_extendedprice" not in skips and "o_orderstatus" in skips
     assert "Window" not in plan(registry.QUERIES["c02_h20_joined_features"](spark, DATA))
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor")}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        rows = spark.range(200_000, numPartitions=8).selectExpr("CAST(3 AS BIGINT) AS structured_record_id", "sha2(CAST(id AS STRING), 256) AS v")
+        sinks.replace_by_snapshot(rows, str(tmp_path / "t"))
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert len(list((tmp_path / "t").glob("data/version=0/*/*.parquet"))) > 1
+    assert buckets.current(spark, str(tmp_path / "t")).count() == 200_000
+
+
+def test_rows_are_worked_out_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(parts):
+        for part in parts:
+            seen.add(part.num_rows)
+            yield part
+
+    rows = spark.range(50).selectExpr("id % 5 AS structured_record_id", "id AS v").mapInArrow(count, "structured_record_id bigint, v bigint")
+    named = spark.range(6).select(F.col("id").alias("structured_record_id"))
+    for version in (0, 1):
+        sinks.replace_by_snapshot(rows, str(tmp_path / "t"), snapshots=named, version=version, all_named=True)
+    assert seen.value == 100 and buckets.current(spark, str(tmp_path / "t")).count() == 50
