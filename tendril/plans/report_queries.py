@@ -176,9 +176,17 @@ r AS (SELECT dataset, max(present_count + missing_count) AS row_count, coalesce(
 SELECT *, CASE WHEN row_count = 0 THEN 'blocked' WHEN safe_coverage >= 0.75 THEN 'usable_now' ELSE 'usable_with_caution' END AS status FROM r""")
 
 
-def readiness_metrics(spark, sf_dir):
-    """One row of numbers, whatever is empty: each table's aggregate is a row of its own, and the rows are folded."""
-    a, r = views.awards(spark, sf_dir), views.registry(spark, sf_dir)
+def _profiled(spark, sf_dir):
+    """The columns of awards and registry that reports read, written once, as each report reads them several times."""
+    a = views.awards(spark, sf_dir).select("winner_nipt", "publication_date", "raw_fetch_id")
+    r = views.registry(spark, sf_dir).select("business_nipt", "legal_form", "registration_date", "raw_fetch_id")
+    return written(a, "profiled-awards"), written(r, "profiled-registry")
+
+
+def readiness_metrics(spark, sf_dir, tables=None):
+    """One row of numbers, whatever is empty: each table's aggregate is a row of its own, and the rows are folded. `tables`:
+    awards and registry, where they are at hand."""
+    a, r = tables or (views.awards(spark, sf_dir), views.registry(spark, sf_dir))
     keyed = lambda df, key: features.with_entity(df, key).select("entity").distinct()
     award_keys = keyed(trust.trusted(a, _raw(spark, sf_dir)), "winner_nipt").withColumn("side", F.lit(1))
     registry_keys = keyed(trust.trusted(r, _raw(spark, sf_dir)), "business_nipt").withColumn("side", F.lit(2))
@@ -236,10 +244,11 @@ v(level, pair) AS (VALUES {", ".join(f"({_quoted(level)}, {_quoted(pair)})" for
 SELECT v.level, pair, coalesce(n, 0) AS n, n IS NOT NULL AND v.level = 'safe' AS joins FROM v LEFT JOIN k ON v.level = k.level""")
 
 
-def _normalized_profile(spark, sf_dir):
+def _normalized_profile(spark, sf_dir, tables=None):
     from tendril.plans.runners import normalized_profile
 
-    return normalized_profile({"awards": (views.awards(spark, sf_dir), "winner_nipt", ["winner_nipt", "publication_date"]), "registry": (views.registry(spark, sf_dir), "business_nipt", ["legal_form", "registration_date"])})
+    a, r = tables or (views.awards(spark, sf_dir), views.registry(spark, sf_dir))
+    return normalized_profile({"awards": (a, "winner_nipt", ["winner_nipt", "publication_date"]), "registry": (r, "business_nipt", ["legal_form", "registration_date"])})
 
 
 def _unpivot(section: str, dataset: str, field: str, source: str, metrics: str) -> str:
@@ -265,7 +274,8 @@ UNION ALL {_unpivot("join_coverage", "both", "'winner_nipt = business_nipt'", "j
 def _all_profiles(spark, sf_dir):
     from tendril.plans.runners import profile_all
 
-    return profile_all(_normalized_profile(spark, sf_dir), written(_profiles(spark, sf_dir), "sparsity"), readiness_metrics(spark, sf_dir))
+    tables = _profiled(spark, sf_dir)
+    return profile_all(_normalized_profile(spark, sf_dir, tables), written(_profiles(spark, sf_dir), "sparsity"), readiness_metrics(spark, sf_dir, tables))
 
 
 _OF = lambda name: f"({SQL[name]})"

@@ -64,3 +64,8 @@ def test_rows_are_worked_out_once(spark, tmp_path):
     for version in (0, 1):
         sinks.replace_by_snapshot(rows, str(tmp_path / "t"), snapshots=named, version=version, all_named=True)
     assert seen.value == 100 and buckets.current(spark, str(tmp_path / "t")).count() == 50
+
+
+def test_all_profiles_join_awards_once(spark):
+    text = plan(registry.QUERIES["i04_profile_all"](spark, DATA))
+    assert "l_orderkey" not in text
