@@ -127,18 +127,33 @@ def jumps(by_year: DataFrame, entity: str = "entity") -> DataFrame:
     )
 
 
-def main_aggregates(roles: AwardRoles) -> dict[str, Column]:
-    """The aggregates with fixed-width buffers over an entity's rows, by feature name."""
+def amount_marks(roles: AwardRoles) -> dict[str, Column]:
+    """What the aggregates ask of a row's budget and award: narrower than these, where the amounts aren't summed."""
+    budget, award = F.col(roles.budget), F.col(roles.award)
+    valid = F.coalesce((budget > 0) & award.isNotNull(), F.lit(False))
+    return {
+        "__valid": valid,
+        "__near": valid & (award * 100 >= budget * NEAR_LOW) & (award <= budget),
+        "__over": valid & (award > budget),
+        "__zero": F.coalesce((budget == 0) & award.isNotNull(), F.lit(False)),
+        "__ratio": F.when(valid, ratio(award, F.when(valid, budget))),
+    }
+
+
+def procedure_marks(roles: AwardRoles) -> dict[str, Column]:
+    """What the aggregates ask of a row's procedure."""
+    kind = F.lower(F.col(roles.procedure))
+    return {"__tickets": F.coalesce(F.lower(strip(F.col(roles.procedure))) == TICKETS, F.lit(False)), "__small": kind.contains(SMALL_VALUE), "__open_local": kind.contains(OPEN_LOCAL)}
+
+
+def main_aggregates(roles: AwardRoles, brought: list[str] | None = None) -> dict[str, Column]:
+    """The aggregates with fixed-width buffers over an entity's rows, by feature name. `brought`: columns of the rows; marks
+    among them are taken as they are."""
     budget, award, date = F.col(roles.budget), F.col(roles.award), F.col(roles.date)
     active, cancelled, suspended = F.col(roles.cancelled).eqNullSafe(False), F.col(roles.cancelled).eqNullSafe(True), F.col(roles.suspended).eqNullSafe(True)
-    valid = F.coalesce((budget > 0) & award.isNotNull(), F.lit(False))
-    near = valid & (award * 100 >= budget * NEAR_LOW) & (award <= budget)
-    over = valid & (award > budget)
-    zero = F.coalesce((budget == 0) & award.isNotNull(), F.lit(False))
-    tickets = F.coalesce(F.lower(strip(F.col(roles.procedure))) == TICKETS, F.lit(False))
-    own = F.when(valid, ratio(award, F.when(valid, budget)))
+    marks = {n: F.col(n) if n in (brought or []) else c for n, c in (amount_marks(roles) | procedure_marks(roles)).items()}
+    valid, near, over, zero, own, tickets, small, open_local = (marks[f"__{m}"] for m in ("valid", "near", "over", "zero", "ratio", "tickets", "small", "open_local"))
     n, n_valid = F.count(F.lit(1)), F.count_if(valid)
-    kind = F.lower(F.col(roles.procedure))
     return {
         "source_row_count": n,
         "first_procurement_date": F.min(date),
@@ -168,8 +183,8 @@ def main_aggregates(roles: AwardRoles) -> dict[str, Column]:
         "purchase_tickets_total_winner_value": subset_sum(award, tickets),
         "zero_budget_with_winner_value_count": F.count_if(zero),
         "zero_budget_with_winner_value_rate": rate(F.count_if(zero), n),
-        "has_small_value_procedures": F.coalesce(F.bool_or(kind.contains(SMALL_VALUE)), F.lit(False)),
-        "has_open_local_procedures": F.coalesce(F.bool_or(kind.contains(OPEN_LOCAL)), F.lit(False)),
+        "has_small_value_procedures": F.coalesce(F.bool_or(small), F.lit(False)),
+        "has_open_local_procedures": F.coalesce(F.bool_or(open_local), F.lit(False)),
         "rows_with_winner_value_count": F.count(award),
         "rows_with_budget_count": F.count(budget),
         "rows_with_valid_ratio_count": n_valid,
@@ -187,8 +202,9 @@ def text_aggregates(roles: AwardRoles) -> dict[str, Column]:
 
 
 def award_aggregates(rows: DataFrame, roles: AwardRoles, *names: str) -> DataFrame:
-    """company_nipt and the named aggregates."""
-    every = main_aggregates(roles) | text_aggregates(roles)
+    """company_nipt and the named aggregates. Rows may bring marks with them (amount_marks, procedure_marks); those that they
+    don't bring are worked out after the shuffle."""
+    every = main_aggregates(roles, rows.columns) | text_aggregates(roles)
     return by_entity(with_entity(rows, roles.key)).groupBy(F.col("entity").alias("company_nipt")).agg(*[every[n].alias(n) for n in names])
 
 

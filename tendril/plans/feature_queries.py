@@ -44,6 +44,11 @@ def _trusted_awards(spark, sf_dir) -> DataFrame:
     return views.trusted_awards(spark, sf_dir)
 
 
+def _marked_awards(spark, sf_dir) -> DataFrame:
+    """The same with the marks of amounts and procedures, so that sums of rows carry these alone."""
+    return views.trusted_awards(spark, sf_dir, features.amount_marks(ROLES), features.procedure_marks(ROLES))
+
+
 KEYED = f"""awards AS ({views.AWARDS_SQL}), raw AS ({views.RAW_SQL}),
 ok AS (SELECT awards.* FROM awards LEFT JOIN raw ON raw_fetch_id = id WHERE raw_fetch_id IS NULL OR is_corrupted IS FALSE),
 k AS (SELECT *, upper(trim(winner_nipt)) AS company_nipt, CAST(budget_limit_amount * 100 AS HUGEINT) AS b, CAST(winner_value_amount * 100 AS HUGEINT) AS a,
@@ -122,7 +127,7 @@ MAIN_QUERIES = {
     "e01_f01_latest_value": ("latest_winner_name",),
 }
 for _name, _parts in MAIN_QUERIES.items():
-    add(_name, lambda spark, sf_dir, parts=_parts: features.award_aggregates(_trusted_awards(spark, sf_dir), ROLES, *parts), _main(*_parts))
+    add(_name, lambda spark, sf_dir, parts=_parts: features.award_aggregates(_marked_awards(spark, sf_dir), ROLES, *parts), _main(*_parts))
 
 
 def _concentration_sql(column: str, p: str) -> str:

@@ -4,8 +4,8 @@ from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
-from tendril.operators import buckets, coverage, sinks
-from tendril.plans import registry
+from tendril.operators import buckets, coverage, sinks, trust
+from tendril.plans import registry, views
 
 DATA = "/root/testdata/sf0.001"
 
@@ -38,6 +38,37 @@ def test_joins_of_entities_read_what_they_need(spark):
     assert "Window" not in plan(registry.QUERIES["c02_h20_joined_features"](spark, DATA))
 
 
+def test_lines_meet_order_and_artifact_in_one_join(spark):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(registry.QUERIES["b06_d03_conditional_counts"](spark, DATA))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    *_, last = [x for x in text.splitlines() if "REPARTITION_BY_COL" in x]
+    carried = text[text.index(last) :].splitlines()[1]
+    assert "Project" in carried and "__tickets" in carried and "__zero" in carried
+    assert "budget_limit_amount" not in carried and "procedure_type" not in carried  # marks are shuffled, not what they are made of
+    by_artifact = [x for x in text.splitlines() if "Exchange hashpartitioning(raw_fetch_id" in x]
+    assert len(by_artifact) == 1  # of the lines that name another artifact than their order's
+    assert any("Filter" in x and "NOT (" in x for x in text[text.index(by_artifact[0]) :].splitlines()[1:4])
+
+
+def test_trusted_awards_of_odd_artifacts(spark, tmp_path):
+    """Orders of one number, lines without an artifact, with another's or with none that exists: as the plain joins have it."""
+    for name, rows in {
+        "orders": spark.read.parquet(f"{DATA}/orders.parquet").selectExpr("* except (o_orderkey)", "CASE WHEN o_orderkey % 5 = 0 THEN -(o_orderkey + 1) WHEN o_orderkey % 7 = 0 THEN o_orderkey + 1 ELSE o_orderkey END AS o_orderkey"),
+        "lineitem": spark.read.parquet(f"{DATA}/lineitem.parquet").selectExpr("* except (l_orderkey, l_suppkey)", "CASE WHEN l_linenumber = 6 THEN NULL ELSE l_orderkey END AS l_orderkey", "l_partkey % 25 AS l_suppkey"),
+        "part": spark.read.parquet(f"{DATA}/part.parquet"),
+    }.items():
+        rows.write.parquet(str(tmp_path / f"{name}.parquet"))
+    there = str(tmp_path)
+    plain = trust.trusted(views.awards(spark, there), views.raw_fetches(spark, there))
+    own = views.trusted_awards(spark, there)
+    assert own.columns == plain.columns and own.where("raw_fetch_id is null").count() and own.where("raw_fetch_id < 0").count()
+    assert own.count() == plain.count() and own.exceptAll(plain).isEmpty() and plain.exceptAll(own).isEmpty()
+
+
 def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
     kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor")}
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
