@@ -191,20 +191,15 @@ def main_aggregates(roles: AwardRoles, brought: list[str] | None = None) -> dict
     }
 
 
-def text_aggregates(roles: AwardRoles) -> dict[str, Column]:
-    """Those that need a list or a text as buffer; apart, so that the others needn't be sorted."""
-    newest = [F.col(c) for c in (roles.date, *roles.newest)]
-    return {
-        "source_snapshot_count": F.size(F.collect_set(roles.snapshot)).cast("long"),
-        "source_structured_record_ids": F.sort_array(F.collect_set(roles.snapshot)),
-        "latest_winner_name": latest(F.col(roles.name), *newest),
-    }
+def snapshot_aggregates(roles: AwardRoles) -> dict[str, Column]:
+    """Those that need a list as buffer; apart, so that the others needn't be sorted."""
+    return {"source_snapshot_count": F.size(F.collect_set(roles.snapshot)).cast("long"), "source_structured_record_ids": F.sort_array(F.collect_set(roles.snapshot))}
 
 
 def award_aggregates(rows: DataFrame, roles: AwardRoles, *names: str) -> DataFrame:
     """company_nipt and the named aggregates. Rows may bring marks with them (amount_marks, procedure_marks); those that they
     don't bring are worked out after the shuffle."""
-    every = main_aggregates(roles, rows.columns) | text_aggregates(roles)
+    every = main_aggregates(roles, rows.columns) | snapshot_aggregates(roles)
     return by_entity(with_entity(rows, roles.key)).groupBy(F.col("entity").alias("company_nipt")).agg(*[every[n].alias(n) for n in names])
 
 
@@ -255,11 +250,11 @@ NO_FACETS = {"source_structured_record_ids": F.array, **dict.fromkeys(
 
 
 def newest_names(own: DataFrame, roles: AwardRoles) -> DataFrame:
-    """company_nipt and latest_winner_name, the newest row's non-blank name (a null in the order counts as oldest), of the
-    entities that have one."""
+    """company_nipt and latest_winner_name, the newest row's non-blank name (a null in the order counts as oldest), null of
+    entities that have none. A task hands on one row of an entity."""
     order = [F.col(c) for c in dict.fromkeys((roles.date, *roles.newest))]
-    named = own.select(F.col("entity").alias("company_nipt"), nonblank(F.col(roles.name)).alias("latest_winner_name"), *order).where("latest_winner_name is not null")
-    nth = F.row_number().over(Window.partitionBy("company_nipt").orderBy(*[c.desc_nulls_last() for c in order]))
+    named = own.select(F.col("entity").alias("company_nipt"), nonblank(F.col(roles.name)).alias("latest_winner_name"), *order)
+    nth = F.row_number().over(Window.partitionBy("company_nipt").orderBy(F.col("latest_winner_name").isNull(), *[c.desc_nulls_last() for c in order]))
     return named.withColumn("__nth", nth).where("__nth = 1").select("company_nipt", "latest_winner_name")
 
 

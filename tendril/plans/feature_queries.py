@@ -124,10 +124,10 @@ MAIN_QUERIES = {
     "b09_d08_budget_proximity": ("near_budget_limit_count", "near_budget_limit_rate", "winner_value_gt_budget_count", "winner_value_gt_budget_rate"),
     "d09_support_counts": ("rows_with_winner_value_count", "rows_with_budget_count", "rows_with_valid_ratio_count"),
     "d13_h21_dates": ("first_procurement_date", "last_procurement_date", "first_procurement_year", "last_procurement_year", "active_year_span"),
-    "e01_f01_latest_value": ("latest_winner_name",),
 }
 for _name, _parts in MAIN_QUERIES.items():
     add(_name, lambda spark, sf_dir, parts=_parts: features.award_aggregates(_marked_awards(spark, sf_dir), ROLES, *parts), _main(*_parts))
+add("e01_f01_latest_value", lambda s, d: features.newest_names(features.with_entity(_trusted_awards(s, d), ROLES.key), ROLES), _main("latest_winner_name"))
 
 
 def _concentration_sql(column: str, p: str) -> str:

@@ -4,7 +4,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
-from tendril.operators import buckets, coverage, sinks, trust
+from tendril.operators import buckets, coverage, features, sinks, trust
 from tendril.plans import registry, views
 
 DATA = "/root/testdata/sf0.001"
@@ -69,6 +69,15 @@ def test_trusted_awards_of_odd_artifacts(spark, tmp_path):
     assert own.count() == plain.count() and own.exceptAll(plain).isEmpty() and plain.exceptAll(own).isEmpty()
 
 
+def test_a_task_hands_on_one_name_of_an_entity(spark):
+    text = plan(registry.QUERIES["e01_f01_latest_value"](spark, DATA))
+    assert "WindowGroupLimit" in text and "SortAggregate" not in text
+    rows = [("a", "old", 1, 1), ("A ", " new ", 2, 1), ("a", " ", 3, 1), ("a", None, 4, 1), ("a", "undated", None, 9), ("b", " ", 1, 1), ("b", None, None, None), (None, "x", 1, 1), (" ", "blank key", None, None)]
+    roles = features.AwardRoles(key="k", name="name", date="day", newest=("n",))
+    own = features.with_entity(spark.createDataFrame(rows, "k string, name string, day int, n int").repartition(3), "k")
+    assert {tuple(r) for r in features.newest_names(own, roles).collect()} == {("A", "new"), ("B", None), ("", "blank key")}
+
+
 def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
     kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor")}
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
