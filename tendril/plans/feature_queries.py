@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tendril.operators import entity_join, features
-from tendril.operators.trust import trusted
 from tendril.plans import views
 from tendril.sources.scratch import written
 
@@ -172,7 +171,8 @@ def award_features(spark, sf_dir, names: bool = True) -> DataFrame:
     """`names`: whether latest_winner_name is among them."""
     roles = ROLES if names else features.AwardRoles(newest=())
     left = [] if names else [roles.name]
-    rows = _trusted_awards(spark, sf_dir).select(*[c for c in features.award_columns(roles) if c not in left])
+    marks = features.procedure_marks(roles)
+    rows = views.trusted_awards(spark, sf_dir, of_parts=marks).select(*[c for c in features.award_columns(roles) if c not in left], *marks)
     return features.award_features(written(rows, "awards"), roles, names)
 
 
@@ -189,7 +189,7 @@ add("b05_skipped_rows", lambda s, d: features.skipped_rows(_trusted_awards(s, d)
 
 
 def trusted_registry(spark, sf_dir) -> DataFrame:
-    return trusted(views.registry(spark, sf_dir), views.raw_fetches(spark, sf_dir))
+    return views.trusted_registry(spark, sf_dir)
 
 
 def registry_features(spark, sf_dir) -> DataFrame:

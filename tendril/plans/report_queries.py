@@ -145,7 +145,8 @@ add("d22_legal_form_counts", lambda s, d: profile.legal_form_counts(views.regist
 
 def _profiles(spark, sf_dir):
     dictionary = metadata.feature_registry(spark)
-    own, companies = written(fq.award_features(spark, sf_dir), "award-features"), written(fq.registry_features(spark, sf_dir), "registry-features")
+    listed = fq.award_features(spark, sf_dir, names=False).drop("source_snapshot_count", "source_structured_record_ids")  # neither these nor names are in the dictionary
+    own, companies = written(listed, "award-features"), written(fq.registry_features(spark, sf_dir), "registry-features")
     tables = {"app_company_features": own, "qkb_company_features": companies, "joined_company_features": entity_join.joined_features(own, companies)}
     out = None
     for name, df in tables.items():

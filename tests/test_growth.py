@@ -5,7 +5,7 @@ from datetime import date, timedelta
 from pyspark.sql import functions as F
 
 from tendril.operators import buckets, coverage, features, sinks, trust
-from tendril.plans import registry, views
+from tendril.plans import feature_queries, registry, report_queries, views
 
 DATA = "/root/testdata/sf0.001"
 
@@ -69,6 +69,24 @@ def test_trusted_awards_of_odd_artifacts(spark, tmp_path):
     assert own.count() == plain.count() and own.exceptAll(plain).isEmpty() and plain.exceptAll(own).isEmpty()
 
 
+def test_orders_are_judged_before_they_meet_customers(spark):
+    plain = trust.trusted(views.registry(spark, DATA), views.raw_fetches(spark, DATA))
+    own = views.trusted_registry(spark, DATA)
+    assert own.columns == plain.columns and own.count() == plain.count() and own.exceptAll(plain).isEmpty() and plain.exceptAll(own).isEmpty()
+    text = plan(own)
+    assert text.index("c_custkey") < text.index("__raw")  # the plan's top comes first
+
+
+def test_sparsity_reads_what_its_dictionary_lists(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(report_queries, "written", lambda df, what: kept.setdefault(what, df))
+    monkeypatch.setattr(feature_queries, "written", lambda df, what: kept.setdefault(what, df))
+    registry.QUERIES["c08_d24_feature_sparsity"](spark, DATA)
+    assert "Window" not in plan(kept["award-features"]) and "winner_name" not in kept["awards"].columns
+    sums = next(x for x in plan(kept["award-features"]).splitlines() if "HashAggregate(keys=[entity" in x and "budget_limit_amount" in x)
+    assert "__tickets" in sums and "procedure_type" not in sums
+
+
 def test_a_task_hands_on_one_name_of_an_entity(spark):
     text = plan(registry.QUERIES["e01_f01_latest_value"](spark, DATA))
     assert "WindowGroupLimit" in text and "SortAggregate" not in text
