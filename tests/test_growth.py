@@ -2,6 +2,7 @@
 
 from datetime import date, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tendril.operators import buckets, coverage, features, sinks, trust
@@ -77,11 +78,12 @@ def test_orders_are_judged_before_they_meet_customers(spark):
     assert text.index("c_custkey") < text.index("__raw")  # the plan's top comes first
 
 
-def test_sparsity_reads_what_its_dictionary_lists(spark, monkeypatch):
+@pytest.mark.parametrize("name", ["c08_d24_feature_sparsity", "d25_feature_readiness"])
+def test_sparsity_reads_what_its_dictionary_lists(spark, monkeypatch, name):
     kept = {}
     monkeypatch.setattr(report_queries, "written", lambda df, what: kept.setdefault(what, df))
     monkeypatch.setattr(feature_queries, "written", lambda df, what: kept.setdefault(what, df))
-    registry.QUERIES["c08_d24_feature_sparsity"](spark, DATA)
+    registry.QUERIES[name](spark, DATA)
     assert "Window" not in plan(kept["award-features"]) and "winner_name" not in kept["awards"].columns
     sums = next(x for x in plan(kept["award-features"]).splitlines() if "HashAggregate(keys=[entity" in x and "budget_limit_amount" in x)
     assert "__tickets" in sums and "procedure_type" not in sums
