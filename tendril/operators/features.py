@@ -4,7 +4,7 @@ Three steps share the entity key: counts and amounts, in a hash aggregate; the n
 before the shuffle (a window's group limit); and the facets of a row (authority, procedure, contract, year, snapshot),
 which are counted by entity, facet and value, so that distinct counts, top categories and growth come from those counts
 rather than from an aggregation or an Expand for each. For the first and the last, rows are shuffled by entity as they are,
-each with the columns it needs: a row is narrower than the buffers of the aggregates or than its five facets, and most
+once for both (`dealt_once`): a row is narrower than the buffers of the aggregates or than its five facets, and most
 entities have too few rows in a task for those to be combined before the shuffle. A hot entity's rows pass through one task
 in a stream; what is held is its buffers and its values' counts.
 """
@@ -67,6 +67,13 @@ def by_entity(own: DataFrame) -> DataFrame:
     return own.repartition("entity")
 
 
+def dealt_once(own: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows dealt out by entity, for several aggregates of one query: each of them would else have a shuffle of its own
+    columns. The generator asks for all the columns, and the filter, which keeps all rows, is what a join would ask of one of
+    its sides; so the shuffles are equal, and Spark does one and reads it again."""
+    return by_entity(own.where("entity is not null").select("entity", *columns)).select("entity", F.inline(F.array(F.struct(*columns))))
+
+
 def skipped_rows(rows: DataFrame, key: str) -> DataFrame:
     """How many rows have no key."""
     return rows.agg(F.count_if(F.col(key).isNull() | (F.col(key) == "")).alias("groups_skipped"), F.count(F.lit(1)).alias("source_rows_seen"))
@@ -199,18 +206,21 @@ def snapshot_aggregates(roles: AwardRoles) -> dict[str, Column]:
 def award_aggregates(rows: DataFrame, roles: AwardRoles, *names: str) -> DataFrame:
     """company_nipt and the named aggregates. Rows may bring marks with them (amount_marks, procedure_marks); those that they
     don't bring are worked out after the shuffle."""
-    every = main_aggregates(roles, rows.columns) | snapshot_aggregates(roles)
-    return by_entity(with_entity(rows, roles.key)).groupBy(F.col("entity").alias("company_nipt")).agg(*[every[n].alias(n) for n in names])
+    return _aggregated(by_entity(with_entity(rows, roles.key)), roles, *names)
+
+
+def _aggregated(dealt: DataFrame, roles: AwardRoles, *names: str) -> DataFrame:
+    every = main_aggregates(roles, dealt.columns) | snapshot_aggregates(roles)
+    return dealt.groupBy(F.col("entity").alias("company_nipt")).agg(*[every[n].alias(n) for n in names])
 
 
-def facets(own: DataFrame, roles: AwardRoles) -> DataFrame:
-    """Per entity, facet (a, p, c: authority, procedure, contract; y: year; s: snapshot) and value as text: rows n, and
+def facets(dealt: DataFrame, roles: AwardRoles) -> DataFrame:
+    """Of rows dealt out by entity: per entity, facet (a, p, c: authority, procedure, contract; y: year; s: snapshot) and value as text: rows n, and
     awards for years (null awards count as 0). A row without a value isn't counted in that facet."""
     values = {"a": nonblank(F.col(roles.authority)), "p": nonblank(F.col(roles.procedure)), "c": nonblank(F.col(roles.contract)), "y": F.year(F.col(roles.date)).cast("string"), "s": F.col(roles.snapshot).cast("string")}
     pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("facet"), v.alias("value")) for k, v in values.items()]))
     amount = F.when(F.col("x.facet") == "y", F.coalesce(F.col(roles.award), F.lit(0).cast(MONEY)))
-    needed = list(dict.fromkeys(("entity", roles.award, roles.authority, roles.procedure, roles.contract, roles.date, roles.snapshot)))
-    rows = by_entity(own.select(*needed)).select("entity", roles.award, pairs.alias("x")).where("x.value is not null").select("entity", "x.facet", "x.value", amount.alias("amount"))
+    rows = dealt.select("entity", roles.award, pairs.alias("x")).where("x.value is not null").select("entity", "x.facet", "x.value", amount.alias("amount"))
     return rows.groupBy("entity", "facet", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
 
 
@@ -270,11 +280,14 @@ def entities(rows: DataFrame, key: str) -> DataFrame:
 
 def award_features(rows: DataFrame, roles: AwardRoles | None = None, names: bool = True) -> DataFrame:
     """All features of an awards table, a row per entity; without latest_winner_name, if that isn't asked for. The rows are
-    read three times: where they come out of joins, write them (`award_columns`) and hand in what is read back."""
+    read twice, for the names and for the rest: where they come out of joins, write them (`award_columns`) and hand in what is read back."""
     roles = roles or AwardRoles()
     own = with_entity(rows, roles.key)
-    main = award_aggregates(rows, roles, *main_aggregates(roles))
-    parts = facet_features(facets(own, roles), own.schema[roles.snapshot].dataType).withColumnRenamed("entity", "company_nipt")
+    # what mostly stays the same from one row to the next comes first, as such rows compress better
+    used = (roles.authority, roles.contract, roles.snapshot, roles.suspended, roles.cancelled, roles.date, roles.budget, roles.award, roles.procedure)
+    dealt = dealt_once(own, [*dict.fromkeys(used), *[m for m in (*amount_marks(roles), *procedure_marks(roles)) if m in rows.columns]])
+    main = _aggregated(dealt, roles, *main_aggregates(roles))
+    parts = facet_features(facets(dealt, roles), own.schema[roles.snapshot].dataType).withColumnRenamed("entity", "company_nipt")
     joined = (main.join(newest_names(own, roles), "company_nipt", "left") if names else main).join(parts, "company_nipt", "left")
     filled = {c: F.coalesce(F.col(c), empty().cast(joined.schema[c].dataType)) for c, empty in NO_FACETS.items()}
     lead = ["company_nipt", "source_row_count", "source_snapshot_count", "source_structured_record_ids", *(["latest_winner_name"] if names else [])]

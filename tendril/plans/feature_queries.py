@@ -172,7 +172,7 @@ def award_features(spark, sf_dir, names: bool = True) -> DataFrame:
     roles = ROLES if names else features.AwardRoles(newest=())
     left = [] if names else [roles.name]
     marks = features.procedure_marks(roles)
-    rows = views.trusted_awards(spark, sf_dir, of_parts=marks).select(*[c for c in features.award_columns(roles) if c not in left], *marks)
+    rows = views.trusted_awards(spark, sf_dir, of_parts=marks, keyed=True).select(*[c for c in features.award_columns(roles) if c not in left], *marks)
     return features.award_features(written(rows, "awards"), roles, names)
 
 
@@ -193,7 +193,7 @@ def trusted_registry(spark, sf_dir) -> DataFrame:
 
 
 def registry_features(spark, sf_dir) -> DataFrame:
-    return features.registry_features(trusted_registry(spark, sf_dir), REGISTRY_ROLES)
+    return features.registry_features(views.trusted_registry(spark, sf_dir, keyed=True), REGISTRY_ROLES)
 
 
 _ORDER = "coalesce(strftime(search_date_to, '%Y%m%d'), '0') || '-' || lpad(CAST(o_orderkey AS STRING), 12, '0')"

@@ -78,6 +78,36 @@ def test_orders_are_judged_before_they_meet_customers(spark):
     assert text.index("c_custkey") < text.index("__raw")  # the plan's top comes first
 
 
+def test_amounts_and_facets_share_a_shuffle(spark):
+    rows = feature_queries.award_features(spark, DATA, names=False)
+    rows.collect()
+    text = plan(rows).split("Initial Plan")[0]
+    assert text.count("ReusedExchange") == 1 and text.count("FileScan") == 1  # awards are read and dealt out once
+
+
+def test_rows_without_a_key_stay_behind(spark, tmp_path):
+    """They are left out before the joins, and no others; keys and artifacts may be null."""
+    for name in ("orders", "lineitem", "part", "customer", "nation"):
+        rows = spark.read.parquet(f"{DATA}/{name}.parquet")
+        if name == "orders":
+            rows = rows.withColumn("o_custkey", F.expr("CASE WHEN o_orderkey % 8 = 0 THEN NULL WHEN o_orderkey % 8 = 1 THEN -o_custkey ELSE o_custkey END"))
+        elif name == "lineitem":
+            rows = rows.withColumn("l_partkey", F.expr("CASE WHEN l_orderkey % 8 = 2 THEN NULL ELSE l_partkey END"))
+        rows.write.parquet(str(tmp_path / f"{name}.parquet"))
+    there = str(tmp_path)
+    for view, key, condition in ((views.trusted_awards, "winner_nipt", "(l_partkey"), (views.trusted_registry, "business_nipt", "(o_custkey")):
+        plain, own = view(spark, there).where(f"{key} is not null"), view(spark, there, keyed=True).where(f"{key} is not null")
+        assert own.columns == plain.columns and 0 < own.count() == plain.count() and own.exceptAll(plain).isEmpty() and plain.exceptAll(own).isEmpty()
+        text = plan(view(spark, there, keyed=True))
+        below = text[text.index("Join") :].splitlines()
+        assert any("Filter" in x and condition in x and "%" in x for x in below)
+
+
+def test_registry_rows_are_combined_before_their_shuffle(spark):
+    text = plan(feature_queries.registry_features(spark, DATA))
+    assert "hashpartitioning(o_custkey" in text  # where customers are broadcast too, a customer's rows meet in one task
+
+
 @pytest.mark.parametrize("name", ["c08_d24_feature_sparsity", "d25_feature_readiness"])
 def test_sparsity_reads_what_its_dictionary_lists(spark, monkeypatch, name):
     kept = {}
